@@ -8,12 +8,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rollcall.session import importable
+
 #: Rows of an Arrow batch; with texts of a few KB a batch is a few MB.
 BATCH_ROWS = 512
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bound Arrow batches, so that a Python worker's memory doesn't follow the text length."""
+    """Bound Arrow batches, so that a worker's memory doesn't follow the number of rows; let workers import this."""
+    importable(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 

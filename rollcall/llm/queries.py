@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ngram_join
+from . import chat_format, embedding_dedup, line_dedup, mixing, ngram_join, packing, quality_rules
+
+
+def tokenizer_path() -> str:
+    """The public tokenizer that op4 and the pipeline pack with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +25,50 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), k=5, percent=75)
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, n_links, component_id, kept of every vector; links by label and cosine at 0.93."""
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a piece of the documents' ids in sequences of at most 4096."""
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path(), capacity=4096, end_id=2)
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its source's boilerplate lines, and how many lines it had and lost."""
+    out = line_dedup.drop_boilerplate(_table(spark, sf_dir, "documents"), host="source", counts=True)
+    return out.select("doc_id", "source", "text", "n_lines", "n_dropped")
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, compression figures and the verdict of every document."""
+    return quality_rules.measure(_table(spark, sf_dir, "documents"))
+
+
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every formatted conversation, read back from the output, and of conversation -1."""
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_format.digest(turns.unionByName(spark.sql(chat_format.EXTRA)))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix at weights 5, 2, 1 takes of every document."""
+    return mixing.Mix(_table(spark, sf_dir, "documents")).report()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op4_packing": op4_packing,
+    "op5_line_dedup": op5_line_dedup,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_chat_formatting": op9_chat_formatting,
+    "op10_mixing": op10_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: DuckDB's twins where SQL can express the operator; the others are tested against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op5_line_dedup": line_dedup.SQL,
+    "op9_chat_formatting": chat_format.SQL,
+}
