@@ -39,6 +39,8 @@ from .components import components
 BUCKET_BYTES = 8 << 20
 #: Shingles of one task of step 4.
 CELL_SHINGLES = 400_000
+#: List entries that a query's heap merges at most.
+HEAP_ENTRIES = 256
 #: Members of each component that stand for it where the blocks of a large cell meet first.
 STANDINS = 8
 
@@ -204,6 +206,22 @@ def heap_merge(lists: list[list[int]], least: int) -> list[int]:
     return found
 
 
+def merge(lists: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Entries on at least `least` of the sorted lists, and on how many each is.
+
+    The heap merges them while they are short. Longer ones are merged as runs by numpy's stable sort, which
+    is a merge sort that takes sorted runs as they are, as a heap in Python would cost a microsecond an entry.
+    """
+    if sum(map(len, lists)) <= HEAP_ENTRIES:
+        found = heap_merge([own.tolist() for own in lists], least)
+        counts = [sum(1 for own in lists if (at := int(np.searchsorted(own, c))) < len(own) and own[at] == c) for c in found]
+        return np.array(found, np.int64), np.array(counts, np.int64)
+    merged = np.sort(np.concatenate(lists), kind="stable")
+    starts = np.flatnonzero(np.concatenate([[True], merged[1:] != merged[:-1]]))
+    counts = np.diff(np.append(starts, len(merged)))
+    return merged[starts][counts >= least], counts[counts >= least]
+
+
 def links(ids: np.ndarray, sizes: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """A forest of links over distinct sets: pairs of ids, enough for the same components as all links.
 
@@ -233,10 +251,6 @@ def links(ids: np.ndarray, sizes: np.ndarray, sets: list[np.ndarray], percent: i
         short, long_lists = ranked[: len(ranked) - n_long], ranked[len(ranked) - n_long :]
         least = need - n_long
 
-        def probe(c: int, seen: int, rest: np.ndarray) -> int:
-            """Overlap of q and c: seen, and the lists among `rest` on which a binary search finds c."""
-            return seen + sum(1 for s in rest if cuts[s] <= (at := cuts[s] + int(np.searchsorted(entries[cuts[s] : cuts[s + 1]], c))) < cuts[s + 1] and entries[at] == c)
-
         def overlap(c: int) -> int:
             own = inverse[bounds[c] : bounds[c + 1]]
             at = np.searchsorted(own, mine)
@@ -266,12 +280,22 @@ def links(ids: np.ndarray, sizes: np.ndarray, sets: list[np.ndarray], percent: i
             own = own[np.searchsorted(own, least_size) : np.searchsorted(own, q)]
             own = own[comp[own] != comp[q]]
             if len(own):
-                lists.append(own.tolist())
-        for c in heap_merge(lists, least):
-            if comp[c] != comp[q]:
-                seen = sum(1 for own in lists if (at := bisect_left(own, c)) < len(own) and own[at] == c)
-                if linked(c, probe(c, seen, long_lists)):
-                    unite(c)
+                lists.append(own)
+        candidates, shared = merge(lists, least)
+        wanted = -(-percent * (sizes[q] + sizes[candidates]) // (100 + percent))
+        for left in range(n_long, 0, -1):
+            alive = shared + left >= wanted
+            if not alive.all():
+                candidates, shared, wanted = candidates[alive], shared[alive], wanted[alive]
+            if not len(candidates):
+                break
+            own = entries[cuts[long_lists[left - 1]] : cuts[long_lists[left - 1] + 1]]
+            at = np.searchsorted(own, candidates)
+            at[at == len(own)] = 0
+            shared = shared + (own[at] == candidates)
+        for c, both in zip(candidates.tolist(), shared.tolist(), strict=True):
+            if comp[c] != comp[q] and linked(c, both):
+                unite(c)
     return found
 
 

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+from rollcall.llm import components
 from rollcall.llm import ngram_join as nj
 from rollcall.llm.ngram_join import heap_merge, jaccard_components, keep_one, links
 
@@ -52,6 +53,7 @@ def corpus(seed, n=120):
 
 @pytest.mark.parametrize("cap", [400_000, 3_000])
 def test_equals_brute_force(spark, cap, monkeypatch):
+    monkeypatch.setattr(components, "LAST_EDGES", 5 if cap == 3_000 else 16_000)
     monkeypatch.setattr(nj, "CELL_SHINGLES", cap)
     rows = corpus(cap)
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, cell string").repartition(3)
