@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, embedding_dedup, line_dedup, mixing, ngram_join, packing, quality_rules
+from . import chat_format, embedding_dedup, html_extract, license_scan, line_dedup, mixing, ngram_join, packing, quality_rules, secret_scan
 
 
 def tokenizer_path() -> str:
@@ -25,6 +25,11 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), k=5, percent=75)
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, text, n_chars of every page."""
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """vec_id, n_links, component_id, kept of every vector; links by label and cosine at 0.93."""
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.93)
@@ -41,6 +46,16 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "text", "n_lines", "n_dropped")
 
 
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, digest and list of the secrets' spans of every document."""
+    return secret_scan.digest(_table(spark, sf_dir, "documents"))
+
+
+def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices of every document."""
+    return license_scan.digest(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, compression figures and the verdict of every document."""
     return quality_rules.measure(_table(spark, sf_dir, "documents"))
@@ -59,9 +74,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_html_extraction": op2_html_extraction,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
+    "op6_secret_scans": op6_secret_scans,
+    "op7_license_scans": op7_license_scans,
     "op8_quality_rules": op8_quality_rules,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_mixing": op10_mixing,
