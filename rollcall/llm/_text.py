@@ -60,7 +60,8 @@ def plain(column: pa.Array | pa.ChunkedArray) -> pa.Array:
 class Words:
     """Words of a run of texts: byte ranges, the text each belongs to, and how many each text has."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, cut: tuple[np.ndarray, np.ndarray] | None = None):
+        """cut: tables of bytes between which a word is cut in two as well, the one before and the one after."""
         offsets = _offsets(texts)
         data = texts.buffers()[2]
         self.bytes = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
@@ -73,6 +74,9 @@ class Words:
         last = word.copy()
         last[:-1] &= ~word[1:]
         last[inner - 1] = word[inner - 1]
+        if cut is not None:
+            more = np.flatnonzero(cut[0][self.bytes[:-1]] & cut[1][self.bytes[1:]]) + 1
+            first[more], last[more - 1] = word[more], word[more - 1]
         self.mask, self.starts, self.ends = word, np.flatnonzero(first), np.flatnonzero(last) + 1
         self.counts = np.diff(np.searchsorted(self.starts, bounds))
         self.first = np.concatenate([[0], np.cumsum(self.counts)])

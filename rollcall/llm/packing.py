@@ -24,16 +24,27 @@ from ._session import prepare
 
 #: Partially filled windows that a partition holds at most.
 OPEN_LIMIT = 1024
-#: Words whose ids a worker remembers; beyond that it starts anew.
-REMEMBERED_WORDS = 400_000
+#: Pieces whose ids a worker remembers; beyond that it keeps the half used last.
+REMEMBERED_PIECES = 1_500_000
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_FOLD = np.arange(256, dtype=np.int64)
+_FOLD[65:91] += 32
+_STOP = np.zeros(256, bool)
+_STOP[[ord(c) for c in ".,!?;:"]] = True
+
+
 class Tokenizer:
-    """Ids of whole texts by a tokenizers file that drops white space, from the ids of each distinct word.
+    """Ids of whole texts by a tokenizers file that drops white space and case, from the ids of each distinct piece.
 
-    White space ends a token there, so a text's ids are its words' ids in order.
+    White space ends a token there, and so does a stop after an ASCII letter; pieces between such places are
+    encoded apart, with A-Z as a-z. Pieces with "<" could be one of the file's special tokens, where case
+    counts, and are always encoded anew. Known pieces are found by a 64-bit hash, checked by length and
+    outer bytes; a piece costs some 30 bytes.
     """
 
     _loaded: dict[str, Tokenizer] = {}
@@ -48,43 +59,71 @@ class Tokenizer:
         from tokenizers import Tokenizer as Public
 
         self.public = Public.from_file(path)
-        self._forget()
+        self.keys = np.zeros(0, np.uint64)  # sorted
+        self.checks, self.starts, self.sizes, self.used = (np.zeros(0, np.int64) for _ in range(4))
+        self.pool = np.zeros(0, np.uint32)
+        self.now = 0
+
+    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces' ids one after another, and how many each has; encoded as one text, told apart by offsets."""
+        if not pieces:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        ends = np.cumsum([len(p) + 1 for p in pieces])
+        found = self.public.encode(" ".join(pieces), add_special_tokens=False)
+        ids = np.array(found.ids, np.uint32)
+        at = np.fromiter((o[0] for o in found.offsets), np.int64, len(ids))
+        return ids, np.bincount(np.searchsorted(ends, at, "right"), minlength=len(pieces))
+
+    def _learn(self, keys: np.ndarray, checks: np.ndarray, pieces: list[str]) -> None:
+        ids, sizes = self._encode(pieces)
+        starts = len(self.pool) + np.cumsum(sizes) - sizes
+        self.pool = np.concatenate([self.pool, ids])
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.checks = np.insert(self.keys, at, keys), np.insert(self.checks, at, checks)
+        self.starts, self.sizes = np.insert(self.starts, at, starts), np.insert(self.sizes, at, sizes)
+        self.used = np.insert(self.used, at, self.now)
+
+    def _drop(self, at: np.ndarray) -> None:
+        """Another piece of the same hash takes their place."""
+        if len(at):
+            self.keys, self.checks, self.starts, self.sizes, self.used = (np.delete(x, at) for x in (self.keys, self.checks, self.starts, self.sizes, self.used))
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.starts = np.zeros(1 << 16, np.int64)
-        self.sizes = np.zeros(1 << 16, np.int64)
-        self.pool = np.zeros(1 << 18, np.uint32)
-        self.used = 0
-
-    def _learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), 4096):
-            some = words[at : at + 4096]
-            found = [e.ids for e in self.public.encode_batch(some, add_special_tokens=False)]
-            sizes = [len(f) for f in found]
-            first, total = len(self.known), sum(sizes)
-            while first + len(some) > len(self.starts):
-                self.starts, self.sizes = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.sizes, 2 * len(self.sizes))
-            while self.used + total > len(self.pool):
-                self.pool = np.resize(self.pool, 2 * len(self.pool))
-            self.sizes[first : first + len(some)] = sizes
-            self.starts[first : first + len(some)] = self.used + np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            self.pool[self.used : self.used + total] = np.fromiter((i for f in found for i in f), np.uint32, total)
-            self.used += total
-            self.known.update(zip(some, range(first, first + len(some)), strict=True))
+        """Keep the half used last."""
+        keep = self.used > np.median(self.used)
+        sizes = self.sizes[keep]
+        self.pool = self.pool[np.repeat(self.starts[keep] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))]
+        self.keys, self.checks, self.used = self.keys[keep], self.checks[keep], self.used[keep]
+        self.starts, self.sizes = np.cumsum(sizes) - sizes, sizes
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids in one array, and where each text's begin (one more than there are texts)."""
-        words = _text.Words(texts)
+        words = _text.Words(texts, (_LETTER, _STOP))
         if not len(words):
             return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-        ends = np.concatenate([[0], np.cumsum(words.ends - words.starts)]).astype(np.int32)
-        column = pa.StringArray.from_buffers(len(words), pa.py_buffer(ends), pa.py_buffer(words.bytes[words.mask])).dictionary_encode()
-        distinct = column.dictionary.to_pylist()
-        if len(self.known) > REMEMBERED_WORDS:
+        self.now += 1
+        if len(self.keys) > REMEMBERED_PIECES:
             self._forget()
-        self._learn([w for w in distinct if w not in self.known])
-        index = np.fromiter((self.known[w] for w in distinct), np.int64, len(distinct))[column.indices.to_numpy()]
+        hashes = words.hashes(True)
+        marks = np.flatnonzero(words.bytes == ord("<"))
+        special = np.unique(np.searchsorted(words.starts, marks, "right") - 1)
+        hashes[special] = _text.mix(np.arange(len(special), dtype=np.uint64) + np.uint64(self.now << 32))
+        distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        folded = _FOLD[words.bytes]
+        checks = ((words.ends - words.starts) << 16) + (folded[words.starts] << 8) + folded[words.ends - 1]
+        at = np.searchsorted(self.keys, distinct)
+        at[at == len(self.keys)] = 0
+        same = self.keys[at] == distinct if len(self.keys) else np.zeros(len(distinct), bool)
+        known = same.copy()
+        known[same] = self.checks[at[same]] == checks[first[same]]
+        self._drop(at[same & ~known])
+        new = np.flatnonzero(~known)
+        if len(new):
+            data = words.bytes.tobytes()
+            self._learn(distinct[new], checks[first[new]], [data[a:b].decode() for a, b in zip(words.starts[first[new]].tolist(), words.ends[first[new]].tolist(), strict=True)])
+        at = np.searchsorted(self.keys, distinct)
+        self.used[at] = self.now
+        index = at[inverse]
         sizes = self.sizes[index]
         before = np.concatenate([[0], np.cumsum(sizes)])
         flat = self.pool[np.repeat(self.starts[index] - before[:-1], sizes) + np.arange(before[-1])]

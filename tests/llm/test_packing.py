@@ -16,7 +16,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 def texts():
     r = random.Random(4)
-    words = ["the", "Thntion", "don't", "éÈü", "x<|endoftext|>y", "a b", " ", "ΣΑΣ", "12,5", "café", "😀", "\x1c", "q" * 3000, "ß"]
+    words = ["the", "Thntion", "don't", "éÈü", "x<|endoftext|>y", "<|EndOfText|>", "<|endoftext|>", "End.", "e.g.:", "it'S!", "É.!?", "a.'s", "b.…", "a b", " ", "ΣΑΣ", "12,5", "café", "😀", "\x1c", "q" * 3000, "ß"]
     out = [None, "", " \n", "á", " ́x"]
     out += [r.choice([" ", "\n", "\t "]).join(r.choice(words[:-2]) for _ in range(r.choice([3, 40, 900]))) for _ in range(60)]
     return [*out, words[-2], " ".join(r.choice(words) for _ in range(9000))]
@@ -72,7 +72,7 @@ def test_level_is_the_one_of_least_sum_of_squares():
 
 
 def test_forgetting_words_changes_nothing(monkeypatch):
-    monkeypatch.setattr(packing, "REMEMBERED_WORDS", 5)
+    monkeypatch.setattr(packing, "REMEMBERED_PIECES", 5)
     own = texts()
     tokenizer = Tokenizer(PATH)
     flat = []
