@@ -1,6 +1,527 @@
-"""Registered queries and their DuckDB twins."""
+"""Registered queries over the star schema, and their DuckDB twins where SQL can express them."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..functions.similarity import hybrid_score, token_set_score, token_sort_score
+from ..operators import detections, ingest, marts, match, observations, repair, sampling, search
+from ..schemas import KEYS
+from ..session import importable
+from .domain import Domain, with_tables
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+#: Arguments of the searches.
+PLAYER, MAP, REPLAYS = "Supplier#000000001-Brand#17", "1-URGENT", "https://replays.example.org/?id="
+#: Least names of an observation here: orders have four lines on average.
+LEAST = 3
+SPLIT_DAY = "1998-06-01"
+
+
+def query(sql: str | None = None, *tables: str):
+    """Register a function of Domain under its name, with its twin after the CTEs it uses."""
+
+    def register(f: Callable[[Domain], DataFrame]) -> Callable[[Domain], DataFrame]:
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            importable(spark)
+            return f(Domain(spark, folder))
+
+        run.__doc__ = f.__doc__
+        QUERIES[f.__name__] = run
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = with_tables(sql, *tables) if tables else sql
+        return f
+
+    return register
+
+
+# -- serving tables and searches -------------------------------------------------------------------
+
+
+@query("SELECT player_name, m.* FROM player_index JOIN battle_matches m USING (battle_id)", "player_index", "battle_matches")
+def flagship(d: Domain) -> DataFrame:
+    """Every player's videos."""
+    return _index(d).join(_matches(d), "battle_id")
+
+
+def _index(d: Domain) -> DataFrame:
+    return marts.player_index(d.participants(), d.battle_videos())
+
+
+def _matches(d: Domain) -> DataFrame:
+    return marts.battle_matches(d.battle_videos(), d.videos())
+
+
+def _maps(d: Domain) -> DataFrame:
+    return marts.map_index(d.battles(), d.battle_videos(), d.videos())
+
+
+@query("SELECT * FROM player_index", "player_index")
+def player_index(d: Domain) -> DataFrame:
+    return _index(d)
+
+
+@query("SELECT * FROM battle_matches", "battle_matches")
+def battle_matches(d: Domain) -> DataFrame:
+    return _matches(d)
+
+
+@query("SELECT * FROM map_index ORDER BY map_name, upload_date DESC", "map_index")
+def map_index(d: Domain) -> DataFrame:
+    return marts.ordered_map_index(_maps(d))
+
+
+@query("SELECT DISTINCT player_name FROM player_index", "player_index")
+def player_names(d: Domain) -> DataFrame:
+    return marts.player_names(_index(d))
+
+
+@query("SELECT DISTINCT map_name FROM map_index ORDER BY 1", "map_index")
+def map_names(d: Domain) -> DataFrame:
+    return marts.map_names(_maps(d))
+
+
+@query("SELECT coalesce(max(TRY_CAST(upload_date AS INTEGER)), 0) AS last_battle FROM videos", "videos")
+def last_upload(d: Domain) -> DataFrame:
+    return marts.last_upload(d.videos())
+
+
+@query("SELECT player_name, count(*) AS battles, min(battle_id) AS first_battle, max(battle_id) AS last_battle FROM player_index GROUP BY 1", "player_index")
+def player_lists(d: Domain) -> DataFrame:
+    lists = marts.player_lists(_index(d))
+    return lists.select("player_name", F.size("battle_ids").cast("long").alias("battles"), F.element_at("battle_ids", 1).alias("first_battle"), F.element_at("battle_ids", -1).alias("last_battle"))
+
+
+@query("SELECT map_name, count(*) AS matches, min(video_id) AS first_video FROM map_index GROUP BY 1", "map_index")
+def map_match_lists(d: Domain) -> DataFrame:
+    lists = marts.match_lists(_maps(d), "map_name")
+    return lists.select("map_name", F.size("matches").cast("long").alias("matches"), F.array_min(F.col("matches.video_id")).alias("first_video"))
+
+
+@query(
+    "SELECT (SELECT count(DISTINCT player_name) FROM player_index) AS players, (SELECT count(DISTINCT battle_id) FROM battle_matches) AS battles, "
+    "(SELECT count(DISTINCT player_name) FROM seen JOIN videos USING (video_id)) AS ocr_names, (SELECT count(DISTINCT map_name) FROM map_index) AS maps",
+    "player_index", "battle_matches", "map_index", "seen",
+)
+def index_totals(d: Domain) -> DataFrame:
+    return marts.index_totals(_index(d), _matches(d), marts.ocr_index(d.observations(), d.videos()), _maps(d))
+
+
+@query(
+    "SELECT player_name AS ocr_name, s.video_id, 90 AS timestamp, v.title, v.upload_date, v.uploader FROM seen s JOIN videos v USING (video_id)",
+    "seen", "videos",
+)
+def ocr_index_explode(d: Domain) -> DataFrame:
+    return marts.ocr_index(d.observations(), d.videos())
+
+
+@query(f"SELECT m.* FROM player_index JOIN battle_matches m USING (battle_id) WHERE player_name = '{PLAYER}'", "player_index", "battle_matches")
+def player_search(d: Domain) -> DataFrame:
+    return search.search_player(_index(d), _matches(d), PLAYER)
+
+
+@query(f"SELECT * FROM map_index WHERE map_name = '{MAP}'", "map_index")
+def map_search(d: Domain) -> DataFrame:
+    return search.search_map(_maps(d), MAP)
+
+
+@query("SELECT DISTINCT player_name FROM participants ORDER BY 1 LIMIT 100", "participants")
+def first_items(d: Domain) -> DataFrame:
+    return search.first_items(d.participants().select("player_name").distinct(), "player_name")
+
+
+@query("SELECT 'unknown_player' AS outcome")
+def player_outcome(d: Domain) -> DataFrame:
+    return search.player_outcome(_index(d), _matches(d), "nobody")
+
+
+@query()
+def fuzzy_topk(d: Domain) -> DataFrame:
+    """The 20 rows whose name is nearest to a misread one."""
+    return search.search_ocr(marts.ocr_index(d.observations(), d.videos()), "supp1ier#00000001-Brand#17")
+
+
+@query()
+def autocomplete_topk(d: Domain) -> DataFrame:
+    return search.autocomplete(d.participants().select("player_name").distinct(), "player_name", "000017-brand#3")
+
+
+# -- matching --------------------------------------------------------------------------------------
+
+
+@query("SELECT video_id, 90 AS video_timestamp_sec, battle_id, shared_names FROM pairs", "pairs")
+def candidate_join(d: Domain) -> DataFrame:
+    return match.candidates(d.observations(), d.participants())
+
+
+def _windowed(d: Domain) -> DataFrame:
+    seen = d.observations()
+    return match.within_window(match.candidates(seen, d.participants()), seen, d.battles())
+
+
+@query("SELECT video_id, 90 AS video_timestamp_sec, battle_id, shared_names FROM windowed", "windowed")
+def candidate_date_window(d: Domain) -> DataFrame:
+    return _windowed(d)
+
+
+_BEST = "SELECT video_id, 90 AS video_timestamp_sec, battle_id, shared_names FROM windowed QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY shared_names DESC, battle_id) = 1"
+
+
+@query(_BEST, "windowed")
+def candidate_argmax(d: Domain) -> DataFrame:
+    """The battle that shares most names; the smallest id of equals."""
+    return match.best(_windowed(d), "shared_names")
+
+
+@query(
+    f"SELECT s.video_id, s.n_names, CASE WHEN shared_names >= {LEAST} THEN battle_id END AS matched_battle_id, coalesce(shared_names, 0) AS shared_names "
+    f"FROM (SELECT video_id, count(*) AS n_names FROM seen GROUP BY 1) s LEFT JOIN ({_BEST}) b USING (video_id)",
+    "windowed",
+)
+def left_outer_result(d: Domain) -> DataFrame:
+    """Every observation, with its best battle where enough names are shared."""
+    found = match.best(_windowed(d), "shared_names")
+    joined = d.observations().join(found, match.KEY, "left")
+    return joined.select("video_id", F.size("players").cast("long").alias("n_names"), F.when(F.col("shared_names") >= LEAST, F.col("battle_id")).alias("matched_battle_id"), F.coalesce("shared_names", F.lit(0)).alias("shared_names"))
+
+
+@query(f"SELECT video_id, count(*) AS n_names FROM seen GROUP BY 1 HAVING count(*) >= {LEAST}", "seen")
+def min_len_gate(d: Domain) -> DataFrame:
+    kept = d.observations().where(match.enough_names(F.col("players"), LEAST))
+    return kept.select("video_id", F.size("players").cast("long").alias("n_names"))
+
+
+@query("SELECT CAST(l_orderkey AS VARCHAR) AS video_id FROM lineitem GROUP BY 1 HAVING count(*) FILTER (WHERE l_quantity >= 45) = 0")
+def marker_gate(d: Domain) -> DataFrame:
+    """Observations without a computer player; lines of large quantity are marked as such, in either spelling."""
+    mark = F.when(F.col("l_linenumber") % 2 == 0, "bot(AI)").otherwise("bot(Al)")
+    rows = d.table("lineitem").groupBy("l_orderkey").agg(F.collect_list(F.when(F.col("l_quantity") >= 45, mark).otherwise("someone")).alias("players"))
+    return rows.where(~T.has_ai_mark(F.col("players"))).select(F.col("l_orderkey").cast("string").alias("video_id"))
+
+
+@query("SELECT battle_id, string_agg(player_name, ' ' ORDER BY player_name) AS roster, count(*) AS roster_size FROM participants GROUP BY 1", "participants")
+def roster_size(d: Domain) -> DataFrame:
+    return match.rosters(d.participants()).withColumn("roster_size", F.col("roster_size").cast("long"))
+
+
+@query(f"SELECT p.* FROM participants p WHERE battle_id NOT IN (SELECT battle_id FROM battles WHERE timestamp >= '{SPLIT_DAY}')", "participants", "battles")
+def orphan_participants(d: Domain) -> DataFrame:
+    return match.orphans(d.participants(), d.battles().where(F.col("timestamp") >= SPLIT_DAY))
+
+
+def _matched(d: Domain) -> DataFrame:
+    return match.matched(d.observations(), d.participants(), d.battles(), least=LEAST)
+
+
+@query()
+def hybrid_match(d: Domain) -> DataFrame:
+    """The whole match: gates, candidates, window, hybrid score, best, threshold."""
+    return _matched(d).withColumn("match_score", F.round("match_score", 9)).drop("players")
+
+
+@query()
+def match_table(d: Domain) -> DataFrame:
+    return match.battle_videos(_matched(d))
+
+
+# -- similarity ------------------------------------------------------------------------------------
+
+
+def _lcs_sql(a: str, b: str) -> str:
+    """LCS length of two short strings: rows of the usual table, one a character of a."""
+    new = f"list_transform(generate_series(1, length({b})), lambda j: greatest(prev[j], list_max(list_transform(generate_series(1, j), lambda k: CASE WHEN eq[k] = 1 THEN coalesce(prev[k - 1], 0) + 1 ELSE 0 END))))"
+    rows = f"list_transform(string_split({a}, ''), lambda c: list_transform(string_split({b}, ''), lambda e: CASE WHEN c = e THEN 1 ELSE 0 END))"
+    zeros = f"list_transform(generate_series(1, length({b})), lambda z: 0)"
+    return f"(CASE WHEN length({a}) = 0 OR length({b}) = 0 THEN 0 ELSE list_max(list_reduce({rows}, lambda prev, eq: {new}, {zeros})) END)"
+
+
+def _name_pairs(d: Domain) -> DataFrame:
+    """Pairs of part names that share a word, each name with its brand's number behind."""
+    names = d.table("part").select(F.concat_ws(" ", "p_name", F.split_part("p_type", F.lit(" "), F.lit(1))).alias("name")).distinct()
+    words = names.select("name", F.explode(F.array_distinct(F.split("name", " "))).alias("word"))
+    other = words.select(F.col("name").alias("other"), "word")
+    return words.join(other, "word").where("name < other").select(F.col("name").alias("a"), F.col("other").alias("b")).distinct()
+
+
+_PAIR_SQL = """names AS (SELECT DISTINCT p_name || ' ' || split_part(p_type, ' ', 1) AS name FROM part),
+words AS (SELECT name, unnest(list_distinct(string_split(name, ' '))) AS word FROM names),
+name_pairs AS (SELECT DISTINCT x.name AS a, y.name AS b FROM words x JOIN words y USING (word) WHERE x.name < y.name),
+sorted AS (SELECT a, b, array_to_string(list_sort(string_split(a, ' ')), ' ') AS sa, array_to_string(list_sort(string_split(b, ' ')), ' ') AS sb FROM name_pairs)"""
+
+
+@query(f"WITH {_PAIR_SQL} SELECT a, b, round(100.0 * 2 * {_lcs_sql('sa', 'sb')} / (length(sa) + length(sb)), 6) AS score FROM sorted")
+def token_sort_ratio(d: Domain) -> DataFrame:
+    return _name_pairs(d).withColumn("score", F.round(token_sort_score("a", "b"), 6))
+
+
+_SET_SQL = f"""WITH {_PAIR_SQL},
+sets AS (SELECT a, b, array_to_string(list_sort(list_intersect(list_distinct(string_split(a, ' ')), string_split(b, ' '))), ' ') AS i,
+ array_to_string(list_sort(list_filter(list_distinct(string_split(a, ' ')), lambda t: NOT list_contains(string_split(b, ' '), t))), ' ') AS da,
+ array_to_string(list_sort(list_filter(list_distinct(string_split(b, ' ')), lambda t: NOT list_contains(string_split(a, ' '), t))), ' ') AS db FROM name_pairs),
+sized AS (SELECT *, length(i) AS s, length(i) + 1 + length(da) AS za, length(i) + 1 + length(db) AS zb, length(da) + length(db) - 2 * {_lcs_sql("da", "db")} AS dist FROM sets)
+SELECT a, b, round(CASE WHEN da = '' OR db = '' THEN 100.0 ELSE 100.0 * greatest(1 - dist / (za + zb), 1 - (1 + length(da)) / (s + za), 1 - (1 + length(db)) / (s + zb)) END, 6) AS score FROM sized"""
+
+
+@query(_SET_SQL)
+def token_set_ratio(d: Domain) -> DataFrame:
+    """Ratio of the names' word sets; all pairs share a word."""
+    return _name_pairs(d).withColumn("score", F.round(token_set_score("a", "b"), 6))
+
+
+@query()
+def hybrid_ratio(d: Domain) -> DataFrame:
+    return _name_pairs(d).withColumn("score", F.round(hybrid_score("a", "b"), 6))
+
+
+# -- ingest and upserts ----------------------------------------------------------------------------
+
+
+def _records(d: Domain) -> DataFrame:
+    """Nested records as the replay service sends them: a team for odd and even lines, an order a battle."""
+    sides = d._names().withColumn("side", F.col("l_linenumber") % 2).groupBy("l_orderkey", "side").agg(F.collect_list(F.struct("name")).alias("Players"))
+    teams = sides.groupBy(F.col("l_orderkey").cast("string").alias("battle_id")).agg(F.collect_list(F.struct("Players")).alias("AllyTeams"))
+    return d.battles().join(teams, "battle_id", "left").select(F.col("battle_id").alias("id"), F.col("timestamp").alias("startTime"), F.struct(F.col("map_name").alias("scriptName")).alias("Map"), "AllyTeams")
+
+
+_OLD = f"timestamp < '{SPLIT_DAY}'"
+
+
+@query(f"SELECT * FROM battles WHERE battle_id IN (SELECT battle_id FROM participants) AND timestamp >= '1995-06-01' AND timestamp > (SELECT max(timestamp) FROM battles WHERE {_OLD})", "battles", "participants")
+def ingest_new_rows(d: Domain) -> DataFrame:
+    """New battles of a pull whose mark is that of the battles before a day."""
+    old = d.battles().where(_OLD)
+    fresh = ingest.newer_than(_records(d), ingest.high_water_mark(old), "1995-06-01")
+    return ingest.new_rows(ingest.battle_rows(fresh), old, KEYS["battles"])
+
+
+@query("SELECT * FROM participants", "participants")
+def ingest_participants(d: Domain) -> DataFrame:
+    """Two explodes of the nested records give the participants."""
+    return ingest.participant_rows(_records(d))
+
+
+@query(f"SELECT max(timestamp) AS mark FROM battles WHERE {_OLD}", "battles")
+def high_water_mark(d: Domain) -> DataFrame:
+    return d.battles().where(_OLD).agg(F.max("timestamp").alias("mark"))
+
+
+_BRANDS = "SELECT p_brand AS uploader, p_name AS title, min(CAST(p_partkey AS VARCHAR)) AS video_id, 'new' AS upload_date FROM part WHERE p_size > 20 GROUP BY ALL"
+
+
+@query(
+    f"SELECT * FROM videos WHERE upload_date < '20010101' UNION ALL BY NAME SELECT * FROM ({_BRANDS}) WHERE video_id NOT IN (SELECT video_id FROM videos WHERE upload_date < '20010101')",
+    "videos",
+)
+def upsert_ignore(d: Domain) -> DataFrame:
+    old = d.videos().where("upload_date < '20010101'")
+    return old.unionByName(ingest.new_rows(_new_videos(d), old, KEYS["videos"]))
+
+
+@query(f"SELECT * FROM videos WHERE video_id NOT IN (SELECT video_id FROM ({_BRANDS})) UNION ALL BY NAME {_BRANDS}", "videos")
+def upsert_replace(d: Domain) -> DataFrame:
+    return ingest.replaced(d.videos(), _new_videos(d), KEYS["videos"])
+
+
+def _new_videos(d: Domain) -> DataFrame:
+    rows = d.table("part").where("p_size > 20").groupBy(F.col("p_brand").alias("uploader"), F.col("p_name").alias("title"))
+    return rows.agg(F.min(F.col("p_partkey").cast("string")).alias("video_id"), F.lit("new").alias("upload_date"))
+
+
+@query(
+    f"SELECT count(*) FILTER (WHERE video_id NOT IN (SELECT video_id FROM videos WHERE upload_date < '20010101')) AS additions, count(*) FILTER (WHERE video_id IN (SELECT video_id FROM videos WHERE upload_date < '20010101')) AS updates FROM ({_BRANDS})",
+    "videos",
+)
+def upsert_counts(d: Domain) -> DataFrame:
+    return ingest.upsert_counts(d.videos().where("upload_date < '20010101'"), _new_videos(d), KEYS["videos"])
+
+
+@query("SELECT event_id, event_type, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events WHERE ts > TIMESTAMP '2024-01-05 00:00:00'")
+def incremental_events(d: Domain) -> DataFrame:
+    """Events after a mark, with a field of their JSON."""
+    later = d.table("events").where(F.col("ts") > F.to_timestamp_ntz(F.lit("2024-01-05 00:00:00")))
+    return later.select("event_id", "event_type", F.from_json("props", "k int")["k"].alias("k"))
+
+
+# -- screenshots, names, labels --------------------------------------------------------------------
+
+
+def _files(d: Domain) -> DataFrame:
+    """Paths of frames, some of which are no frames."""
+    name = F.concat_ws("_", F.lit("v"), F.col("l_partkey").cast("string"), F.concat((F.col("l_linenumber") * 720 - 630).cast("string"), F.when(F.col("l_tax") > 0.07, ".png").otherwise("s.png")))
+    return d.table("lineitem").select(F.concat(F.lit("/shots/"), F.col("l_orderkey").cast("string"), F.lit("/"), name).alias("path"))
+
+
+_FILES = "SELECT '/shots/' || l_orderkey || '/v_' || l_partkey || '_' || (l_linenumber * 720 - 630) || CASE WHEN l_tax > 0.07 THEN '.png' ELSE 's.png' END AS path, * FROM lineitem"
+
+
+@query(f"SELECT path, 'v_' || l_partkey AS video_id, l_linenumber * 720 - 630 AS video_timestamp_sec FROM ({_FILES}) WHERE l_tax <= 0.07")
+def filename_parse(d: Domain) -> DataFrame:
+    return observations.frames(_files(d))
+
+
+@query(
+    f"SELECT DISTINCT path, 'v_' || l_partkey AS video_id, l_linenumber * 720 - 630 AS video_timestamp_sec FROM ({_FILES}) f WHERE l_tax <= 0.07 AND NOT EXISTS (SELECT 1 FROM lineitem x WHERE x.l_partkey = f.l_partkey AND x.l_linenumber = f.l_linenumber AND x.l_quantity > 40)"
+)
+def unprocessed_frames(d: Domain) -> DataFrame:
+    """Frames that aren't among those done."""
+    done = d.table("lineitem").where("l_quantity > 40").select(F.concat(F.lit("v_"), F.col("l_partkey").cast("string")).alias("video_id"), (F.col("l_linenumber") * 720 - 630).cast("int").alias("video_timestamp_sec"))
+    return observations.unprocessed(observations.frames(_files(d)), done).distinct().select("path", "video_id", "video_timestamp_sec")
+
+
+_STOP = " OR ".join(f"contains(lower(word), '{w}')" for w in T.STOP_WORDS)
+
+
+@query(
+    f"SELECT DISTINCT word, clean FROM (SELECT word, regexp_replace(word, '[^A-Za-z0-9_\\-\\[\\]()]', '', 'g') AS clean FROM lines_read) WHERE NOT ({_STOP}) AND length(clean) BETWEEN 3 AND 24 AND NOT regexp_full_match(clean, '[0-9]+.?')",
+    "lines_read",
+)
+def gamertag_filter(d: Domain) -> DataFrame:
+    words = d.lines_read().select("word").distinct().where(T.is_gamertag(F.col("word")))
+    return words.select("word", T.cleaned_name(F.col("word")).alias("clean"))
+
+
+@query(
+    "SELECT doc_id, regexp_replace(coalesce(n_chars, 0) || ' ' || left(text, 20), '^[0-9\\s一-鿿]*', '') AS name FROM documents"
+)
+def leading_junk_strip(d: Domain) -> DataFrame:
+    docs = d.table("documents")
+    return docs.select("doc_id", T.strip_leading_junk(F.concat(F.coalesce("n_chars", F.lit(0)).cast("string"), F.lit(" "), F.substring("text", 1, 20))).alias("name"))
+
+
+@query("SELECT DISTINCT '[' || p_type || '}' || p_name AS raw, p_name AS name, '[' || p_type || ']' AS tag FROM part")
+def clan_tag_split(d: Domain) -> DataFrame:
+    raw = d.table("part").select(F.concat(F.lit("["), "p_type", F.lit("}"), "p_name").alias("raw")).distinct()
+    return raw.select("raw", T.split_clan_tag(F.col("raw")).alias("s")).select("raw", "s.name", "s.tag")
+
+
+@query("SELECT video_id, coalesce(nullif(title, ''), 'Unknown Title') AS title, uploader FROM videos", "videos")
+def default_fill(d: Domain) -> DataFrame:
+    return d.videos().select("video_id", T.or_default(F.col("title"), "Unknown Title").alias("title"), "uploader")
+
+
+@query(
+    f"SELECT battle_id, video_id, 'https://www.youtube.com/watch?v=' || video_id || '&t=' || timestamp || 's' AS watch_url, 'https://i.ytimg.com/vi/' || video_id || '/mqdefault.jpg' AS thumbnail_url, '{REPLAYS}' || battle_id AS replay_url, "
+    "(timestamp // 60) || ':' || lpad(CAST(timestamp % 60 AS VARCHAR), 2, '0') AS time FROM battle_matches",
+    "battle_matches",
+)
+def url_build(d: Domain) -> DataFrame:
+    return search.with_links(_matches(d), REPLAYS).select("battle_id", "video_id", "watch_url", "thumbnail_url", "replay_url", "time")
+
+
+@query("SELECT DISTINCT p_name || ' ~!''()+' || p_brand AS raw, replace(p_name, ' ', '%20') || '%20~!''()%2B' || replace(p_brand, '#', '%23') AS encoded FROM part")
+def encode_component(d: Domain) -> DataFrame:
+    raw = d.table("part").select(F.concat("p_name", F.lit(" ~!'()+"), "p_brand").alias("raw")).distinct()
+    return raw.select("raw", T.encode_component(F.col("raw")).alias("encoded"))
+
+
+@query("SELECT video_id, upload_date, coalesce(strftime(TRY_CAST(strptime(upload_date, '%Y%m%d') AS DATE), '%a %b %d %Y'), upload_date) AS shown FROM videos", "videos")
+def display_date(d: Domain) -> DataFrame:
+    return d.videos().select("video_id", "upload_date", T.display_date(F.col("upload_date")).alias("shown"))
+
+
+@query("SELECT o_orderkey, CAST(o_totalprice AS INTEGER) AS seconds, (CAST(o_totalprice AS INTEGER) // 60) || ':' || lpad(CAST(CAST(o_totalprice AS INTEGER) % 60 AS VARCHAR), 2, '0') AS shown FROM (SELECT o_orderkey, floor(o_totalprice) AS o_totalprice FROM orders)")
+def mmss_format(d: Domain) -> DataFrame:
+    rows = d.table("orders").select("o_orderkey", F.floor("o_totalprice").cast("int").alias("seconds"))
+    return rows.withColumn("shown", T.minutes_seconds(F.col("seconds")))
+
+
+@query("SELECT o_orderkey, unnest(generate_series(90, CAST(floor(o_totalprice / 100) AS BIGINT) - 1, 720)) AS second FROM orders WHERE floor(o_totalprice / 100) > 90")
+def frame_schedule(d: Domain) -> DataFrame:
+    rows = d.table("orders").select("o_orderkey", F.explode(sampling.schedule(F.col("o_totalprice") / 100)).alias("second"))
+    return rows.withColumn("second", F.col("second").cast("long"))
+
+
+@query(
+    "SELECT CAST(p_partkey AS VARCHAR) AS video_id FROM part WHERE p_retailprice >= 90 AND (SELECT count(*) FROM generate_series(90, CAST(floor(p_retailprice) AS BIGINT) - 1, 720) g(s) "
+    "WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_linenumber * 720 - 630 = s)) > 0"
+)
+def all_exist_filter(d: Domain) -> DataFrame:
+    """Videos that still miss a frame of their schedule."""
+    videos = d.table("part").select(F.col("p_partkey").cast("string").alias("video_id"), F.col("p_retailprice").alias("duration"), F.array("p_type").alias("tags"))
+    frames = d.table("lineitem").select(F.col("l_partkey").cast("string").alias("video_id"), (F.col("l_linenumber") * 720 - 630).cast("int").alias("video_timestamp_sec"))
+    return sampling.frames_to_take(videos, frames).select("video_id")
+
+
+@query("SELECT p_partkey FROM part WHERE lower(p_type) = 'economy' OR lower(p_brand) = 'economy'")
+def tag_filter(d: Domain) -> DataFrame:
+    return d.table("part").where(sampling.has_tag(F.array("p_type", "p_brand"), "Economy")).select("p_partkey")
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION SELECT doc_id FROM labels WHERE quality = 0")
+def repair_diff(d: Domain) -> DataFrame:
+    """Documents without a label and those whose label says little, once each."""
+    labels = d.table("labels")
+    absent = d.table("documents").select("doc_id").join(labels.select("doc_id"), "doc_id", "left_anti")
+    return absent.union(labels.where("quality = 0").select("doc_id")).distinct()
+
+
+@query("SELECT video_id FROM videos WHERE coalesce(title, '') = '' OR coalesce(upload_date, '') = '' OR coalesce(uploader, '') = ''", "videos")
+def incomplete_metadata(d: Domain) -> DataFrame:
+    return repair.incomplete(d.videos())
+
+
+@query(
+    f"SELECT 'youtube ' || video_id AS value FROM (SELECT CASE WHEN l_tax > 0.07 THEN 'v_' || l_partkey || '_' || (l_linenumber * 720 - 630) || '.png' ELSE 'v_' || l_partkey END AS video_id FROM ({_FILES}) UNION SELECT video_id FROM videos)",
+    "videos",
+)
+def skip_list(d: Domain) -> DataFrame:
+    return repair.skip_list(_files(d), d.videos())
+
+
+@query(
+    "SELECT l_orderkey, l_linenumber, format('0 {:.6f} {:.6f} {:.6f} {:.6f}', (x1 + x2) / 2.0 / 1920, (y1 + y2) / 2.0 / 1080, (x2 - x1) / 1920.0, (y2 - y1) / 1080.0) AS line "
+    "FROM (SELECT *, l_suppkey AS x1, l_linenumber * 10 AS y1, l_suppkey + 64 AS x2, l_linenumber * 10 + 27 AS y2 FROM lineitem)"
+)
+def label_codec(d: Domain) -> DataFrame:
+    """Boxes as label lines; tests read them back."""
+    c = F.col
+    line = detections.encode_label(c("l_suppkey"), c("l_linenumber") * 10, c("l_suppkey") + 64, c("l_linenumber") * 10 + 27, F.lit(1920), F.lit(1080))
+    return d.table("lineitem").select("l_orderkey", "l_linenumber", line.alias("line"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size > 40 THEN 'skipped' WHEN p_size > 10 THEN 'labeled' ELSE 'unlabeled' END AS status FROM part")
+def label_status(d: Domain) -> DataFrame:
+    return d.table("part").select("p_partkey", detections.label_status(F.col("p_size") > 10, F.col("p_size") > 40).alias("status"))
+
+
+@query()
+def train_val_split(d: Domain) -> DataFrame:
+    return sampling.exact_split(d.table("part").select("p_partkey"), "p_partkey", 0.8, 1)
+
+
+@query(
+    "SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS path, x1, conf FROM lineitem LEFT JOIN (SELECT * FROM (SELECT l_orderkey AS k, greatest(0, least(l_partkey, 1919)) AS x1, 0.5 + 5 * l_discount AS conf, least(l_partkey + 100, 1919) AS x2 FROM lineitem WHERE 0.5 + 5 * l_discount > 0.8 "
+    "QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY 0.5 + 5 * l_discount DESC, l_linenumber, l_partkey DESC, l_suppkey DESC) = 1) WHERE x1 > 960 AND x2 - x1 >= 30) ON k = l_orderkey"
+)
+def best_detection(d: Domain) -> DataFrame:
+    """The most confident panel of each picture, where it lies right and is large enough."""
+    from pyspark.sql import Window
+
+    rank = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", F.desc("l_partkey"), F.desc("l_suppkey")))
+    x = F.col("l_partkey").cast("int")
+    rows = d.table("lineitem").select(F.col("l_orderkey").cast("string").alias("path"), rank.alias("pos"), F.array(x, F.lit(10), x + 100, F.lit(200)).alias("box"), (F.lit(0.5) + 5 * F.col("l_discount")).alias("conf"), F.lit(1920).alias("width"), F.lit(1080).alias("height"))
+    best = observations.best_panel(rows)
+    top = rows.groupBy("path").agg(F.max("conf").alias("conf"))
+    return best.join(top, "path").select("path", F.col("box")[0].cast("long").alias("x1"), F.when(F.col("box").isNotNull(), F.col("conf")).alias("conf"))
+
+
+@query(
+    "SELECT CAST(l_orderkey AS VARCHAR) AS path, string_agg(p_brand || l_linenumber, ',' ORDER BY l_suppkey, l_linenumber, l_partkey) AS names, count(*) AS n FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_discount >= 0.035 GROUP BY 1"
+)
+def ocr_names(d: Domain) -> DataFrame:
+    """Names among a picture's hits, ordered by where they stand; unsure lines and interface words go."""
+    c = F.col
+    corner = F.array(c("l_linenumber").cast("double") + 0.25, c("l_suppkey").cast("double") + 0.5)
+    text = F.concat(F.lit("7 "), "p_brand", c("l_linenumber").cast("string"))
+    hit = lambda t: F.struct(F.array(corner).alias("box"), t.alias("text"), (c("l_discount") * 10).alias("score"))
+    both = F.array(hit(text), hit(F.lit("Spectators: 4")))
+    joined = d.table("lineitem").join(d.table("part"), c("l_partkey") == c("p_partkey"))
+    rows = joined.select(c("l_orderkey").cast("string").alias("path"), c("l_partkey"), F.explode(both).alias("hit")).groupBy("path").agg(F.sort_array(F.collect_list(F.struct("l_partkey", "hit"))).alias("hits"))
+    names = rows.select("path", observations.names_of(F.transform("hits", lambda h: h["hit"])).alias("names")).where(F.size("names") > 0)
+    return names.select("path", F.array_join("names", ",").alias("names"), F.size("names").cast("long").alias("n"))
