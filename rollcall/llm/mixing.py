@@ -32,7 +32,7 @@ BLOCK_WORDS = 256
 #: Words of an output shard. The driver holds one count for each shard and source.
 SHARD_WORDS = 64_000_000
 #: Documents of one group of a source, about.
-GROUP_DOCS = 20_000
+GROUP_DOCS = 2_000
 SEED = 20240229
 
 
@@ -162,7 +162,7 @@ class Mix:
             (F.least((F.col("k") + 1) * block_words, "end") - F.col("begin")).alias("to_word"),
         )
         #: Word ranges taken of each document, by epoch.
-        self.taken = pieces.join(draws, ["source_at", "at"])
+        self.taken = pieces.join(draws.hint("merge"), ["source_at", "at"])  # no statistics tell how large it is
 
     def report(self) -> DataFrame:
         """doc_id, size, source_size, target, taken of every row; taken counts words as often as they are drawn."""
