@@ -7,12 +7,13 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..session import importable
 from .sampling import exact_split
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _label_text(xc: pd.Series, yc: pd.Series, w: pd.Series, h: pd.Series) -> pd.Series:
     """Six decimals of the double itself; the JVM's formatter rounds its shortest decimal text instead."""
     return pd.Series([None if pd.isna(v[0] + v[1] + v[2] + v[3]) else "0 %.6f %.6f %.6f %.6f" % v for v in zip(xc, yc, w, h, strict=True)], dtype=object)

@@ -16,6 +16,7 @@ from urllib.request import urlopen
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.types import StructType
 
 from ..operators.ingest import EARLIEST
 from ..schemas import API_BATTLE
@@ -50,8 +51,8 @@ class ReplayApi(DataSource):
     def name(cls) -> str:
         return "replay_api"
 
-    def schema(self) -> str:
-        return API_BATTLE.simpleString().removeprefix("struct<").removesuffix(">")
+    def schema(self) -> StructType:
+        return API_BATTLE
 
     def reader(self, schema) -> DataSourceReader:
         return _Reader(dict(self.options))
