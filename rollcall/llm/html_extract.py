@@ -44,10 +44,16 @@ ASIDE_WORDS = set(
     "breadcrumbs footer masthead comment comments disqus reply replies respond related recommended recommendations share sharing "
     "social widget widgets popup modal overlay pagination pager toolbar copyright legal disclaimer skip".split()
 )
+#: What makes even an article element no main text.
+_REPLY = set("comment comments reply related teaser promo sponsored advert ad".split())
 #: Words beside which one of ASIDE_WORDS describes a wrapper, and those beside which a header is the article's.
 _WRAPPER = set("with has no without wrapper layout page".split())
 _ARTICLE = set("article post entry story content title headline".split())
 
+#: Outside of these a run of fewer words is more often a label than a text.
+_PROSE = set("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption dd".split())
+SHORT = 6
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*+)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)",
@@ -62,7 +68,7 @@ def _is_aside(name: str, rest: str, in_article: bool) -> bool:
         return True
     if name == "header" and not in_article:
         return True
-    if name in ("html", "body", "main", "article") or not rest.strip():
+    if name in ("html", "body", "main") or not rest.strip():
         return False
     for key, *values in _ATTRIBUTE.findall(rest):
         key, value = key.lower(), next((v for v in values if v), "")
@@ -73,6 +79,10 @@ def _is_aside(name: str, rest: str, in_article: bool) -> bool:
         if key in ("class", "id"):
             for one in value.split():
                 words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", one).lower())
+                if name == "article":  # other words there tell what the article is about
+                    if _REPLY & set(words):
+                        return True
+                    continue
                 if not _WRAPPER & set(words) and ASIDE_WORDS & set(words):
                     return True
                 if "header" in words and not in_article and not _ARTICLE & set(words):
@@ -101,7 +111,8 @@ def nodes(page: str) -> list[Node]:
         decoded = html.unescape(raw)
         n = len(decoded.split())
         inside = any(s[2] for s in stack)
-        place = "aside" if aside else "article" if inside else "beside" if has_article else "link" if any(s[0] == "a" for s in stack) else "plain"
+        prose = any(s[0] in _PROSE for s in stack)
+        place = "aside" if aside else "article" if inside else "beside" if has_article else "link" if any(s[0] == "a" for s in stack) else "short" if n < SHORT and not prose else "plain"
         out.append(Node(f"word {place}", n, decoded, block, aside))
 
     def end(name: str) -> None:
@@ -153,7 +164,8 @@ def nodes(page: str) -> list[Node]:
             if name not in VOID and not found["rest"].endswith("/"):
                 stack.append((name, own, name in ("article", "main")))
         kind = "aside" if aside else name if name in ("p", "a", "li", "div", "article", "main", "br") else "heading" if re.fullmatch("h[1-6]", name) else "block" if name in BLOCK else "inline"
-        out.append(Node(f"tag {kind}", 1, " " if name == "br" else "", block, aside))
+        place = " inside" if kind != "aside" and any(s[2] for s in stack) and name not in ("article", "main") else ""
+        out.append(Node(f"tag {kind}{place}", 1, " " if name == "br" else "", block, aside))
     return out
 
 

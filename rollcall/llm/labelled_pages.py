@@ -19,10 +19,10 @@ PAGES = (
     f"<main>{BEGIN}<h1>Bread for both sides</h1><p><b>{_MORE}</b><br>{_LONG}</p><ul><li>{_MORE}</li><li>Rye</li></ul><blockquote>{_LONG}</blockquote><h2>After</h2><p>{_MORE}</p>{END}"
     f"<section id='comments'><h3>3 comments</h3><div class='comment'><p>First! I was there too.</p></div></section></main><footer><p>Imprint</p></footer></body>",
     # divisions without semantic elements
-    f"<html><body><div id='top'><a href='/'>Start</a> | <a href='/a'>Archive</a> | <a href='/l'>Links</a></div><div><div>{BEGIN}<h2>Sand</h2><p>{_LONG}</p><p>{_MORE}</p><p>Then it stopped.</p><p>{_LONG}{_MORE}</p>{END}"
-    f"</div></div><div><ul>{_MENU}</ul></div><div><a href='/x'>Back</a><a href='/y'>Print</a></div></body></html>",
+    f"<html><body><div>The Valley Paper</div><div>Tuesday edition</div><div id='top'><a href='/'>Start</a> | <a href='/a'>Archive</a> | <a href='/l'>Links</a></div><div><div>{BEGIN}<h2>Sand</h2><p>{_LONG}</p><p>{_MORE}</p><p>Then it stopped.</p><p>{_LONG}{_MORE}</p>{END}"
+    f"</div></div><div><ul>{_MENU}</ul></div><div><a href='/x'>Back</a><a href='/y'>Print</a></div><div>Printed in the valley</div></body></html>",
     # text in divisions only, with a cookie notice and a sidebar
-    f"<html><body><div class='cookie-notice'>We use cookies to improve this site. <a href='/c'>More</a></div><table><tr><td><a href='/1'>One</a></td><td><a href='/2'>Two</a></td></tr></table>"
+    f"<html><body><div>Weather: rain</div><div class='cookie-notice'>We use cookies to improve this site. <a href='/c'>More</a></div><table><tr><td><a href='/1'>One</a></td><td><a href='/2'>Two</a></td></tr></table>"
     f"<div>{BEGIN}<div>{_LONG}{_MORE}</div><div>{_MORE}</div><div>{_LONG}</div>{END}</div><div class='sidebar'>Related: <ul>{_MENU}</ul></div></body></html>",
     # an article with an advertisement in the middle
     f"<body><div class='site-header'>Daily news from the valley</div><article>{BEGIN}<header><h1>Bridge opens</h1><p>By a reporter</p></header><p>{_LONG}</p><div class='ad-slot'>Ten percent off all umbrellas this week.</div><p>{_MORE}{_LONG}</p>{END}</article>"

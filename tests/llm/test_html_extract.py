@@ -24,6 +24,10 @@ P = "Some words of an article that go on for a while and then stop."
         (f"<article><p>a < b and 3 <4 {P}</article>", f"a < b and 3 <4 {P}"),
         (f"<article><!-- <p>no</p> --><p title='a > b'>{P}</p></article>", P),
         (f"<article><ul><li>{P}<li>two</ul><table><tr><td>{P}<td>y</table></article>", f"{P}\ntwo\n{P}\ny"),
+        (f"<div>Site name</div><div id=x>Tuesday edition</div><div><h1>One</h1><p>{P}</p><div>{P} z</div></div><div>Next story</div>", f"One\n{P}\n{P} z"),
+        (f"<article><p>{P}</p><article class='comment'><p>{P} Me too.</p></article></article>", P),
+        (f"<div id=content><h2>Two</h2>{P}<br>{P}</div><div class=comments><p>{P}</p></div><div role=alert>{P}</div>", f"Two\n{P} {P}"),
+        (f"<article><div>One</div><p>{P}</p><ul><li>a</li></ul><div>Fin.</div></article><div>Next</div>", f"One\n{P}\na\nFin."),
         (f"<article><p>wo<i>rd</i>s {P}</p>", f"words {P}"),
     ],
 )
