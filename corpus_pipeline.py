@@ -14,8 +14,8 @@ from rollcall.llm.queries import tokenizer_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules or the compression bands reject go."""
-    return quality_rules.keep_good(docs)
+    """Documents that the base rules or the compression bands reject go; sound labelled texts give the bands."""
+    return quality_rules.keep_good(docs, quality_rules.fit_bands(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

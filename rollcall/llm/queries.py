@@ -58,7 +58,8 @@ def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, compression figures and the verdict of every document."""
-    return quality_rules.measure(_table(spark, sf_dir, "documents"))
+    docs = _table(spark, sf_dir, "documents")
+    return quality_rules.measure(docs, quality_rules.fit_bands(docs, _table(spark, sf_dir, "labels")))
 
 
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
