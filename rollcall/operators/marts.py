@@ -90,3 +90,19 @@ def serving_tables(battles: DataFrame, participants: DataFrame, battle_videos: D
         "all_map_names": map_names(maps),
         "last_battle": last_upload(videos),
     }
+
+
+def serving_document(tables: dict[str, DataFrame]) -> DataFrame:
+    """(value): the serving document as JSON lines, {table: {key: rows}} a line, for clients that want text.
+
+    One line a key keeps lines small; a reader merges the objects of equal table names.
+    """
+    keys = {"player_index": "player_name", "battle_matches": "battle_id", "map_index": "map_name"}
+    line = lambda name, value: F.to_json(F.create_map(F.lit(name), value)).alias("value")
+    out = tables["last_battle"].select(F.to_json(F.struct("last_battle")).alias("value"))
+    for name, rows in tables.items():
+        if name in keys:
+            out = out.unionByName(match_lists(rows, keys[name]).select(line(name, F.create_map(F.col(keys[name]), F.col("matches")))))
+        elif name != "last_battle":
+            out = out.unionByName(rows.select(line(name, F.struct("*"))))
+    return out

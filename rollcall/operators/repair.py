@@ -15,10 +15,11 @@ def is_incomplete(title: Column, upload_date: Column, uploader: Column) -> Colum
     return blank(title) | blank(upload_date) | blank(uploader)
 
 
-def video_ids_of_files(files: DataFrame) -> DataFrame:
-    """(video_id): distinct ids of files(path) that are .png, suffix and white space cut off."""
+def video_ids_of_files(files: DataFrame, any_file: bool = False) -> DataFrame:
+    """(video_id): distinct ids of files(path), frame suffix and white space cut off; of .png files, or of any."""
     name = T.base_name(F.col("path"))
-    return files.where(name.endswith(".png")).select(T.strip_frame_suffix(name).alias("video_id")).distinct()
+    named = files if any_file else files.where(name.endswith(".png"))
+    return named.select(T.strip_frame_suffix(name).alias("video_id")).distinct()
 
 
 def missing(files: DataFrame, metadata: DataFrame) -> DataFrame:

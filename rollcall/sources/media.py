@@ -80,3 +80,24 @@ def take_frames(videos: DataFrame, have: DataFrame, factory: Callable[[], MediaS
 
     # Each frame is a request of its own, so they're spread evenly.
     return wanted.select("video_id", "url", "video_timestamp_sec").repartition("video_id", "video_timestamp_sec").mapInPandas(run, "video_id string, video_timestamp_sec int, content binary, error string")
+
+
+def channel_frames(channels: DataFrame, factory: Callable[[], MediaService], after: str, skips: DataFrame, have: DataFrame, tag: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """All of a channel run: (metadata of the videos listed, frames taken of those that could be read)."""
+    metadata = fetch_metadata(list_channels(channels, factory, after, skips), factory)
+    return metadata, take_frames(metadata.where(F.col("error").isNull()), have, factory, tag)
+
+
+def flatten_playlist(entries: DataFrame, column: str = "entries", depth: int = 4) -> DataFrame:
+    """Leaves of nested playlists: rows of entries(.., column: JSON array of objects) down to `depth` levels.
+
+    (entry): each object without a list of entries of its own, as JSON text. Deeper lists stay objects.
+    """
+    level = entries.select(F.explode(F.from_json(column, "array<string>")).alias("entry"))
+    out = None
+    for i in range(depth):
+        inner = F.get_json_object("entry", "$.entries")
+        leaves = level.where(inner.isNull()) if i < depth - 1 else level
+        out = leaves if out is None else out.unionByName(leaves)
+        level = level.where(inner.isNotNull()).select(F.explode(F.from_json(inner, "array<string>")).alias("entry"))
+    return out

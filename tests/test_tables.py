@@ -37,6 +37,9 @@ def test_serving_tables(spark, world, tmp_path):
     assert rows(t["ocr_index"], "ocr_name") == [("Xavier",), ("x",), ("x",), ("xx",)]
     io.write_serving_tables(t, str(tmp_path))
     assert spark.read.parquet(f"{tmp_path}/all_player_names").count() == 2
+    lines = [json.loads(r.value) for r in marts.serving_document(t).collect()]
+    assert {"last_battle": 20240301} in lines and sum("all_map_names" in x for x in lines) == 1
+    assert [x["player_index"]["x"] for x in lines if "x" in x.get("player_index", {})] == [[{"battle_id": "B1"}, {"battle_id": "B2"}]]
     assert marts.index_totals(t["player_index"], t["battle_matches"], t["ocr_index"], t["map_index"]).first() == (2, 2, 3, 1)
 
 
@@ -133,6 +136,10 @@ def test_media_and_repair(spark):
     assert rows(got, "video_id", "title", "error") == [("a1", None, "private"), ("a2", "t a2", None), ("b1", None, "private")]
     none = spark.createDataFrame([], "video_id string, video_timestamp_sec int")
     assert rows(media.take_frames(got, none, Service)) == [("a2", 90, bytearray(b"s@90"), None)]
+    metadata, frames = media.channel_frames(io.channels(spark, ["a"]), Service, "20240101", spark.createDataFrame([], "value string"), none)
+    assert rows(metadata, "video_id") == [("a1",), ("a2",)] and rows(frames, "video_id", "video_timestamp_sec") == [("a2", 90)]
+    nested = spark.createDataFrame([('[{"id": 1}, {"entries": [{"id": 2}, {"entries": [{"id": 3}]}]}]',)], "entries string")
+    assert [json.loads(r.entry)["id"] for r in media.flatten_playlist(nested).collect()] == [1, 2, 3]
     files = spark.createDataFrame([("/s/a2_90s.png",), ("/s/x1_90s.png",), ("/s/y_90s.png",)], "path string")
     names = ["video_id", "title", "upload_date", "duration", "uploader", "tags", "thumbnail"]
     known = spark.createDataFrame([("a2", "", "d", 1.0, "u", None, None), ("y", "kept", "d", 1.0, "u", None, None), ("q1", "titled", None, 1.0, "u", None, None)], "video_id string, title string, upload_date string, duration double, uploader string, tags array<string>, thumbnail string")
