@@ -4,6 +4,10 @@ For each host and line, the pages that contain the line are divided by the host'
 ratio is boilerplate of that host and goes from all its pages. DataFrame operations only. Lines travel as
 64-bit hashes, counted before the shuffle, so a hot host or line costs one row a task. The text is not
 shuffled while the boilerplate table is small: a host has at most (its lines a page / ratio) such lines.
+
+A page that would lose more than SPARE of its characters isn't framed by boilerplate, it is one of many copies:
+a large group of copies puts all its lines on many of a host's pages. Such a page stays whole, for a search for
+near duplicates to judge.
 """
 
 from __future__ import annotations
@@ -17,6 +21,8 @@ from ._session import keep
 RATIO = 0.1
 #: And on at least so many pages, as a host of a few pages has no boilerplate to speak of.
 MIN_PAGES = 5
+#: A page loses at most this share of its lines' characters, or nothing.
+SPARE = 0.5
 
 
 def _trimmed(line: Column) -> Column:
@@ -40,23 +46,29 @@ def boilerplate(docs: DataFrame, host: str, ratio: float = RATIO, min_pages: int
     return keep(frequent.groupBy("host").agg(F.sort_array(F.collect_list("line")).alias("lines")))
 
 
-def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, counts: bool = False) -> DataFrame:
+def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, spare: float = SPARE, counts: bool = False) -> DataFrame:
     """docs with the boilerplate lines of its hosts gone from `text`; other columns and all rows stay.
 
     Lines end at \\n and are compared without white space around them; a line of white space only is never
     boilerplate. A line counts once a page, however often it stands there; rows with equal ids are pages of
-    their own. Null text stays null and still is a page; a null host is a host of its own. A page all of
-    whose lines go becomes the empty text. With counts, n_lines and n_dropped follow (lines of white space
-    only count for neither); columns of these names are replaced. An empty table gives an empty result.
+    their own. Null text stays null and still is a page; a null host is a host of its own. A page whose
+    boilerplate lines have more than `spare` of its lines' characters stays as it is. With counts, n_lines and
+    n_dropped follow (lines of white space only count for neither); columns of these names are replaced. An
+    empty table gives an empty result.
     """
     found = boilerplate(docs, host, ratio, min_pages).select(F.col("host").alias("_host"), F.col("lines").alias("_boilerplate"))
     joined = docs.join(found, docs[host].eqNullSafe(found["_host"]), "left").drop("_host")
-    hit = lambda x: F.coalesce(F.array_contains("_boilerplate", F.xxhash64(_trimmed(x))), F.lit(False)) & (_trimmed(x) != "")
+    known = F.coalesce("_boilerplate", F.array().cast("array<bigint>"))
+    told = lambda x: F.struct(x.alias("line"), (_trimmed(x) != "").alias("full"), (F.array_contains(known, F.xxhash64(_trimmed(x))) & (_trimmed(x) != "")).alias("hit"))
+    joined = joined.withColumn("_lines", F.transform(_lines(F.coalesce("text", F.lit(""))), told))
+    chars = lambda which: F.aggregate(F.filter("_lines", which), F.lit(0), lambda n, x: n + F.length(x["line"]))
+    joined = joined.withColumn("_frame", chars(lambda x: x["hit"]) <= spare * chars(lambda x: x["full"]))
     if counts:
-        text = F.coalesce("text", F.lit(""))
-        joined = joined.withColumns({"n_lines": F.size(F.filter(_lines(text), lambda x: _trimmed(x) != "")).cast("long"), "n_dropped": F.size(F.filter(_lines(text), hit)).cast("long")})
-    kept = F.array_join(F.filter(_lines(F.col("text")), lambda x: ~hit(x)), "\n")
-    return joined.withColumn("text", F.when(F.col("_boilerplate").isNull(), F.col("text")).otherwise(kept)).drop("_boilerplate")
+        dropped = F.when(F.col("_frame"), F.size(F.filter("_lines", lambda x: x["hit"]))).otherwise(0)
+        joined = joined.withColumns({"n_lines": F.size(F.filter("_lines", lambda x: x["full"])).cast("long"), "n_dropped": dropped.cast("long")})
+    kept = F.array_join(F.transform(F.filter("_lines", lambda x: ~x["hit"]), lambda x: x["line"]), "\n")
+    change = F.col("text").isNotNull() & F.col("_frame") & F.exists("_lines", lambda x: x["hit"])
+    return joined.withColumn("text", F.when(change, kept).otherwise(F.col("text"))).drop("_boilerplate", "_lines", "_frame")
 
 
 #: DuckDB's twin of drop_boilerplate(documents, counts=True) as op5 selects it.
@@ -81,10 +93,11 @@ WITH page AS (
   FROM trimmed t LEFT JOIN boiler b ON t.source IS NOT DISTINCT FROM b.source AND t.key = b.key
 ), joined AS (
   SELECT page, string_agg(raw, chr(10) ORDER BY pos) FILTER (WHERE NOT gone) AS text,
-         count(*) FILTER (WHERE key <> '') AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped
+         count(*) FILTER (WHERE key <> '') AS n_lines, count(*) FILTER (WHERE gone) AS n_hit,
+         coalesce(sum(length(raw)) FILTER (WHERE gone), 0) <= {SPARE} * coalesce(sum(length(raw)) FILTER (WHERE key <> ''), 0) AS frame
   FROM judged GROUP BY page
 )
-SELECT p.doc_id, p.source, CASE WHEN p.text IS NULL THEN NULL ELSE coalesce(j.text, '') END AS text,
-       j.n_lines, j.n_dropped
+SELECT p.doc_id, p.source, CASE WHEN p.text IS NULL THEN NULL WHEN frame THEN coalesce(j.text, '') ELSE p.text END AS text,
+       j.n_lines, CASE WHEN frame THEN n_hit ELSE 0 END AS n_dropped
 FROM page p JOIN joined j USING (page)
 """

@@ -18,6 +18,8 @@ def brute(rows, ratio=0.1, least=5):
         lines = (t or "").split("\n")
         gone = [on[s][strip(x)] >= least and on[s][strip(x)] > ratio * pages[s] for x in lines]
         n = sum(strip(x) != "" for x in lines)
+        if 2 * sum(len(x) for x, g in zip(lines, gone) if g) > sum(len(x) for x in lines if strip(x)):
+            gone = [False] * len(lines)
         out.append((i, s, None if t is None else "\n".join(x for x, g in zip(lines, gone) if not g), n, sum(gone)))
     return sorted(out, key=str)
 
@@ -28,7 +30,7 @@ def corpus():
         s = ["a", "b", None][i % 3]
         lines = [f"own {i}", " menu ", "", f"own {i}", "menu"] if i % 2 else [f"x {i}", "   ", "rare" if i < 3 else "y"]
         rows.append((i, "\n".join(lines), s))
-    return [*rows, (60, None, "a"), (60, None, "a"), (61, "", "b"), (62, "\n\n", None), (63, "menu", "a"), (64, "z" * 100_000 + "\nmenu\n", "a"), (65, "menu", "single"), (66, "a\r\nmenu\r\n", "a")]
+    return [*rows, (60, None, "a"), (60, None, "a"), (61, "", "b"), (62, "\n\n", None), (63, "menu", "a"), (64, "z" * 100_000 + "\nmenu\n", "a"), (65, "menu", "single"), (66, "a\r\nmenu\r\n", "a"), *[(70 + i, f"copy one\ncopy two {i % 2}\ncopy three", "a") for i in range(12)]]
 
 
 def test_equals_brute_force_and_sql(spark):
