@@ -60,11 +60,12 @@ def last_upload(videos: DataFrame) -> DataFrame:
 
 def index_totals(players: DataFrame, battles: DataFrame, ocr: DataFrame, maps: DataFrame) -> DataFrame:
     """(players, battles, ocr_names, maps): how many keys each index has, in one row."""
-    count = lambda df, c, name: df.agg(F.countDistinct(c).alias(name))
-    out = count(players, "player_name", "players")
-    for other in (count(battles, "battle_id", "battles"), count(ocr, "ocr_name", "ocr_names"), count(maps, "map_name", "maps")):
-        out = out.join(other)  # one row by one row
-    return out
+    parts = {"players": players.select("player_name"), "battles": battles.select("battle_id"), "ocr_names": ocr.select("ocr_name"), "maps": maps.select("map_name")}
+    keys = None
+    for name, df in parts.items():
+        own = df.toDF("key").distinct().select(F.lit(name).alias("kind"), "key")
+        keys = own if keys is None else keys.unionByName(own)
+    return keys.agg(*[F.count_if((F.col("kind") == name) & F.col("key").isNotNull()).alias(name) for name in parts])
 
 
 def player_lists(index: DataFrame) -> DataFrame:

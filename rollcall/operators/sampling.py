@@ -53,8 +53,8 @@ def exact_split(rows: DataFrame, key: str, share: float = 0.8, seed: int = 0) ->
     drawn = rows.withColumns({"_lot": lot, "_bucket": F.shiftrightunsigned(lot, 52)})
     counts = drawn.groupBy("_bucket").agg(F.count("*").alias("_n"))
     order = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select("_bucket", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before"))  # 4096 rows at most
-    total = counts.agg(F.sum("_n").alias("_total"))
+    whole = Window.partitionBy(F.lit(0))  # both over 4096 rows at most
+    before = counts.select("_bucket", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before"), F.sum("_n").over(whole).alias("_total"))
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_lot", key)) + F.col("_before")
-    ranked = drawn.join(F.broadcast(before), "_bucket").join(F.broadcast(total)).withColumn("_rank", rank)
+    ranked = drawn.join(F.broadcast(before), "_bucket").withColumn("_rank", rank)
     return ranked.withColumn("split", F.when(F.col("_rank") <= F.floor(F.col("_total") * share), "train").otherwise("val")).drop("_lot", "_bucket", "_before", "_total", "_rank")

@@ -56,10 +56,9 @@ def first_items(names: DataFrame, column: str, k: int = LIST_ROWS) -> DataFrame:
 def player_outcome(index: DataFrame, matches: DataFrame, name: str) -> DataFrame:
     """(outcome): 'unknown_player', 'no_videos' or 'found', in one row."""
     own = index.where(F.col("player_name") == name).select("battle_id")
-    known = own.agg(F.count("*").alias("known"))
-    shown = matches.join(own, "battle_id", "left_semi").agg(F.count("*").alias("shown"))
-    outcome = F.when(F.col("known") == 0, "unknown_player").when(F.col("shown") == 0, "no_videos").otherwise("found")
-    return known.join(shown).select(outcome.alias("outcome"))  # one row by one row
+    shown = matches.join(own, "battle_id", "left_semi").select(F.lit(True).alias("shown"))
+    told = own.select(F.lit(False).alias("shown")).unionByName(shown).agg(F.count("*").alias("known"), F.count_if("shown").alias("shown"))
+    return told.select(F.when(F.col("known") == 0, "unknown_player").when(F.col("shown") == 0, "no_videos").otherwise("found").alias("outcome"))
 
 
 def query_name(url: str) -> str | None:
