@@ -13,7 +13,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -56,13 +56,13 @@ SHORT = 6
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*+)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)",
+    r"|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*+)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?=>|\Z)|[^>]*+)(?:>|\Z)",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 
 
-@cache
+@lru_cache(4096)
 def _is_aside(name: str, rest: str, in_article: bool) -> bool:
     if name in ASIDE_TAGS:
         return True
@@ -102,29 +102,33 @@ class Node:
 def nodes(page: str) -> list[Node]:
     """The page as words and tags in order. Unclosed elements end with what holds them; text is decoded."""
     out: list[Node] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, aside, article
+    # Open elements: name, and whether it or one around it is an aside, an article, a link, prose.
+    stack: list[tuple[str, bool, bool, bool, bool]] = [("", False, False, False, False)]
+    opened: Counter[str] = Counter()
     has_article = re.search(r"<(article|main)\b", page, re.I) is not None
     at, block, size = 0, 0, len(page)
 
     def text(raw: str) -> None:
-        aside = any(s[1] for s in stack)
+        _, aside, inside, link, prose = stack[-1]
         decoded = html.unescape(raw)
         n = len(decoded.split())
-        inside = any(s[2] for s in stack)
-        prose = any(s[0] in _PROSE for s in stack)
-        place = "aside" if aside else "article" if inside else "beside" if has_article else "link" if any(s[0] == "a" for s in stack) else "short" if n < SHORT and not prose else "plain"
+        place = "aside" if aside else "article" if inside else "beside" if has_article else "link" if link else "short" if n < SHORT and not prose else "plain"
         out.append(Node(f"word {place}", n, decoded, block, aside))
 
+    def close(i: int) -> None:
+        opened.subtract(s[0] for s in stack[i:])
+        del stack[i:]
+
     def end(name: str) -> None:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] == name:
-                del stack[i:]
-                return
+        if opened[name]:
+            close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name))
 
     def end_in_scope(names: set[str]) -> None:
-        for i in range(len(stack) - 1, -1, -1):
+        if not any(opened[n] for n in names):
+            return
+        for i in range(len(stack) - 1, 0, -1):
             if stack[i][0] in names:
-                del stack[i:]
+                close(i)
                 return
             if stack[i][0] in _SCOPE:
                 return
@@ -150,21 +154,21 @@ def nodes(page: str) -> list[Node]:
             continue
         if name in BLOCK:
             block += 1
-        aside = any(s[1] for s in stack)
+        aside = stack[-1][1]
         if closing:
             end(name)
         else:
-            in_article = any(s[2] for s in stack)
             if name in BLOCK:
                 end_in_scope({"p"})
             if name in CLOSES:
                 end_in_scope(CLOSES[name])
-            own = _is_aside(name, found["rest"], in_article)
-            aside = aside or own
+            _, within, inside, link, prose = stack[-1]
+            aside = within or _is_aside(name, found["rest"], inside)
             if name not in VOID and not found["rest"].endswith("/"):
-                stack.append((name, own, name in ("article", "main")))
+                stack.append((name, aside, inside or name in ("article", "main"), link or name == "a", prose or name in _PROSE))
+                opened[name] += 1
         kind = "aside" if aside else name if name in ("p", "a", "li", "div", "article", "main", "br") else "heading" if re.fullmatch("h[1-6]", name) else "block" if name in BLOCK else "inline"
-        place = " inside" if kind != "aside" and any(s[2] for s in stack) and name not in ("article", "main") else ""
+        place = " inside" if kind != "aside" and stack[-1][2] and name not in ("article", "main") else ""
         out.append(Node(f"tag {kind}{place}", 1, " " if name == "br" else "", block, aside))
     return out
 

@@ -47,7 +47,7 @@ def test_weights_and_region():
 
 
 def test_hostile_markup_is_linear():
-    for page in ("<" * 50_000, "<a \"" * 30_000, "<div>" * 3_000, "<!--" * 30_000, "<script>" * 20_000, "</p>" * 50_000, "&" * 50_000, "x" * 300_000):
+    for page in ("<" * 50_000, "<a \"" * 30_000, "<div>" * 100_000, "<b>" * 50_000 + "<center>" * 50_000, "<i>" * 50_000 + "</b>" * 50_000, "<a \">" * 30_001, "<!--" * 30_000, "<script>" * 20_000, "</p>" * 50_000, "&" * 50_000, "x" * 300_000):
         assert isinstance(main_text(page), str)
 
 
