@@ -163,17 +163,16 @@ def _documents_of_block(percent: int):
 
 
 def _short_lists(percent: int):
-    """Step 3's list entries of each class: the shingles of its n - T + 1 shortest lists that others are on."""
+    """Step 3's list entries of each row: the shingles of its n - T + 1 shortest lists that others are on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, lists, lengths = batch.column(0), [], []
+            lists = []
             for n, vals, dfs in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
                 vals, dfs = np.frombuffer(vals.as_buffer(), np.uint64), np.frombuffer(dfs.as_buffer(), np.uint32)
                 short = np.lexsort((vals, dfs))[: len(vals) - _need(n, percent) + 1]
-                lists.append(vals[short])
-                lengths.append(len(short))
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids.to_numpy(), lengths)), pa.array(np.concatenate(lists).astype(np.int64) if lists else np.zeros(0, np.int64))], ["doc_id", "list"])
+                lists.append(vals[short].astype(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(pa.int64()))], ["row", "lists"])
 
     return run
 
@@ -301,7 +300,7 @@ def links(ids: np.ndarray, sizes: np.ndarray, sets: list[np.ndarray], percent: i
 
 def _links_of_group(percent: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        ids = table.column("doc_id").to_numpy()
+        ids = table.column("row").to_numpy()
         ids, first = np.unique(ids, return_index=True)
         sets = [np.frombuffer(table.column("vals")[int(i)].as_buffer(), np.uint64) for i in first]
         pairs = links(ids, table.column("n").to_numpy()[first], sets, percent) if len(ids) > 1 else []
@@ -320,17 +319,17 @@ def _large_cells(members: DataFrame, percent: int) -> DataFrame:
     """
     run, out = _links_of_group(percent), "a long, b long"
     size = members.groupBy("cell").agg(F.ceil(F.sum("n") / CELL_SHINGLES).alias("blocks"))
-    members = keep(members.join(size, "cell").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks"))))
+    members = keep(members.join(size, "cell").withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks"))))
     first = keep(members.groupBy("cell", "block").applyInArrow(run, out))
 
     def labelled(edges: DataFrame) -> DataFrame:
         comp = components(edges)
-        return members.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+        return members.join(comp.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
 
     from pyspark.sql import Window
 
     part = labelled(first)
-    rank = F.row_number().over(Window.partitionBy("component", "block").orderBy(F.xxhash64("doc_id")))
+    rank = F.row_number().over(Window.partitionBy("component", "block").orderBy(F.xxhash64("row")))
     stand = keep(part.withColumn("rank", rank).where(F.col("rank") <= STANDINS))
     groups = stand.groupBy("cell").agg(F.ceil(F.sum("n") / CELL_SHINGLES).alias("chunks"))
     second = keep(first.unionByName(stand.join(groups, "cell").groupBy("cell", F.pmod(F.xxhash64("component"), F.col("chunks"))).applyInArrow(run, out)))
@@ -340,8 +339,8 @@ def _large_cells(members: DataFrame, percent: int) -> DataFrame:
     part = keep(part.join(top, "cell"))
     outside = part.where("component <> top")
     chunks = outside.groupBy("cell").agg(F.ceil(F.sum("n") / CELL_SHINGLES).alias("chunks"))
-    outside = outside.join(chunks, "cell").withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.col("chunks")))
-    columns = ["cell", "block", "chunk", "doc_id", "n", "vals"]
+    outside = outside.join(chunks, "cell").withColumn("chunk", F.pmod(F.xxhash64("row", F.lit(7)), F.col("chunks")))
+    columns = ["cell", "block", "chunk", "row", "n", "vals"]
     inside = part.join(chunks, "cell").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).select(columns)
     spread = outside.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(columns)
     third = inside.unionByName(spread).groupBy("cell", "block", "chunk").applyInArrow(run, out)
@@ -353,8 +352,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
 
     Links are those of the module's head; component_id is the smallest doc_id reachable by them.
     Null or empty text, or one of white space only: an empty set, linked with nothing. Rows of equal
-    texts link. A repeated doc_id gives a row each, whose component is the smallest of its rows'. A null
-    doc_id is dropped. Extra columns are ignored; an empty table gives an empty result.
+    texts link. Rows with equal doc_id are documents of their own. A null doc_id is dropped. Extra columns
+    are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -362,33 +361,38 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
     n_buckets = buckets(docs, BUCKET_BYTES, 4)
     blobs = docs.mapInArrow(_shingle_blobs(n_buckets, k), _BLOB)
     shared = blobs.groupBy("bucket").applyInArrow(_shared_in_bucket, _BLOB)
-    sets = keep(shared.groupBy("block").applyInArrow(_documents_of_block(percent), _SETS))
+    sets = shared.groupBy("block").applyInArrow(_documents_of_block(percent), _SETS)
+    sets = keep(sets.withColumn("row", F.monotonically_increasing_id()))  # written, so it stays
     signature = ["n", "sig_a", "sig_b"]
-    classes = sets.where("vals is not null").groupBy(signature).agg(F.min("doc_id").alias("class_id"))
-    members = sets.where("vals is not null").join(classes, signature)
-    reps = keep(members.where("doc_id = class_id").dropDuplicates(["doc_id"]).select("doc_id", "n", "vals", "dfs"))
-    entries = keep(reps.mapInArrow(_short_lists(percent), "doc_id long, list long"))
-    heads = entries.groupBy("list").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("list", "a")
-    cells = components(entries.join(heads, "list").select("a", F.col("doc_id").alias("b")))
-    members = keep(reps.join(cells.withColumnRenamed("node", "doc_id"), "doc_id").select(F.col("component").alias("cell"), "doc_id", "n", "vals"))
+    able = sets.where("vals is not null")
+    classes = keep(able.groupBy(signature).agg(F.min("row").alias("first")))
+    # Of each class one row's sets are searched. Rows are looked up by number, so a large group of copies is no hot
+    # key, and the sets themselves move once, to their cells.
+    firsts = classes.select(F.col("first").alias("row"))
+    short = able.select("row", "n", "vals", "dfs").mapInArrow(_short_lists(percent), "row long, lists array<long>")
+    entries = keep(short.join(firsts, "row", "left_semi").select("row", F.explode("lists").alias("list")))
+    heads = entries.groupBy("list").agg(F.min("row").alias("a"), F.max("row").alias("b")).where("a < b").select("list", "a")
+    cells = components(entries.join(heads, "list").select("a", F.col("row").alias("b"))).withColumnRenamed("node", "row")
+    members = keep(able.select("row", "n", "vals").join(cells.hint("merge"), "row").select(F.col("component").alias("cell"), "row", "n", "vals"))
     size = members.groupBy("cell").agg(F.sum("n").alias("total"))
     large = size.where(F.col("total") > CELL_SHINGLES).select("cell")
     small = members.join(size.where(F.col("total") <= CELL_SHINGLES).select("cell"), "cell")
     found = small.groupBy("cell").applyInArrow(_links_of_group(percent), "a long, b long")
     if not large.isEmpty():
         found = found.unionByName(_large_cells(members.join(large, "cell"), percent))
-    copies = sets.where("vals is not null").join(classes, signature).select(F.col("class_id").alias("a"), F.col("doc_id").alias("b"))
-    joined = components(found)
-    by_class = copies.join(joined.withColumnRenamed("node", "a"), "a", "left").select(F.col("b").alias("doc_id"), F.coalesce("component", "a").alias("component_id"))
-    by_class = by_class.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
-    out = sets.select("doc_id", F.col("n").alias("n_shingles")).join(by_class, "doc_id", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    joined = components(found).withColumnRenamed("node", "first")
+    copies = able.select("row", *signature).join(classes, signature).select("row", "first")
+    of_row = copies.join(joined, "first", "left").select("row", F.coalesce("component", "first").alias("component"))
+    every = keep(sets.select("row", "doc_id", F.col("n").alias("n_shingles")).join(of_row, "row", "left").withColumn("component", F.coalesce("component", "row")))
+    smallest = every.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return every.join(smallest, "component").select("doc_id", "n_shingles", "component_id")
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     """Rows of docs that stand for their group: those whose doc_id is its component_id.
 
-    Of rows with a repeated doc_id all or none stay; a row with a null doc_id stays.
+    Rows with a repeated doc_id all stay if one of them stands for its group; a row with a null doc_id stays.
     """
-    found = jaccard_components(docs, k, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(found, docs["doc_id"] == found["_gone"], "left_anti")
+    stands = F.max(F.col("doc_id") == F.col("component_id"))
+    gone = jaccard_components(docs, k, percent).groupBy("doc_id").agg(stands.alias("stands")).where("not stands").select(F.col("doc_id").alias("_gone"))
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")

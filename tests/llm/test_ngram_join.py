@@ -78,10 +78,9 @@ def test_empty_repeated_and_null_ids(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard_components(empty).collect() == []
     docs = spark.createDataFrame([(2, "a b c d e f"), (2, "zz"), (1, "A b c d e f"), (None, "a b c d e f"), (7, "zz")], "doc_id long, text string")
-    got = sorted(map(tuple, jaccard_components(docs).collect()))
-    assert got == [(1, 2, 1), (2, 1, 1), (2, 2, 1), (7, 1, 2)] or got == [(1, 2, 1), (2, 1, 1), (2, 2, 1), (7, 1, 1)]
+    assert sorted(map(tuple, jaccard_components(docs).collect())) == [(1, 2, 1), (2, 1, 2), (2, 2, 1), (7, 1, 2)]
     kept = keep_one(docs).collect()
-    assert {r.doc_id for r in kept} == {1, None}
+    assert sorted(str(r.doc_id) for r in kept) == ["1", "2", "2", "None"]
 
 
 def test_heap_merge():
