@@ -12,6 +12,8 @@ from rollcall.session import importable
 
 #: Rows of an Arrow batch; with texts of a few KB a batch is a few MB.
 BATCH_ROWS = 512
+#: Folders of the tables that keep() made and nobody deleted yet.
+_made: set[str] = set()
 
 
 def prepare(spark: SparkSession) -> None:
@@ -32,21 +34,32 @@ def scratch(spark: SparkSession) -> str:
 def keep(df: DataFrame) -> DataFrame:
     """df written to the shared folder and read again: lineage ends, lost executors lose nothing.
 
-    The folder goes when the driver no longer holds the result (see `Kept`).
+    The table stays until drop() or clean(), as plans that read it may run at any time.
     """
     spark = df.sparkSession
     path = f"{scratch(spark).rstrip('/')}/rollcall-{uuid.uuid4().hex}"
+    _made.add(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete every table that this driver kept; for after the results are written."""
+    while _made:
+        _delete(spark, _made.pop())
+
+
 def drop(spark: SparkSession, *frames: DataFrame) -> None:
     """Delete tables that keep() made, once no later plan reads them."""
     for df in frames:
         for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             if "/rollcall-" in file:
-                path = spark._jvm.org.apache.hadoop.fs.Path(file)
-                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+                _delete(spark, file)
 
 
 def stored_bytes(df: DataFrame) -> int:

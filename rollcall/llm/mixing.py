@@ -33,6 +33,8 @@ BLOCK_WORDS = 256
 SHARD_WORDS = 64_000_000
 #: Documents of one group of a source, about.
 GROUP_DOCS = 2_000
+#: Rows of a small table (sources, groups) that is broadcast; beyond, joins shuffle.
+SMALL_ROWS = 10_000
 SEED = 20240229
 
 
@@ -125,8 +127,9 @@ class Mix:
             [(r.source, i, r.words, -(-r.n // GROUP_DOCS), float(goal[r.source])) for i, r in enumerate(totals)],
             "source string, source_at int, source_size long, groups long, target double",
         )
+        self.small = F.broadcast if len(totals) <= SMALL_ROWS else lambda df: df
         group = F.pmod(F.xxhash64("key", F.lit(seed)), F.col("groups")).alias("group")
-        dealt = distinct.join(F.broadcast(self.sources), distinct["source"].eqNullSafe(self.sources["source"])).select("doc_id", "key", "source_at", group, "size")
+        dealt = distinct.join(self.small(self.sources), distinct["source"].eqNullSafe(self.sources["source"])).select("doc_id", "key", "source_at", group, "size")
         run = Window.partitionBy("source_at", "group").orderBy(F.xxhash64("key", F.lit(seed + 1)), "key", "doc_id")
         placed = keep(dealt.where("size > 0").withColumn("end", F.sum("size").over(run)).withColumn("begin", F.col("end") - F.col("size")))
         by_group = placed.groupBy("source_at", "group").agg(F.ceil(F.max("end") / block_words).alias("blocks"))
@@ -152,7 +155,7 @@ class Mix:
         plan = spark.createDataFrame(plan, "source_at int, shard long, first long, count long, n long").repartition(max(1, len(plan) // 4))
         draws = plan.mapInArrow(draw, "source_at int, at long, epoch long, shard long")
         span = F.sequence(F.floor(F.col("begin") / block_words), F.floor((F.col("end") - 1) / block_words))
-        pieces = placed.join(F.broadcast(by_group) if by_group.count() < 10_000 else by_group, ["source_at", "group"])
+        pieces = placed.join(F.broadcast(by_group) if by_group.count() <= SMALL_ROWS else by_group, ["source_at", "group"])
         pieces = pieces.select("doc_id", "key", "source_at", "first", "begin", "end", F.explode(span).alias("k")).select(
             "doc_id",
             "key",
@@ -167,7 +170,7 @@ class Mix:
     def report(self) -> DataFrame:
         """doc_id, size, source_size, target, taken of every row; taken counts words as often as they are drawn."""
         taken = self.taken.groupBy("doc_id", "key").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken")).withColumnsRenamed({"doc_id": "_d", "key": "_k"})
-        rows = self.rows.join(F.broadcast(self.sources).withColumnRenamed("source", "_s"), self.rows["source"].eqNullSafe(F.col("_s")))
+        rows = self.rows.join(self.small(self.sources.withColumnRenamed("source", "_s")), self.rows["source"].eqNullSafe(F.col("_s")))
         rows = rows.join(taken, rows["doc_id"].eqNullSafe(taken["_d"]) & (rows["key"] == taken["_k"]), "left")
         return rows.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
