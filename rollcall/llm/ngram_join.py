@@ -53,7 +53,11 @@ def _need(n: int, percent: int) -> int:
 
 
 def _shingle_blobs(n_buckets: int, k: int):
-    """Map side of step 1: for each step of a batch, one blob a bucket, and one with what the block's documents are."""
+    """Map side of step 1: for each block of documents a blob for each bucket, and one with what the documents are.
+
+    A blob is the document's place in the block (16 bits) and the hash within the bucket (32 bits) of each shingle,
+    so it costs 6 bytes a shingle at most, and 2^32 hashes a bucket of constant size at any scale.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, step = TaskContext.get().partitionId(), 0
@@ -66,17 +70,13 @@ def _shingle_blobs(n_buckets: int, k: int):
             ids = np.array([d for d, _ in held], np.int64)
             lengths = np.array([len(s) for _, s in held], np.int64)
             values = np.concatenate([s for _, s in held]) if held else np.zeros(0, np.uint64)
-            at = np.repeat(np.arange(len(held), dtype=np.uint32), lengths)
+            at = np.repeat(np.arange(len(held), dtype=np.uint16), lengths)
             where = (values >> np.uint64(32)) % np.uint64(n_buckets)
             order = np.argsort(where, kind="stable")
             low, at, where = values[order].astype(np.uint32), at[order], where[order]
-            cuts = np.searchsorted(where, np.arange(n_buckets + 1, dtype=np.uint64))
-            rows: list[tuple[int, bytes]] = []
-            for b in range(n_buckets):
-                lo, hi = cuts[b], cuts[b + 1]
-                if hi > lo:
-                    counts = np.bincount(at[lo:hi], minlength=len(held)).astype(np.uint32)
-                    rows.append((b, np.uint32(len(held)).tobytes() + counts.tobytes() + low[lo:hi].tobytes()))
+            present, cuts = np.unique(where, return_index=True)
+            cuts = np.append(cuts, len(where))
+            rows: list[tuple[int, bytes]] = [(int(b), at[lo:hi].tobytes() + low[lo:hi].tobytes()) for b, lo, hi in zip(present, cuts[:-1], cuts[1:], strict=True)]
             sums = np.array([[s.sum(dtype=np.uint64), _text.mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)] for _, s in held], np.uint64).reshape(-1, 2)
             about = ids.tobytes() + lengths.tobytes() + sums[:, 0].tobytes() + sums[:, 1].tobytes()
             rows.append((-1 - block % n_buckets, about))
@@ -94,8 +94,8 @@ def _shingle_blobs(n_buckets: int, k: int):
                 for i, own in zip(ids[start:stop], _text.shingle_sets(texts.slice(start, stop - start), k), strict=True):
                     held.append((i, own))
                     size += len(own)
-                if size >= 1_500_000:
-                    yield flush()
+                    if size >= 1_500_000 or len(held) == 1 << 16:
+                        yield flush()
         if held:
             yield flush()
 
@@ -106,12 +106,12 @@ def _shared_in_bucket(key: tuple, table: pa.Table) -> pa.Table:
     """Reduce side of step 1: keep of each blob the values that two or more documents have."""
     if key[0].as_py() < 0:
         return table.select(["bucket", "block", "kind", "payload"])
-    counts, values = [], []
+    docs, values = [], []
     for payload in table.column("payload"):
-        raw = np.frombuffer(payload.as_buffer(), np.uint32)
-        counts.append(raw[1 : 1 + raw[0]])
-        values.append(raw[1 + raw[0] :])
-    sizes = [len(v) for v in values]
+        raw = payload.as_buffer()
+        n = len(raw) // 6
+        docs.append(np.frombuffer(raw, np.uint16, n))
+        values.append(np.frombuffer(raw, np.uint32, n, 2 * n))
     every = np.concatenate(values)
     order = np.argsort(every, kind="stable")
     ordered = every[order]
@@ -120,15 +120,16 @@ def _shared_in_bucket(key: tuple, table: pa.Table) -> pa.Table:
     freq = np.bincount(run)[run]
     df = np.empty(len(every), np.uint32)
     df[order] = freq
-    payloads, at = [], 0
-    for c, v, size in zip(counts, values, sizes, strict=True):
-        own = df[at : at + size]
-        at += size
+    payloads, kept, at = [], [], 0
+    for i, (d, v) in enumerate(zip(docs, values, strict=True)):
+        own = df[at : at + len(v)]
+        at += len(v)
         good = own > 1
-        docs = np.repeat(np.arange(len(c), dtype=np.uint32), c)[good]
-        left = np.bincount(docs, minlength=len(c)).astype(np.uint32)
-        payloads.append(np.uint32(len(c)).tobytes() + left.tobytes() + v[good].tobytes() + own[good].tobytes())
-    return pa.table([table.column("bucket"), table.column("block"), table.column("kind"), pa.array(payloads, pa.binary())], ["bucket", "block", "kind", "payload"])
+        if good.any():
+            kept.append(i)
+            payloads.append(d[good].tobytes() + v[good].tobytes() + own[good].tobytes())
+    rows = table.select(["bucket", "block", "kind"]).take(pa.array(kept, pa.int64()))
+    return rows.append_column("payload", pa.array(payloads, pa.binary()))
 
 
 def _documents_of_block(percent: int):
@@ -142,12 +143,10 @@ def _documents_of_block(percent: int):
             if kind == "about":
                 ids, n, sig_a, sig_b = np.frombuffer(raw, np.int64).reshape(4, -1)
                 continue
-            raw = np.frombuffer(raw, np.uint32)
-            count = raw[1 : 1 + raw[0]]
-            rest = raw[1 + raw[0] :].reshape(2, -1)
-            docs_of.append(np.repeat(np.arange(len(count)), count))
-            values_of.append(np.uint64(bucket) << np.uint64(32) | rest[0].astype(np.uint64))
-            df_of.append(rest[1])
+            size = len(raw) // 10
+            docs_of.append(np.frombuffer(raw, np.uint16, size).astype(np.int64))
+            values_of.append(np.uint64(bucket) << np.uint64(32) | np.frombuffer(raw, np.uint32, size, 2 * size).astype(np.uint64))
+            df_of.append(np.frombuffer(raw, np.uint32, size, 6 * size))
         docs = np.concatenate(docs_of) if docs_of else np.zeros(0, np.int64)
         values = np.concatenate(values_of) if docs_of else np.zeros(0, np.uint64)
         dfs = np.concatenate(df_of) if docs_of else np.zeros(0, np.uint32)
