@@ -3,8 +3,8 @@
 Base spans come from three patterns. The method adds spans by sliding-window Shannon entropy: candidate
 strings are runs of key characters; over each, a window moves by one character and keeps the counts of its
 characters and the sum of count * log2(count), from which a step takes what leaves and to which it adds
-what enters. A hex candidate and a mixed one have thresholds of their own, as their largest entropies
-differ. Candidates that an allow-list knows as harmless give no span.
+what enters. Hex, base32, other single-case and mixed candidates have thresholds of their own, as their
+largest entropies differ. Candidates that an allow-list knows as harmless give no span.
 
 Positions: a pattern is matched together with the gap before it, from where the last match ended (\\G), so
 the lengths of gaps and matches add up to code point offsets. Nothing is shuffled.
@@ -27,15 +27,22 @@ BASE = (
 CANDIDATE = r"([A-Za-z0-9+/_=-]{20,})"
 ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
 WINDOW = 20
-#: Least bits a character of a window. Random keys of 20 characters lie around 3.4 and 4.0.
-LEAST_BITS = {"entropy_hex": 3.0, "entropy_mixed": 3.8}
+#: Least bits a character of a window. Random keys of 20 characters lie around 3.4, 4.0, 3.8 and 3.85.
+LEAST_BITS = {"entropy_hex": 3.0, "entropy_mixed": 3.8, "entropy_base32": 3.4, "entropy_base36": 3.5}
+#: Candidates of a kind; the others are mixed. The single-case kinds leave out what holds a hex run of BASE: that is
+#: found as such, and what stands beside it is judged as mixed.
+ALPHABETS = {
+    "entropy_hex": r"^([0-9a-f]+|[0-9A-F]+)$",
+    "entropy_base32": r"^(?!.*[0-9a-f]{24})([A-Z2-7]+|[a-z2-7]+)$",
+    "entropy_base36": r"^(?!.*[0-9a-f]{24})([A-Z0-9]+|[a-z0-9]+)$",
+}
 #: Candidates that are no secrets.
 ALLOWED = (
     r"^[^0-9]*$",  # without a digit: words, headings, rulers
     r"^[^A-Za-z]*$",  # without a letter: numbers, dates, rulers
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",  # UUID
     r"^/?([A-Za-z]*[0-9]{0,4}[/_=-]+)+[A-Za-z]*[0-9]{0,4}$",  # words with short numbers: slugs, paths, options
-    r"(?i)example|x{4}|0{6}|123456|abcdef",  # placeholders
+    r"(?i)^(?!.*(?:(?!example|x{4}|0{6}|123456|abcdef).){20})",  # placeholders: no WINDOW of characters in which none begins
 )
 KINDS = (*(k for k, *_ in BASE), *LEAST_BITS)
 
@@ -105,11 +112,18 @@ def hot_range(value: Column, least: Column) -> Column:
 
 
 def _entropy_spans(text: Column) -> Column:
+    def kind_of(value: Column) -> Column:
+        kind = F.lit("entropy_mixed")
+        for name, pattern in reversed(ALPHABETS.items()):
+            kind = F.when(value.rlike(pattern), name).otherwise(kind)
+        return kind
+
     def judged(m: Column) -> Column:
-        value = m["value"]
-        is_hex = value.rlike("^([0-9a-f]+|[0-9A-F]+)$")
-        least = F.when(is_hex, LEAST_BITS["entropy_hex"]).otherwise(LEAST_BITS["entropy_mixed"])
-        return F.struct(m["start"].alias("start"), hot_range(value, least).alias("hot"), is_hex.alias("is_hex"))
+        value, kind = m["value"], m["kind"]
+        return F.struct(m["start"].alias("start"), hot_range(value, by_kind(kind, LEAST_BITS)).alias("hot"), kind.alias("kind"))
+
+    def by_kind(kind: Column, values: dict) -> Column:
+        return F.element_at(F.create_map(*[F.lit(x) for k in LEAST_BITS for x in (k, values[k])]), kind)
 
     def harmless(m: Column) -> Column:
         out = F.lit(False)
@@ -118,10 +132,10 @@ def _entropy_spans(text: Column) -> Column:
         return out
 
     candidates = F.filter(_matches(text, CANDIDATE, 2), lambda m: ~harmless(m))
-    hot = F.filter(F.transform(candidates, judged), lambda j: j["hot"]["first"].isNotNull())
-    rank = lambda j: F.when(j["is_hex"], KINDS.index("entropy_hex")).otherwise(KINDS.index("entropy_mixed"))
-    kind = lambda j: F.when(j["is_hex"], "entropy_hex").otherwise("entropy_mixed")
-    return F.transform(hot, lambda j: F.struct((j["start"] + j["hot"]["first"]).alias("start"), rank(j).alias("rank"), (j["start"] + j["hot"]["last"]).alias("end"), kind(j).alias("kind"))).cast(_SPANS)
+    named = F.transform(candidates, lambda m: F.struct(m["start"].alias("start"), m["value"].alias("value"), kind_of(m["value"]).alias("kind")))
+    hot = F.filter(F.transform(named, judged), lambda j: j["hot"]["first"].isNotNull())
+    rank = lambda j: by_kind(j["kind"], {k: KINDS.index(k) for k in LEAST_BITS})
+    return F.transform(hot, lambda j: F.struct((j["start"] + j["hot"]["first"]).alias("start"), rank(j).alias("rank"), (j["start"] + j["hot"]["last"]).alias("end"), j["kind"].alias("kind"))).cast(_SPANS)
 
 
 def scan(docs: DataFrame) -> DataFrame:
