@@ -104,7 +104,7 @@ class Index:
     def retrieve(self, shingles: np.ndarray) -> set[tuple[int, int, int]]:
         """(first shingle, end, template) of the windows that share a band with a template."""
         found: set[tuple[int, int, int]] = set()
-        for band in range(self.bands):
+        for band in range(self.bands if len(shingles) else 0):
             minima, size = shingles * self.factors[band], 1
             while True:
                 if (size, band) in self.table:
@@ -114,7 +114,7 @@ class Index:
                         lo, hi = np.searchsorted(values, minima[block], "left"), np.searchsorted(values, minima[block], "right")
                         for i in own[lo:hi]:
                             found.add((max(0, int(block) - 1) * size, (int(block) + 2) * size, int(i)))
-                if size >= self.sizes[-1] or len(minima) < 2:
+                if size >= self.sizes[-1]:
                     break
                 if len(minima) % 2:
                     minima = np.append(minima, np.uint64(2**64 - 1))

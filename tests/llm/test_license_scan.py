@@ -1,6 +1,6 @@
 import random
 
-from rollcall.llm.license_scan import MISS, TEMPLATES, _index, digest, scan, scan_text
+from rollcall.llm.license_scan import MISS, TEMPLATES, _index, _shingles, digest, scan, scan_text
 
 
 def corpus():
@@ -44,3 +44,11 @@ def test_digest(spark):
     docs = spark.createDataFrame([(1, "Released under the MIT License. Then words. Licensed under CC BY-NC 4.0."), (2, None)], "doc_id long, text string")
     assert sorted(map(tuple, digest(docs).collect())) == [(1, 2, "CC-BY-NC-4.0,MIT", "MIT:0:30,CC-BY-NC-4.0:44:71"), (2, 0, "", "")]
     assert digest(docs.limit(0)).collect() == []
+
+
+def test_a_lone_cut_notice_is_retrieved():
+    index = _index()
+    assert index.retrieve(_shingles("")[1]) == set()
+    for i, text in enumerate(t for texts in TEMPLATES.values() for t in texts):
+        cut = _shingles(text)[1][: index.templates[i].need]
+        assert i in {found for _, _, found in index.retrieve(cut)}, (text, len(cut))
