@@ -25,7 +25,9 @@ from .labelled_pages import BEGIN, END, PAGES
 
 # Fixed values of HTML: elements without content, elements whose content is no text, elements that start a block.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style title textarea noscript template iframe noframes xmp svg math object canvas audio video select".split())
+RAW = set("script style title textarea noscript template iframe noframes xmp svg object canvas audio video select".split())
+#: Those of RAW that hold the rest of a page when nothing closes them; other unclosed ones hold nothing.
+TO_THE_END = set("script style title textarea iframe noframes xmp".split())
 BLOCK = set(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table "
@@ -59,7 +61,7 @@ _TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*+)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?=>|\Z)|[^>]*+)(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s>/=]*)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s>\"'][^\s>]*)))?")
 
 
 @lru_cache(4096)
@@ -105,6 +107,7 @@ def nodes(page: str) -> list[Node]:
     # Open elements: name, and whether it or one around it is an aside, an article, a link, prose.
     stack: list[tuple[str, bool, bool, bool, bool]] = [("", False, False, False, False)]
     opened: Counter[str] = Counter()
+    unclosed: set[str] = set()  # of RAW, that nothing further on closes
     has_article = re.search(r"<(article|main)\b", page, re.I) is not None
     at, block, size = 0, 0, len(page)
 
@@ -148,8 +151,10 @@ def nodes(page: str) -> list[Node]:
         name, closing = found["name"].lower(), bool(found["close"])
         if name in RAW:
             if not closing and not found["rest"].rstrip().endswith("/"):
-                shut = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = shut.end() if shut else size
+                shut = None if name in unclosed else re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+                if not shut:
+                    unclosed.add(name)
+                at = shut.end() if shut else size if name in TO_THE_END else at
             out.append(Node("tag raw", 1, " ", block, False))
             continue
         if name in BLOCK:

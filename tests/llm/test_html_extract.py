@@ -57,3 +57,17 @@ def test_table(spark):
     out = extract(pages)
     assert sorted(map(tuple, out.collect()), key=str) == sorted([(1, "http://a/", P, len(P)), (1, None, "", 0), (None, "u", "", 0)], key=str)
     assert extract(pages.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("start", ['<p title="A hidden valley">', '<p data-x="/page?id=share">', '<p data-role="banner">', "<p data-x='class=menu'>", '<p data-class="ad" x-hidden>', "<p data-x=/a?role=alert>"])
+def test_only_whole_attribute_names_count(start):
+    assert main_text(f"<article><p>{P}</p>{start}{P} z</p></article>") == f"{P}\n{P} z"
+    for hidden in ("<p hidden>", "<p title='a b'hidden>", "<p TITLE=a CLASS='ad'>", "<p role = banner>"):
+        assert main_text(f"<article><p>{P}</p>{hidden}{P} z</p></article>") == P
+
+
+def test_math_and_unclosed_elements_keep_the_text():
+    assert main_text(f"<article><p>{P} <math><mi>x</mi></math></p></article>") == f"{P} x"
+    for tag in ("svg", "select", "noscript"):
+        assert P in main_text(f"<article><p>Before it all.</p><{tag}><p>{P}</p></article>")
+    assert isinstance(main_text("<svg>" * 20_000), str)
