@@ -2,11 +2,13 @@
 
 Words are maximal runs of bytes other than space and 0x09-0x0D; those bytes never occur inside a
 UTF-8 sequence, so splitting bytes equals splitting code points. Hashes are 64 bits and depend on
-nothing but the words, so every executor computes the same ones.
+nothing but the words, so every executor computes the same ones. Two different words of a corpus have the
+same hash with a probability of 2^-64.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,10 +19,11 @@ STEP_BYTES = 2 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
-_TABLE = np.random.Generator(np.random.PCG64(20240117)).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-_LOWER = _TABLE.copy()
-_LOWER[65:91] = _TABLE[97:123]
-_BASE = 0x9E3779B97F4A7C15
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_SEED = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of a word that numpy hashes; longer words go to blake2b one by one.
+_SHORT = 64
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -85,17 +88,27 @@ class Words:
         return len(self.starts)
 
     def hashes(self, lower: bool) -> np.ndarray:
-        """A 64-bit hash of each word; with lower, A-Z count as a-z."""
-        if not len(self):
-            return np.zeros(0, np.uint64)
+        """A 64-bit hash of each word; with lower, A-Z count as a-z.
+
+        Eight bytes at a time go through a nonlinear mix of all that came before, so no structure of a text
+        (as of Thue-Morse words, which any polynomial in the bytes confuses) makes hashes equal.
+        """
+        own = _LOWER[self.bytes] if lower else self.bytes
+        padded = np.concatenate([own, np.zeros(8, np.uint8)])
+        eight = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))  # the eight bytes from each place on
         lengths = self.ends - self.starts
-        at = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        powers = np.empty(int(lengths.max()), np.uint64)
-        powers[0] = 1
-        np.multiply.accumulate(np.full(len(powers) - 1, _BASE, np.uint64), out=powers[1:])
-        place = np.arange(int(lengths.sum())) - np.repeat(at, lengths)
-        value = (_LOWER if lower else _TABLE)[self.bytes[self.mask]] * powers[place]
-        return mix(np.add.reduceat(value, at) ^ lengths.astype(np.uint64))
+        h = mix(lengths.astype(np.uint64) * _SEED)
+        todo = np.flatnonzero(lengths <= _SHORT)
+        for at in range(0, _SHORT, 8):
+            todo = todo[lengths[todo] > at]
+            if not len(todo):
+                break
+            rest = np.minimum(lengths[todo] - at, 8).astype(np.uint64)
+            part = eight[self.starts[todo] + at] & (np.uint64(2**64 - 1) >> (np.uint64(64) - rest * np.uint64(8)))
+            h[todo] = mix(h[todo] ^ part) + _SEED
+        for i in np.flatnonzero(lengths > _SHORT):
+            h[i] = int.from_bytes(hashlib.blake2b(own[self.starts[i] : self.ends[i]].tobytes(), digest_size=8).digest(), "little")
+        return h
 
 
 def windows(hashes: np.ndarray, k: int) -> np.ndarray:
@@ -103,10 +116,9 @@ def windows(hashes: np.ndarray, k: int) -> np.ndarray:
     n = len(hashes) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out, factor = np.zeros(n, np.uint64), 1
-    for j in range(k):
-        out += hashes[j : j + n] * np.uint64(factor)
-        factor = factor * int(_STEP) % 2**64
+    out = hashes[:n].copy()
+    for j in range(1, k):
+        out = mix(out * _STEP ^ hashes[j : j + n])
     return mix(out)
 
 
