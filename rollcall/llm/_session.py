@@ -23,9 +23,11 @@ def prepare(spark: SparkSession) -> None:
 
 
 def scratch(spark: SparkSession) -> str:
-    """The shared checkpoint folder; a local one is set only where none is configured, as in tests."""
+    """The shared checkpoint folder; where none is set, a local master gets a local one, as in tests, and others an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="rollcall-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -62,6 +64,14 @@ def drop(spark: SparkSession, *frames: DataFrame) -> None:
                 _delete(spark, file)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name made of name that df doesn't have, in any case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stored_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of df's input (file sizes for a scan); where it has none, the rows' sizes are summed."""
     from pyspark.sql import functions as F

@@ -3,13 +3,14 @@ from collections import Counter, defaultdict
 import duckdb
 import pandas as pd
 
+from rollcall.llm import line_dedup
 from rollcall.llm.line_dedup import SQL, drop_boilerplate
 
 
 def brute(rows, ratio=0.1, least=5):
     pages, on = Counter(), defaultdict(Counter)
     strip = lambda x: x.strip(" \t\r\x0b\x0c")
-    for _, t, s in rows:
+    for s, t in {(s, t) for _, t, s in rows}:
         pages[s] += 1
         for x in {strip(x) for x in (t or "").split("\n")} - {""}:
             on[s][x] += 1
@@ -18,8 +19,6 @@ def brute(rows, ratio=0.1, least=5):
         lines = (t or "").split("\n")
         gone = [on[s][strip(x)] >= least and on[s][strip(x)] > ratio * pages[s] for x in lines]
         n = sum(strip(x) != "" for x in lines)
-        if 2 * sum(len(x) for x, g in zip(lines, gone) if g) > sum(len(x) for x in lines if strip(x)):
-            gone = [False] * len(lines)
         out.append((i, s, None if t is None else "\n".join(x for x, g in zip(lines, gone) if not g), n, sum(gone)))
     return sorted(out, key=str)
 
@@ -51,3 +50,21 @@ def test_native_plan_and_empty(spark):
     out = drop_boilerplate(docs)
     assert out.collect() == []
     assert not any(k in out._jdf.queryExecution().toString() for k in ("Python", "Pandas", "Arrow"))
+
+
+def test_every_line_above_the_ratio_goes(spark):
+    """However much of a page its boilerplate is: 20 pages that are mostly one long shared line lose it."""
+    rows = [(i, "the long line that all pages of this host have in common with each other\n%d" % i, "h") for i in range(20)]
+    out = drop_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string"), counts=True).collect()
+    assert sorted((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in out) == [(i, str(i), 2, 1) for i in range(20)]
+
+
+def test_copies_are_one_page_and_clashing_columns_stay(spark, monkeypatch):
+    rows = [(i, "same one\nsame two", "h", i, "a", "b", "c", "d") for i in range(30)] + [(100 + i, f"own {i}", "h", 0, "a", "b", "c", "d") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, told int, known string, h string, SALT string, host string")
+    for limit in (1_000_000, -1):
+        monkeypatch.setattr(line_dedup, "BROADCAST_LINES", limit)
+        out = drop_boilerplate(docs)
+        assert out.columns == docs.columns and sorted(map(tuple, out.collect())) == sorted(rows)
+        got = sorted(map(tuple, drop_boilerplate(spark.createDataFrame(corpus(), "doc_id long, text string, source string"), counts=True).select("doc_id", "source", "text", "n_lines", "n_dropped").collect()), key=str)
+        assert got == brute(corpus())
