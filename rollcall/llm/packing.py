@@ -24,15 +24,16 @@ from ._session import prepare
 
 #: Partially filled windows that a partition holds at most.
 OPEN_LIMIT = 1024
-#: Pieces whose ids a worker remembers; beyond that it keeps the half used last.
-REMEMBERED_PIECES = 1_500_000
+#: Pieces whose ids a worker remembers; beyond that it keeps the half used last. Longer pieces are encoded each time.
+REMEMBERED_PIECES = 1_000_000
+PIECE_BYTES = 24
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
-_FOLD = np.arange(256, dtype=np.int64)
+_FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".,!?;:"]] = True
@@ -43,8 +44,8 @@ class Tokenizer:
 
     White space ends a token there, and so does a stop after an ASCII letter; pieces between such places are
     encoded apart, with A-Z as a-z. Pieces with "<" could be one of the file's special tokens, where case
-    counts, and are always encoded anew. Known pieces are found by a 64-bit hash, checked by length and
-    outer bytes; a piece costs some 30 bytes.
+    counts, and are always encoded anew, as are pieces of more than PIECE_BYTES. Of the others the ids are
+    remembered; they are found by hash and known by all their bytes. A piece costs some 70 bytes.
     """
 
     _loaded: dict[str, Tokenizer] = {}
@@ -60,7 +61,8 @@ class Tokenizer:
 
         self.public = Public.from_file(path)
         self.keys = np.zeros(0, np.uint64)  # sorted
-        self.checks, self.starts, self.sizes, self.used = (np.zeros(0, np.int64) for _ in range(4))
+        self.exact = np.zeros((0, 1 + PIECE_BYTES // 8), np.uint64)
+        self.starts, self.sizes, self.used = (np.zeros(0, np.int64) for _ in range(3))
         self.pool = np.zeros(0, np.uint32)
         self.now = 0
 
@@ -74,28 +76,41 @@ class Tokenizer:
         at = np.fromiter((o[0] for o in found.offsets), np.int64, len(ids))
         return ids, np.bincount(np.searchsorted(ends, at, "right"), minlength=len(pieces))
 
-    def _learn(self, keys: np.ndarray, checks: np.ndarray, pieces: list[str]) -> None:
+    def _learn(self, keys: np.ndarray, exact: np.ndarray, pieces: list[str]) -> None:
         ids, sizes = self._encode(pieces)
         starts = len(self.pool) + np.cumsum(sizes) - sizes
         self.pool = np.concatenate([self.pool, ids])
         at = np.searchsorted(self.keys, keys)
-        self.keys, self.checks = np.insert(self.keys, at, keys), np.insert(self.checks, at, checks)
+        self.keys, self.exact = np.insert(self.keys, at, keys), np.insert(self.exact, at, exact, axis=0)
         self.starts, self.sizes = np.insert(self.starts, at, starts), np.insert(self.sizes, at, sizes)
         self.used = np.insert(self.used, at, self.now)
 
     def _drop(self, at: np.ndarray) -> None:
         """Another piece of the same hash takes their place."""
         if len(at):
-            self.keys, self.checks, self.starts, self.sizes, self.used = (np.delete(x, at) for x in (self.keys, self.checks, self.starts, self.sizes, self.used))
+            self.keys, self.exact, self.starts, self.sizes, self.used = (np.delete(x, at, axis=0) for x in (self.keys, self.exact, self.starts, self.sizes, self.used))
 
     def _forget(self) -> None:
         """Keep the half used last."""
         keep = self.used > np.median(self.used)
         sizes = self.sizes[keep]
         self.pool = self.pool[np.repeat(self.starts[keep] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))]
-        self.keys, self.checks, self.used = self.keys[keep], self.checks[keep], self.used[keep]
+        self.keys, self.exact, self.used = self.keys[keep], self.exact[keep], self.used[keep]
         self.starts, self.sizes = np.cumsum(sizes) - sizes, sizes
 
+    def _bytes(self, words: _text.Words, short: np.ndarray) -> np.ndarray:
+        """A row for each word of `short`: its length and its bytes, A-Z as a-z."""
+        folded = np.concatenate([_FOLD[words.bytes], np.zeros(8, np.uint8)])
+        eight = np.ndarray((len(folded) - 7,), "<u8", folded, strides=(1,))  # the eight bytes from each place on
+        lengths = words.ends[short] - words.starts[short]
+        out = np.zeros((len(short), self.exact.shape[1]), np.uint64)
+        out[:, 0] = lengths
+        for j in range(1, out.shape[1]):
+            todo = np.flatnonzero(lengths > 8 * (j - 1))
+            rest = np.minimum(lengths[todo] - 8 * (j - 1), 8).astype(np.uint64)
+            out[todo, j] = eight[words.starts[short[todo]] + 8 * (j - 1)] & (np.uint64(2**64 - 1) >> (np.uint64(64) - rest * np.uint64(8)))
+        return out
+
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids in one array, and where each text's begin (one more than there are texts)."""
         words = _text.Words(texts, (_LETTER, _STOP))
@@ -104,29 +119,38 @@ class Tokenizer:
         self.now += 1
         if len(self.keys) > REMEMBERED_PIECES:
             self._forget()
-        hashes = words.hashes(True)
-        marks = np.flatnonzero(words.bytes == ord("<"))
-        special = np.unique(np.searchsorted(words.starts, marks, "right") - 1)
-        hashes[special] = _text.mix(np.arange(len(special), dtype=np.uint64) + np.uint64(self.now << 32))
+        data = words.bytes.tobytes()
+        told = lambda at: [data[a:b].decode() for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist(), strict=True)]
+        apart = words.ends - words.starts > PIECE_BYTES
+        apart[np.searchsorted(words.starts, np.flatnonzero(words.bytes == ord("<")), "right") - 1] = True
+        short = np.flatnonzero(~apart)
+        exact = self._bytes(words, short)
+        hashes = np.zeros(len(short), np.uint64)
+        for j in range(exact.shape[1]):
+            hashes = _text.mix(hashes ^ exact[:, j])
         distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        folded = _FOLD[words.bytes]
-        checks = ((words.ends - words.starts) << 16) + (folded[words.starts] << 8) + folded[words.ends - 1]
+        alike = (exact[first[inverse]] == exact).all(axis=1)
+        apart[short[~alike]] = True  # words of one hash and other bytes
         at = np.searchsorted(self.keys, distinct)
         at[at == len(self.keys)] = 0
         same = self.keys[at] == distinct if len(self.keys) else np.zeros(len(distinct), bool)
         known = same.copy()
-        known[same] = self.checks[at[same]] == checks[first[same]]
+        known[same] = (self.exact[at[same]] == exact[first[same]]).all(axis=1)
         self._drop(at[same & ~known])
         new = np.flatnonzero(~known)
         if len(new):
-            data = words.bytes.tobytes()
-            self._learn(distinct[new], checks[first[new]], [data[a:b].decode() for a, b in zip(words.starts[first[new]].tolist(), words.ends[first[new]].tolist(), strict=True)])
+            self._learn(distinct[new], exact[first[new]], told(short[first[new]]))
         at = np.searchsorted(self.keys, distinct)
         self.used[at] = self.now
-        index = at[inverse]
-        sizes = self.sizes[index]
+        # Of each word where its ids begin in the pool, behind which the ids of words encoded anew follow.
+        starts, sizes = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        starts[short], sizes[short] = self.starts[at[inverse]], self.sizes[at[inverse]]
+        anew = np.flatnonzero(apart)
+        more, sizes[anew] = self._encode(told(anew))
+        starts[anew] = len(self.pool) + np.cumsum(sizes[anew]) - sizes[anew]
+        pool = np.concatenate([self.pool, more]) if len(anew) else self.pool
         before = np.concatenate([[0], np.cumsum(sizes)])
-        flat = self.pool[np.repeat(self.starts[index] - before[:-1], sizes) + np.arange(before[-1])]
+        flat = pool[np.repeat(starts - before[:-1], sizes) + np.arange(before[-1])]
         return flat, before[words.first]
 
 

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer as Public
 
-from rollcall.llm import packing
+from rollcall.llm import _text, packing
 from rollcall.llm.packing import Packer, Tokenizer, pack
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -85,3 +85,24 @@ def test_forgetting_words_changes_nothing(monkeypatch):
 
 def test_empty(spark):
     assert pack(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
+
+
+def test_thue_morse_words_have_their_own_ids():
+    """Words that differ and yet collide under any hash that is a polynomial modulo 2^64; and all words one hash."""
+    a = "a"
+    for _ in range(11):
+        a += a.translate(str.maketrans("ab", "ba"))
+    b = a.translate(str.maketrans("ab", "ba"))
+    own = [f"x{a}x x{b}x", f"x{b}x", "abcdefgh", "abcdefgi", "abcdefgh0123", "abcdefgh0124", "a", "a\0"]
+    flat, bounds = Tokenizer(PATH).ids(pa.array(own))
+    assert [[*flat[i:j].tolist(), 2] for i, j in zip(bounds[:-1], bounds[1:], strict=True)] == list(brute(own).values())
+    assert _text.Words(pa.array([a])).hashes(True) != _text.Words(pa.array([b])).hashes(True)
+
+
+def test_equal_hashes_are_told_apart_by_bytes(monkeypatch):
+    monkeypatch.setattr(_text, "mix", lambda h: h & np.uint64(1))
+    own = ["one two three four two one", "four three five six", "six five one"]
+    tokenizer = Tokenizer(PATH)
+    for t in own:
+        flat, _ = tokenizer.ids(pa.array([t]))
+        assert [*flat.tolist(), 2] == brute([t])[0]
