@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from . import _text
-from ._session import keep, prepare
+from ._session import keep, prepare, unused
 
 #: Weights by the sources' rank in code point order, repeating; null comes last.
 WEIGHTS = (5, 2, 1)
@@ -88,39 +88,39 @@ def shard_counts(slots: list[int], shards: int, seed: int) -> np.ndarray:
     return out
 
 
-def _sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, key, source and size in words of every row; key tells rows with equal doc_id apart."""
+def _sizes(docs: DataFrame, row: str) -> DataFrame:
+    """row, key, doc_id, source and size in words of every row; key is a hash of what the row holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = _text.plain(batch.column(3))
+            texts = _text.plain(batch.column(4))
             counts = [_text.Words(texts.slice(a, b - a)).counts for a, b in _text.steps(texts)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.concatenate(counts) if counts else [], pa.int64())], ["doc_id", "key", "source", "size"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(np.concatenate(counts) if counts else [], pa.int64())], ["row", "key", "doc_id", "source", "size"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _key(), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, key long, source string, size long")
-
-
-def _key():
-    return F.xxhash64(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string")).alias("key")
+    own = [F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text")]
+    rows = docs.select(F.col(row).alias("row"), F.xxhash64(*own).alias("key"), *own)
+    return rows.mapInArrow(run, "row long, key long, doc_id long, source string, size long")
 
 
 class Mix:
     """A mix of docs(doc_id, text, source, ...), drawn once; `report` and `documents` read it.
 
-    Null text has no words and is never taken; a null source is a source of its own, the last. Rows that
-    repeat (doc_id, source, text) are one document: its size counts once, and each row shows its draw.
-    Extra columns are ignored by report and kept by documents; an empty table gives empty results.
+    Null and empty texts have no words and are never taken; a null source is a source of its own, the last; a very
+    long text is cut into blocks like any other. Every row counts and is drawn on its own, also rows that repeat
+    another in all columns or have its doc_id, or a null one. The order of a source's documents follows a hash of
+    what they hold, so reruns agree. Extra columns are ignored by report and kept by documents, whatever their
+    names; an empty table gives empty results. Without texts, the table isn't written and only report works.
     """
 
-    def __init__(self, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int = TOTAL_PERCENT, most: int = MOST, block_words: int = BLOCK_WORDS, seed: int = SEED):
+    def __init__(self, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int = TOTAL_PERCENT, most: int = MOST, block_words: int = BLOCK_WORDS, seed: int = SEED, texts: bool = True):
         spark = docs.sparkSession
         prepare(spark)
-        self.docs = docs
-        self.rows = keep(_sizes(docs))
-        distinct = self.rows.dropDuplicates(["doc_id", "key"])
-        totals = distinct.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("n"))
-        # One row a source: weights are dealt by a source's rank, so sources are a list that people keep.
+        self.columns, self.row = docs.columns, unused(docs, "row")
+        self.numbered = docs.withColumn(self.row, F.monotonically_increasing_id())
+        if texts:
+            self.numbered = keep(self.numbered)  # written, so that a row's number stays
+        self.rows = keep(_sizes(self.numbered, self.row))
+        totals = self.rows.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("n"))
         totals = sorted(totals.collect(), key=lambda r: (r.source is None, r.source or ""))
         goal = targets([(r.source, r.words) for r in totals], weights, percent, most)
         self.sources = spark.createDataFrame(
@@ -129,8 +129,8 @@ class Mix:
         )
         self.small = F.broadcast if len(totals) <= SMALL_ROWS else lambda df: df
         group = F.pmod(F.xxhash64("key", F.lit(seed)), F.col("groups")).alias("group")
-        dealt = distinct.join(self.small(self.sources), distinct["source"].eqNullSafe(self.sources["source"])).select("doc_id", "key", "source_at", group, "size")
-        run = Window.partitionBy("source_at", "group").orderBy(F.xxhash64("key", F.lit(seed + 1)), "key", "doc_id")
+        dealt = self.rows.join(self.small(self.sources), self.rows["source"].eqNullSafe(self.sources["source"])).select("row", "key", "source_at", group, "size")
+        run = Window.partitionBy("source_at", "group").orderBy(F.xxhash64("key", F.lit(seed + 1)), "key", "row")
         placed = keep(dealt.where("size > 0").withColumn("end", F.sum("size").over(run)).withColumn("begin", F.col("end") - F.col("size")))
         by_group = placed.groupBy("source_at", "group").agg(F.ceil(F.max("end") / block_words).alias("blocks"))
         before = Window.partitionBy("source_at").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
@@ -156,23 +156,21 @@ class Mix:
         draws = plan.mapInArrow(draw, "source_at int, at long, epoch long, shard long")
         span = F.sequence(F.floor(F.col("begin") / block_words), F.floor((F.col("end") - 1) / block_words))
         pieces = placed.join(F.broadcast(by_group) if by_group.count() <= SMALL_ROWS else by_group, ["source_at", "group"])
-        pieces = pieces.select("doc_id", "key", "source_at", "first", "begin", "end", F.explode(span).alias("k")).select(
-            "doc_id",
-            "key",
+        pieces = pieces.select("row", "source_at", "first", "begin", "end", F.explode(span).alias("k")).select(
+            "row",
             "source_at",
             (F.col("first") + F.col("k")).alias("at"),
             (F.greatest(F.col("k") * block_words, "begin") - F.col("begin")).alias("from_word"),
             (F.least((F.col("k") + 1) * block_words, "end") - F.col("begin")).alias("to_word"),
         )
-        #: Word ranges taken of each document, by epoch.
+        #: Word ranges taken of each row, by epoch.
         self.taken = pieces.join(draws.hint("merge"), ["source_at", "at"])  # no statistics tell how large it is
 
     def report(self) -> DataFrame:
         """doc_id, size, source_size, target, taken of every row; taken counts words as often as they are drawn."""
-        taken = self.taken.groupBy("doc_id", "key").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken")).withColumnsRenamed({"doc_id": "_d", "key": "_k"})
-        rows = self.rows.join(self.small(self.sources.withColumnRenamed("source", "_s")), self.rows["source"].eqNullSafe(F.col("_s")))
-        rows = rows.join(taken, rows["doc_id"].eqNullSafe(taken["_d"]) & (rows["key"] == taken["_k"]), "left")
-        return rows.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        taken = self.taken.groupBy("row").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"))
+        rows = self.rows.join(self.small(self.sources.withColumnRenamed("source", "named")), self.rows["source"].eqNullSafe(F.col("named")))
+        return rows.join(taken, "row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
     def documents(self) -> DataFrame:
         """The mix as rows of docs: one a document and epoch with any block drawn, its text the words drawn.
@@ -180,14 +178,11 @@ class Mix:
         A text drawn whole stays as it is; of others, runs of words drawn keep their white space inside, and
         runs that don't touch are joined by a line end.
         """
-        docs = self.docs
-        schema = StructType([*docs.schema.fields])
-        at = docs.columns.index("text")
-        width = len(docs.columns)
-        spans = self.taken.groupBy("doc_id", "key", "epoch").agg(F.sort_array(F.collect_list(F.struct("from_word", "to_word"))).alias("_spans"))
-        spans = spans.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), "_spans")
-        keyed = docs.withColumn("_key", _key())
-        keyed = keyed.join(spans, keyed["doc_id"].cast("long").eqNullSafe(spans["_d"]) & (keyed["_key"] == spans["_k"])).drop("_d", "_k", "_key")
+        at, width = self.columns.index("text"), len(self.columns)
+        row, spans_at = self.row, unused(self.numbered, "spans")
+        spans = self.taken.groupBy("row", "epoch").agg(F.sort_array(F.collect_list(F.struct("from_word", "to_word"))).alias(spans_at))
+        drawn = self.numbered.join(spans.select(F.col("row").alias(row), spans_at), row).select(*[self.numbered[c] for c in self.columns], spans_at)
+        schema = StructType(drawn.schema.fields[:width])
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -209,4 +204,4 @@ class Mix:
                 columns[at] = pa.array([o.decode() for o in out], batch.schema.field(at).type)
                 yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:width])
 
-        return keyed.mapInArrow(cut, schema)
+        return drawn.mapInArrow(cut, schema)

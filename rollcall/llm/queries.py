@@ -70,7 +70,7 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix at weights 5, 2, 1 takes of every document."""
-    return mixing.Mix(_table(spark, sf_dir, "documents")).report()
+    return mixing.Mix(_table(spark, sf_dir, "documents"), texts=False).report()
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
