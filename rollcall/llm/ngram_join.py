@@ -15,7 +15,8 @@ of them, so the search is for the documents that occur on T of its n inverted li
 4. Each cell runs DivideSkip: it heap-merges the short lists of each class and binary-probes the long
    ones for what the merge found. Classes already connected with the query are not probed again, since
    the result is connectivity; every pair of classes in different components is.
-   A cell beyond CELL_SHINGLES is dealt into blocks; see `_large_cells` for how it stays exact.
+   A cell beyond CELL_SHINGLES is dealt into blocks. A class then visits the blocks where a short list of
+   its has members that nothing connects with it yet; see `_large_cells` for how that stays exact.
 """
 
 from __future__ import annotations
@@ -28,19 +29,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _text
-from ._session import buckets, drop, keep, prepare
+from ._session import buckets, keep, prepare, unused
 from .components import components
 
 #: Stored bytes of input for each bucket of shingles.
 BUCKET_BYTES = 8 << 20
 #: Shingles of one task of step 4.
 CELL_SHINGLES = 400_000
-#: List entries that a query's heap merges at most.
-HEAP_ENTRIES = 256
+#: Shingles of one task that searches small cells, and such tasks at most.
+TASK_SHINGLES, MOST_TASKS = 1_500_000, 50_000
+#: Ids that the heap merge takes at once.
+WINDOW = 256
 #: Members of each component that stand for it where the blocks of a large cell meet first.
 STANDINS = 8
 
@@ -67,7 +70,8 @@ def _shingle_blobs(n_buckets: int, k: int):
         def flush() -> pa.RecordBatch:
             nonlocal step, size
             block = (part << 32) + step
-            ids = np.array([d for d, _ in held], np.int64)
+            ids = np.array([d or 0 for d, _ in held], np.int64)
+            known = np.array([d is not None for d, _ in held], np.int64)
             lengths = np.array([len(s) for _, s in held], np.int64)
             values = np.concatenate([s for _, s in held]) if held else np.zeros(0, np.uint64)
             at = np.repeat(np.arange(len(held), dtype=np.uint16), lengths)
@@ -78,7 +82,7 @@ def _shingle_blobs(n_buckets: int, k: int):
             cuts = np.append(cuts, len(where))
             rows: list[tuple[int, bytes]] = [(int(b), at[lo:hi].tobytes() + low[lo:hi].tobytes()) for b, lo, hi in zip(present, cuts[:-1], cuts[1:], strict=True)]
             sums = np.array([[s.sum(dtype=np.uint64), _text.mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)] for _, s in held], np.uint64).reshape(-1, 2)
-            about = ids.tobytes() + lengths.tobytes() + sums[:, 0].tobytes() + sums[:, 1].tobytes()
+            about = ids.tobytes() + known.tobytes() + lengths.tobytes() + sums[:, 0].tobytes() + sums[:, 1].tobytes()
             rows.append((-1 - block % n_buckets, about))
             out = pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int64()), pa.array([block] * len(rows), pa.int64()), pa.array(["blob"] * (len(rows) - 1) + ["about"]), pa.array([r[1] for r in rows], pa.binary())],
@@ -137,11 +141,11 @@ def _documents_of_block(percent: int):
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         docs_of, values_of, df_of = [], [], []
-        ids = n = sig_a = sig_b = np.zeros(0, np.int64)
+        ids = known = n = sig_a = sig_b = np.zeros(0, np.int64)
         for bucket, kind, payload in zip(table.column("bucket").to_pylist(), table.column("kind").to_pylist(), table.column("payload"), strict=True):
             raw = payload.as_buffer()
             if kind == "about":
-                ids, n, sig_a, sig_b = np.frombuffer(raw, np.int64).reshape(4, -1)
+                ids, known, n, sig_a, sig_b = np.frombuffer(raw, np.int64).reshape(5, -1)
                 continue
             size = len(raw) // 10
             docs_of.append(np.frombuffer(raw, np.uint16, size).astype(np.int64))
@@ -156,7 +160,7 @@ def _documents_of_block(percent: int):
         shared = np.diff(cuts)
         linked = [shared[i] > 0 and shared[i] >= _need(int(n[i]), percent) for i in range(len(ids))]
         cut = lambda a: pa.array([a[cuts[i] : cuts[i + 1]].tobytes() if linked[i] else None for i in range(len(ids))], pa.binary())
-        return pa.table([pa.array(ids), pa.array(n), pa.array(sig_a), pa.array(sig_b), pa.array(shared, pa.int64()), cut(values), cut(dfs)], ["doc_id", "n", "sig_a", "sig_b", "n_shared", "vals", "dfs"])
+        return pa.table([pa.array(ids, mask=known == 0), pa.array(n), pa.array(sig_a), pa.array(sig_b), pa.array(shared, pa.int64()), cut(values), cut(dfs)], ["doc_id", "n", "sig_a", "sig_b", "n_shared", "vals", "dfs"])
 
     return run
 
@@ -176,65 +180,60 @@ def _short_lists(percent: int):
     return run
 
 
-def heap_merge(lists: list[list[int]], least: int) -> list[int]:
-    """Entries that occur on at least `least` of the sorted lists, by a heap of the lists' heads.
+def heap_merge(lists: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids on at least `least` of the sorted lists, and on how many each is, by a heap of the lists' heads.
 
-    Heads that can't reach `least` any more are popped together and skip to the new smallest head.
+    The lists whose heads lie within WINDOW ids of the smallest are popped together and their ids there counted.
+    Where these are fewer than `least`, no id of theirs can be on enough lists before the head that makes up the
+    number, so they skip to it.
     """
-    heads = [(own[0], i, 0) for i, own in enumerate(lists) if own]
+    heads = [(int(own[0]), i) for i, own in enumerate(lists) if len(own)]
     heapq.heapify(heads)
-    found = []
+    at = [0] * len(lists)
+    found, counts = [], []
     while len(heads) >= least:
         top, popped = heads[0][0], []
-        while heads and heads[0][0] == top:
-            popped.append(heapq.heappop(heads))
-        if len(popped) >= least:
-            found.append(top)
-            target = top + 1
-        else:
-            while heads and len(popped) < least - 1:
-                popped.append(heapq.heappop(heads))
-            if not heads:
-                break
+        target = top + WINDOW
+        while heads and heads[0][0] < target:
+            popped.append(heapq.heappop(heads)[1])
+        enough = len(popped) >= least
+        while not enough and len(popped) < least - 1:
+            popped.append(heapq.heappop(heads)[1])
+        if not enough:
             target = heads[0][0]
-        for _, i, at in popped:
-            at = bisect_left(lists[i], target, at)
-            if at < len(lists[i]):
-                heapq.heappush(heads, (lists[i][at], i, at))
-    return found
-
-
-def merge(lists: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Entries on at least `least` of the sorted lists, and on how many each is.
-
-    The heap merges them while they are short. Longer ones are merged as runs by numpy's stable sort, which
-    is a merge sort that takes sorted runs as they are, as a heap in Python would cost a microsecond an entry.
-    """
-    if sum(map(len, lists)) <= HEAP_ENTRIES:
-        found = heap_merge([own.tolist() for own in lists], least)
-        counts = [sum(1 for own in lists if (at := int(np.searchsorted(own, c))) < len(own) and own[at] == c) for c in found]
-        return np.array(found, np.int64), np.array(counts, np.int64)
-    merged = np.sort(np.concatenate(lists), kind="stable")
-    starts = np.flatnonzero(np.concatenate([[True], merged[1:] != merged[:-1]]))
-    counts = np.diff(np.append(starts, len(merged)))
-    return merged[starts][counts >= least], counts[counts >= least]
-
-
-def links(ids: np.ndarray, sizes: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+        here = []
+        for i in popped:
+            own, before = lists[i], at[i]
+            at[i] = before + int(np.searchsorted(own[before:], target))
+            here.append(own[before : at[i]])
+            if at[i] < len(own):
+                heapq.heappush(heads, (int(own[at[i]]), i))
+        if enough:
+            n = np.bincount(np.concatenate(here) - top)
+            hits = np.flatnonzero(n >= least)
+            found.append(hits + top)
+            counts.append(n[hits])
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(found), np.concatenate(counts)) if found else (none, none)
+
+
+def links(ids: np.ndarray, sizes: np.ndarray, sets: list[np.ndarray], percent: int, known: np.ndarray | None = None, guest: np.ndarray | None = None) -> list[tuple[int, int]]:
     """A forest of links over distinct sets: pairs of ids, enough for the same components as all links.
 
     Sets hold shared shingles; sizes are those of the whole sets. Sets are queried in order of size, each
-    against the smaller ones, so that T = ceil(percent * size / 100) lists must hold a partner.
+    against the smaller ones, so that T = ceil(percent * size / 100) lists must hold a partner. Sets of one
+    `known` component count as connected; two sets marked in `guest` aren't compared.
     """
     order = np.lexsort((ids, sizes))
     ids, sizes, sets = ids[order], sizes[order], [sets[i] for i in order]
+    guest = np.zeros(len(sets), bool) if guest is None else guest[order]
     lengths = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(len(sets)), lengths)
     values, inverse = np.unique(np.concatenate(sets), return_inverse=True)
     entry_order = np.argsort(inverse, kind="stable")
     entries, cuts = owner[entry_order], np.searchsorted(inverse[entry_order], np.arange(len(values) + 1))
     bounds = np.concatenate([[0], np.cumsum(lengths)])
-    comp = np.arange(len(sets))
+    comp = np.arange(len(sets)) if known is None else np.unique(known[order], return_inverse=True)[1]
     found: list[tuple[int, int]] = []
     for q in range(1, len(sets)):
         mine = inverse[bounds[q] : bounds[q + 1]]
@@ -266,7 +265,7 @@ def links(ids: np.ndarray, sizes: np.ndarray, sets: list[np.ndarray], percent: i
         heads: dict[int, int] = {}
         for s in ranked[: len(ranked) - need + 1]:
             lo = cuts[s] + int(np.searchsorted(entries[cuts[s] : cuts[s + 1]], least_size))
-            if lo < cuts[s + 1] and entries[lo] < q:
+            if lo < cuts[s + 1] and entries[lo] < q and not (guest[q] and guest[entries[lo]]):
                 heads[int(entries[lo])] = heads.get(int(entries[lo]), 0) + 1
         for c in sorted(heads, key=lambda c: -heads[c])[:4]:
             if comp[c] != comp[q] and linked(c, overlap(c)):
@@ -277,9 +276,11 @@ def links(ids: np.ndarray, sizes: np.ndarray, sets: list[np.ndarray], percent: i
             own = entries[cuts[s] : cuts[s + 1]]
             own = own[np.searchsorted(own, least_size) : np.searchsorted(own, q)]
             own = own[comp[own] != comp[q]]
+            if guest[q]:
+                own = own[~guest[own]]
             if len(own):
                 lists.append(own)
-        candidates, shared = merge(lists, least)
+        candidates, shared = heap_merge(lists, least)
         wanted = -(-percent * (sizes[q] + sizes[candidates]) // (100 + percent))
         for left in range(n_long, 0, -1):
             alive = shared + left >= wanted
@@ -302,19 +303,23 @@ def _links_of_group(percent: int):
         ids = table.column("row").to_numpy()
         ids, first = np.unique(ids, return_index=True)
         sets = [np.frombuffer(table.column("vals")[int(i)].as_buffer(), np.uint64) for i in first]
-        pairs = links(ids, table.column("n").to_numpy()[first], sets, percent) if len(ids) > 1 else []
+        known = table.column("component").to_numpy()[first] if "component" in table.column_names else None
+        guest = table.column("guest").to_numpy(zero_copy_only=False)[first] if known is not None else None
+        pairs = links(ids, table.column("n").to_numpy()[first], sets, percent, known, guest) if len(ids) > 1 else []
         return pa.table([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["a", "b"])
 
     return run
 
 
-def _large_cells(members: DataFrame, percent: int) -> DataFrame:
+def _large_cells(members: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
     """Links of cells beyond CELL_SHINGLES, exact up to connectivity, no task above a few times that size.
 
-    The cell's classes are dealt into blocks by hash, and each block is searched. Stand-ins of each
-    component meet next, which joins the blocks' parts of one group. After that every pair of classes in
-    different components has at least one member outside the cell's largest component; those outsiders, in
-    chunks, meet every block. Only chunks of outsiders multiply, not the group of copies.
+    The cell's classes are dealt into blocks by hash, and each block is searched. Stand-ins of each component
+    meet next, which joins the blocks' parts of one group. A linked pair that isn't connected by then has a
+    short list in common and lies in two blocks. Of each short list one component, that of most entries,
+    stays where it is; a class of any other visits the blocks where the list has members of other components
+    and of a size that can link. Visitors meet a block in chunks, against its own classes only. So a large
+    linked group doesn't move, and classes that merely share passages visit as many blocks as these have.
     """
     run, out = _links_of_group(percent), "a long, b long"
     size = members.groupBy("cell").agg(F.ceil(F.sum("n") / CELL_SHINGLES).alias("blocks"))
@@ -325,38 +330,36 @@ def _large_cells(members: DataFrame, percent: int) -> DataFrame:
         comp = components(edges)
         return members.join(comp.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
 
-    from pyspark.sql import Window
-
-    part = labelled(first)
     rank = F.row_number().over(Window.partitionBy("component", "block").orderBy(F.xxhash64("row")))
-    stand = keep(part.withColumn("rank", rank).where(F.col("rank") <= STANDINS))
+    stand = keep(labelled(first).withColumn("rank", rank).where(F.col("rank") <= STANDINS).drop("component", "rank"))
     groups = stand.groupBy("cell").agg(F.ceil(F.sum("n") / CELL_SHINGLES).alias("chunks"))
-    second = keep(first.unionByName(stand.join(groups, "cell").groupBy("cell", F.pmod(F.xxhash64("component"), F.col("chunks"))).applyInArrow(run, out)))
+    second = keep(first.unionByName(stand.join(groups, "cell").groupBy("cell", F.pmod(F.xxhash64("row"), F.col("chunks"))).applyInArrow(run, out)))
     part = keep(labelled(second))
-    counts = part.groupBy("cell", "component").agg(F.count("*").alias("m"))
-    top = counts.groupBy("cell").agg(F.max_by("component", F.struct("m", F.negative("component"))).alias("top"))
-    part = keep(part.join(top, "cell"))
-    outside = part.where("component <> top")
-    chunks = outside.groupBy("cell").agg(F.ceil(F.sum("n") / CELL_SHINGLES).alias("chunks"))
-    outside = outside.join(chunks, "cell").withColumn("chunk", F.pmod(F.xxhash64("row", F.lit(7)), F.col("chunks")))
-    columns = ["cell", "block", "chunk", "row", "n", "vals"]
-    inside = part.join(chunks, "cell").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).select(columns)
-    spread = outside.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(columns)
-    third = inside.unionByName(spread).groupBy("cell", "block", "chunk").applyInArrow(run, out)
-    return second.unionByName(third)
 
+    at = keep(entries.join(part.select("row", "cell", "block", "component", "n"), "row"))
+    counts = at.groupBy("list", "component").agg(F.count("*").alias("m"))
+    top = counts.groupBy("list").agg(F.max_by("component", F.struct("m", F.negative("component"))).alias("top"), F.count("*").alias("parts"))
+    loose = keep(at.join(keep(top.where("parts > 1").drop("parts")), "list"))
+    homes = loose.groupBy("list", F.col("block").alias("to")).agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("least"), F.max("n").alias("most")
+    )
+    able = (F.col("most") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("least") * percent)
+    other = (F.col("low") != F.col("component")) | (F.col("high") != F.col("component"))
+    visits = loose.where("component <> top").join(keep(homes), "list").where((F.col("to") != F.col("block")) & other & able)
+    visits = keep(visits.select("row", "cell", F.col("to").alias("block"), "n").distinct())
+    chunks = keep(visits.groupBy("cell", "block").agg(F.ceil(F.sum("n") / CELL_SHINGLES).alias("chunks")))
+    columns = ["cell", "block", "chunk", "row", "n", "vals", "component", "guest"]
+    guests = visits.join(chunks, ["cell", "block"]).withColumn("chunk", F.pmod(F.xxhash64("row", F.lit(7)), F.col("chunks")))
+    guests = guests.join(part.select("row", "vals", "component"), "row").withColumn("guest", F.lit(True)).select(columns)
+    inside = part.join(chunks, ["cell", "block"]).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    third = inside.withColumn("guest", F.lit(False)).select(columns).unionByName(guests).groupBy("cell", "block", "chunk").applyInArrow(run, out)
+    return second.unionByName(third)
 
-def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of docs(doc_id long, text string, ...).
 
-    Links are those of the module's head; component_id is the smallest doc_id reachable by them.
-    Null or empty text, or one of white space only: an empty set, linked with nothing. Rows of equal
-    texts link. Rows with equal doc_id are documents of their own. A null doc_id is dropped. Extra columns
-    are ignored; an empty table gives an empty result.
-    """
+def _row_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """(row, doc_id, n_shingles, component) of every row of docs(doc_id long, text string); row numbers the result."""
     spark = docs.sparkSession
     prepare(spark)
-    docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     n_buckets = buckets(docs, BUCKET_BYTES, 4)
     blobs = docs.mapInArrow(_shingle_blobs(n_buckets, k), _BLOB)
     shared = blobs.groupBy("bucket").applyInArrow(_shared_in_bucket, _BLOB)
@@ -370,28 +373,50 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
     firsts = classes.select(F.col("first").alias("row"))
     short = able.select("row", "n", "vals", "dfs").mapInArrow(_short_lists(percent), "row long, lists array<long>")
     entries = keep(short.join(firsts, "row", "left_semi").select("row", F.explode("lists").alias("list")))
-    heads = entries.groupBy("list").agg(F.min("row").alias("a"), F.max("row").alias("b")).where("a < b").select("list", "a")
+    heads = keep(entries.groupBy("list").agg(F.min("row").alias("a"), F.max("row").alias("b")).where("a < b").select("list", "a"))
     cells = components(entries.join(heads, "list").select("a", F.col("row").alias("b"))).withColumnRenamed("node", "row")
     members = keep(able.select("row", "n", "vals").join(cells.hint("merge"), "row").select(F.col("component").alias("cell"), "row", "n", "vals"))
-    size = members.groupBy("cell").agg(F.sum("n").alias("total"))
+    size = keep(members.groupBy("cell").agg(F.sum("n").alias("total")))
+    small = size.where(F.col("total") <= CELL_SHINGLES)
+    # By its shingles, as adaptive execution knows bytes only, of which few make much work.
+    total = small.agg(F.sum("total")).first()[0] or 0
+    tasks = min(max(8, math.ceil(total / TASK_SHINGLES)), MOST_TASKS)
+    found = members.join(small.select("cell"), "cell").repartition(tasks, "cell").groupBy("cell").applyInArrow(_links_of_group(percent), "a long, b long")
     large = size.where(F.col("total") > CELL_SHINGLES).select("cell")
-    small = members.join(size.where(F.col("total") <= CELL_SHINGLES).select("cell"), "cell")
-    found = small.groupBy("cell").applyInArrow(_links_of_group(percent), "a long, b long")
     if not large.isEmpty():
-        found = found.unionByName(_large_cells(members.join(large, "cell"), percent))
+        found = found.unionByName(_large_cells(members.join(large, "cell"), entries, percent))
     joined = components(found).withColumnRenamed("node", "first")
     copies = able.select("row", *signature).join(classes, signature).select("row", "first")
     of_row = copies.join(joined, "first", "left").select("row", F.coalesce("component", "first").alias("component"))
-    every = keep(sets.select("row", "doc_id", F.col("n").alias("n_shingles")).join(of_row, "row", "left").withColumn("component", F.coalesce("component", "row")))
-    smallest = every.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return keep(sets.select("row", "doc_id", F.col("n").alias("n_shingles")).join(of_row, "row", "left").withColumn("component", F.coalesce("component", "row")))
+
+
+def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of docs(doc_id long, text string, ...).
+
+    Links are those of the module's head; component_id is the smallest doc_id reachable by them.
+    Null or empty text, or one of white space only: an empty set, linked with nothing. Very long texts count whole.
+    Rows of equal texts link, and so do pairs exactly at the threshold. Rows with equal doc_id are documents of
+    their own; one with a null doc_id is too, and its component_id is null where no linked row has an id. Extra
+    columns are ignored; an empty table gives an empty result.
+    """
+    every = _row_components(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), k, percent)
+    # Written, as adaptive execution splits a hot component only where both sides of the join come straight from a shuffle.
+    smallest = keep(every.groupBy("component").agg(F.min("doc_id").alias("component_id")))
     return every.join(smallest, "component").select("doc_id", "n_shingles", "component_id")
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
-    """Rows of docs that stand for their group: those whose doc_id is its component_id.
+    """One row of docs for each component of jaccard_components, with all its columns: that of the smallest doc_id.
 
-    Rows with a repeated doc_id all stay if one of them stands for its group; a row with a null doc_id stays.
+    A null doc_id comes after all others; of rows with equal doc_id in a component the first stays. Rows without
+    words link with nothing, so they stay. Other columns stay, whatever their names; an empty table gives an empty
+    result.
     """
-    stands = F.max(F.col("doc_id") == F.col("component_id"))
-    gone = jaccard_components(docs, k, percent).groupBy("doc_id").agg(stands.alias("stands")).where("not stands").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    row = unused(docs, "row")
+    numbered = keep(docs.withColumn(row, F.monotonically_increasing_id()))  # written, so a row's number stays
+    rows = numbered.select(F.col(row).alias("doc_id"), F.col("text").cast("string").alias("text"))
+    component = _row_components(rows, k, percent).select(F.col("doc_id").alias(row), "component")
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").cast("long").alias("doc_id"), F.col(row).alias("row"))
+    best = numbered.select(row, rank.alias("rank")).join(component, row).groupBy("component").agg(F.min("rank").alias("rank"))
+    return numbered.join(best.select(F.col("rank.row").alias(row)), row, "left_semi").select(docs.columns)
