@@ -42,17 +42,19 @@ def strip(text: Column) -> Column:
 
 
 def cleaned_name(text: Column) -> Column:
-    return F.regexp_replace(strip(text), r"[^A-Za-z0-9_\-\[\]()]", "")
+    """Only the characters that names have; white space is none of them."""
+    return F.regexp_replace(text, r"[^A-Za-z0-9_\-\[\]()]", "")
+
+
+#: Any of STOP_WORDS, those that hold another left out.
+_STOP = "|".join(w for w in STOP_WORDS if not any(o != w and o in w for o in STOP_WORDS))
 
 
 def is_gamertag(text: Column) -> Column:
     """Whether a line of recognised text can be a player's name: no interface word, 3 to 24 name characters, not a number or a number with one character after it."""
-    lower = F.lower(strip(text))
-    stop = F.lit(False)
-    for word in STOP_WORDS:
-        stop = stop | lower.contains(word)
-    clean = cleaned_name(text)
-    return F.coalesce(~stop & F.length(clean).between(3, 24) & ~clean.rlike(r"^[0-9]+.?$"), F.lit(False))
+    # In a lambda, so that the cleaned name is made once for its two tests.
+    sound = F.exists(F.array(cleaned_name(text)), lambda c: F.length(c).between(3, 24) & ~c.rlike(r"^[0-9]+.?$"))
+    return F.coalesce(~F.lower(text).rlike(_STOP) & sound, F.lit(False))
 
 
 def strip_leading_junk(text: Column) -> Column:

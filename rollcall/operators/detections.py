@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..session import importable
+from ..session import importable, once_a_worker
+from .ingest import replaced
 from .sampling import exact_split
 
 
@@ -42,13 +43,33 @@ def label_status(has_label: Column, is_skipped: Column) -> Column:
     return F.when(is_skipped, "skipped").when(has_label, "labeled").otherwise("unlabeled")
 
 
+def labelled(labels: DataFrame, new: DataFrame) -> DataFrame:
+    """labels(stem, line) after a round of labelling, one row a picture: new(stem, line) rows take the place of those of their stem.
+
+    A null line is the mark of a picture that was skipped: its label goes, and the mark stays until it gets one.
+    """
+    return replaced(labels, new, ["stem"])
+
+
+def label_counts(labels: DataFrame) -> DataFrame:
+    """(labeled, skipped) in one row."""
+    return labels.agg(F.count("line").alias("labeled"), F.count_if(F.col("line").isNull()).alias("skipped"))
+
+
+def detections_document(found: DataFrame) -> DataFrame:
+    """(name, detection) of infer's rows by picture name, for io.write_document: null where nothing was found."""
+    from ..functions.text import base_name
+
+    return found.select(base_name(F.col("path")).alias("name"), "detection")
+
+
 def dataset(labels: DataFrame, images: DataFrame, share: float = 0.8, seed: int = 0) -> DataFrame:
     """Labels whose image exists, by stem, with an exact train/val split."""
     return exact_split(labels.join(images, "stem"), "stem", share, seed)
 
 
 def write_dataset(rows: DataFrame, folder: str) -> None:
-    """A folder for each split, and data.yaml beside them."""
+    """rows(stem, line, split, and content where the pictures are to lie beside the labels): a folder for each split, and data.yaml."""
     rows.write.mode("overwrite").partitionBy("split").parquet(f"{folder}/data")
     rows.sparkSession.createDataFrame([(f"train: data/split=train\nval: data/split=val\nnc: 1\nnames: ['panel']\n",)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/data.yaml")
 
@@ -61,11 +82,11 @@ def first_detection(boxes: Column) -> Column:
 def infer(images: DataFrame, factory) -> DataFrame:
     """(path, detection) of images(path, content): factory() makes a detector whose detect(bytes) lists (box, confidence)."""
     importable(images.sparkSession)
+    detector = once_a_worker(factory)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        detector = factory()
         for batch in batches:
-            found = [[{"box": [int(v) for v in b], "confidence": float(c)} for b, c in detector.detect(x)] for x in batch["content"]]
+            found = [[{"box": [int(v) for v in b], "confidence": float(c)} for b, c in detector().detect(x)] for x in batch["content"]]
             yield pd.DataFrame({"path": batch["path"], "found": found})
 
     raw = images.select("path", "content").mapInPandas(run, "path string, found array<struct<box:array<int>,confidence:double>>")

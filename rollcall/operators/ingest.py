@@ -60,6 +60,18 @@ def upsert_counts(existing: DataFrame, incoming: DataFrame, keys: list[str]) ->
     return joined.agg(F.count_if(F.col("_known").isNull()).alias("additions"), F.count_if(F.col("_known").isNotNull()).alias("updates"))
 
 
+def run_counts(records: DataFrame, new: dict[str, DataFrame]) -> DataFrame:
+    """(records, skipped, battles, players, links) in one row: records read, those without id, time or teams, and rows added."""
+    sound = F.col("id").isNotNull() & F.col("startTime").isNotNull() & (F.size("AllyTeams") > 0)
+    read = records.agg(F.count("*").alias("records"), F.count_if(~F.coalesce(sound, F.lit(False))).alias("skipped"))
+    added = None
+    for name, kind in (("battles", "battles"), ("players", "players"), ("participants", "links")):
+        own = new[name].select(F.lit(kind).alias("kind"))
+        added = own if added is None else added.unionByName(own)
+    counts = added.agg(*[F.count_if(F.col("kind") == kind).alias(kind) for kind in ("battles", "players", "links")])
+    return read.withColumn("one", F.lit(1)).join(counts.withColumn("one", F.lit(1)), "one").drop("one")
+
+
 def ingest(records: DataFrame, battles: DataFrame, participants: DataFrame, players: DataFrame, complete: bool = True) -> tuple[dict[str, DataFrame], str | None]:
     """New rows of the three tables, and the mark to go on from.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..schemas import OCR_HIT
-from ..session import importable
+from ..session import importable, once_a_worker
 
 #: Least detector confidence (exclusive), least side of the region, least confidence of a line.
 PANEL_CONFIDENCE = 0.80
@@ -72,22 +72,50 @@ class OcrBackend(Protocol):
         """Hits of one picture: dicts of box (four corners from top left), text and score."""
 
 
-_BACKENDS: dict[int, OcrBackend] = {}
+class PanelBackend(Protocol):
+    """A detector of the panel that holds the names; made once in each Python worker."""
 
+    def panels(self, content: bytes) -> tuple[int, int, list[tuple[list[int], float]]]:
+        """Width and height of a picture, and (box [x1, y1, x2, y2], confidence) of each panel found."""
 
-def recognise(screenshots: DataFrame, factory) -> DataFrame:
+    def crop(self, content: bytes, box: list[int]) -> bytes:
+        """The part of the picture inside the box."""
+
+
+def panel_of(width: int, height: int, found: list[tuple[list[int], float]]) -> list[int] | None:
+    """best_panel's rule for one picture."""
+    if not found:
+        return None
+    box, confidence = max(found, key=lambda f: f[1])
+    x1, y1, x2, y2 = (max(0, min(int(v), most - 1)) for v, most in zip(box, (width, height) * 2, strict=True))
+    good = confidence > PANEL_CONFIDENCE and x1 > width * 0.5 and x2 - x1 >= REGION_SIDE and y2 - y1 >= REGION_SIDE
+    return [x1, y1, x2, y2] if good else None
+
+
+def recognise(screenshots: DataFrame, factory, panel_factory=None) -> DataFrame:
     """(video_id, video_timestamp_sec, players) of screenshots(video_id, video_timestamp_sec, content).
 
-    The recogniser runs by batch; what follows it is column expressions. A picture without names gives an
-    empty array, so that it counts as processed.
+    With panel_factory, each picture's panel is found and only that part of it is read; without a panel nothing
+    is. Both run by batch; what follows them is column expressions. A picture without names gives an empty
+    array, so that it counts as processed; one that either can't read (an exception) does, too.
     """
     importable(screenshots.sparkSession)
+    reader, finder = once_a_worker(factory), panel_factory and once_a_worker(panel_factory)
+
+    def read(content: bytes) -> list[dict]:
+        try:
+            if finder:
+                box = panel_of(*finder().panels(content))
+                if box is None:
+                    return []
+                content = finder().crop(content, box)
+            return reader().hits(content)
+        except Exception:  # noqa: BLE001  one picture's failure is that picture's
+            return []
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        backend = _BACKENDS.setdefault(hash(factory), None) or factory()
-        _BACKENDS[hash(factory)] = backend
         for batch in batches:
-            yield pd.DataFrame({"video_id": batch["video_id"], "video_timestamp_sec": batch["video_timestamp_sec"], "hits": [backend.hits(c) for c in batch["content"]]})
+            yield pd.DataFrame({"video_id": batch["video_id"], "video_timestamp_sec": batch["video_timestamp_sec"], "hits": [read(c) for c in batch["content"]]})
 
     raw = screenshots.select("video_id", "video_timestamp_sec", "content").mapInPandas(run, f"video_id string, video_timestamp_sec int, hits array<{OCR_HIT.simpleString()}>")
     return raw.select("video_id", "video_timestamp_sec", F.coalesce(names_of(F.col("hits")), F.array().cast("array<string>")).alias("players"))

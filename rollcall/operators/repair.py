@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import stored
 from .ingest import replaced
 
 
@@ -44,16 +45,19 @@ def placeholders(failed: DataFrame, metadata: DataFrame) -> DataFrame:
 
 
 def synced(files: DataFrame, metadata: DataFrame, fetch) -> DataFrame:
-    """Metadata after a repair. fetch(ids) gives rows of metadata's columns and `error` (null where it worked)."""
-    fetched = fetch(to_refetch(files, metadata))
+    """Metadata after a repair. fetch(ids) gives rows of metadata's columns and `error` (null where it worked).
+
+    What was fetched is written once, so no request is made twice and both parts speak of the same replies.
+    """
+    fetched = stored(fetch(to_refetch(files, metadata)))
     good = fetched.where(F.col("error").isNull()).select(metadata.columns)
     after = replaced(metadata, good, ["video_id"])
     return replaced(after, placeholders(fetched.where(F.col("error").isNotNull()).select("video_id"), metadata), ["video_id"])
 
 
 def skip_list(files: DataFrame, metadata: DataFrame) -> DataFrame:
-    """(value): 'youtube <id>' lines of all ids with files or metadata, in order."""
-    ids = video_ids_of_files(files).union(metadata.select("video_id")).distinct()
+    """(value): 'youtube <id>' lines of all ids with files of any kind or metadata, white space cut off, in order."""
+    ids = video_ids_of_files(files, any_file=True).union(metadata.select(T.strip(F.col("video_id")))).distinct()
     return ids.select(F.concat(F.lit("youtube "), "video_id").alias("value")).orderBy("value")
 
 

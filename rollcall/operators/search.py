@@ -30,9 +30,13 @@ def search_map(index: DataFrame, name: str) -> DataFrame:
 
 
 def _nearest(rows: DataFrame, column: str, query: str, distance: float, k: int, order: list[str]) -> DataFrame:
+    """Distinct names are scored, once each, and only the near ones' rows are joined and ordered."""
     importable(rows.sparkSession)
-    scored = rows.withColumn("score", substring_score(F.lit(query), F.col(column))).where(F.col("score") <= distance)
-    return scored.orderBy("score", *order).limit(k)
+    names = rows.select(column).distinct()
+    # Nondeterministic to the optimizer, which would evaluate it in the filter and again above.
+    near = names.withColumn("score", substring_score.asNondeterministic()(F.lit(query), F.col(column))).where(F.col("score") <= distance)
+    found = near if rows.columns == [column] else rows.join(near, column).select(*rows.columns, "score")
+    return found.orderBy("score", *order).limit(k)
 
 
 def search_ocr(index: DataFrame, query: str, k: int = OCR_ROWS, distance: float = OCR_DISTANCE) -> DataFrame:
@@ -53,12 +57,31 @@ def first_items(names: DataFrame, column: str, k: int = LIST_ROWS) -> DataFrame:
     return names.select(column).orderBy(column).limit(k)
 
 
+def player_outcomes(names: DataFrame, index: DataFrame, matches: DataFrame) -> DataFrame:
+    """(player_name, outcome) of names(player_name): 'unknown_player', 'no_videos' or 'found'."""
+    own = index.join(names, "player_name", "left_semi")
+    shown = own.join(matches.select("battle_id").distinct().withColumn("shown", F.lit(True)), "battle_id", "left")
+    told = shown.groupBy("player_name").agg(F.count_if("shown").alias("shown"))
+    outcome = F.when(F.col("shown").isNull(), "unknown_player").when(F.col("shown") == 0, "no_videos").otherwise("found")
+    return names.join(told, "player_name", "left").select("player_name", outcome.alias("outcome"))
+
+
 def player_outcome(index: DataFrame, matches: DataFrame, name: str) -> DataFrame:
-    """(outcome): 'unknown_player', 'no_videos' or 'found', in one row."""
-    own = index.where(F.col("player_name") == name).select("battle_id")
-    shown = matches.join(own, "battle_id", "left_semi").select(F.lit(True).alias("shown"))
-    told = own.select(F.lit(False).alias("shown")).unionByName(shown).agg(F.count("*").alias("known"), F.count_if("shown").alias("shown"))
-    return told.select(F.when(F.col("known") == 0, "unknown_player").when(F.col("shown") == 0, "no_videos").otherwise("found").alias("outcome"))
+    """(outcome) of one name, in one row."""
+    names = index.sparkSession.createDataFrame([(name,)], "player_name string")
+    return player_outcomes(names, index, matches).select("outcome")
+
+
+def map_outcomes(names: DataFrame, index: DataFrame) -> DataFrame:
+    """(map_name, outcome) of names(map_name): 'no_videos' or 'found'."""
+    known = index.select("map_name").distinct().withColumn("known", F.lit(True))
+    return names.join(known, "map_name", "left").select("map_name", F.when(F.col("known"), "found").otherwise("no_videos").alias("outcome"))
+
+
+def search_outcome(found: DataFrame, query: str) -> DataFrame:
+    """(outcome) of a fuzzy search's rows: 'no_query' for an empty one, 'no_matches' or 'found'."""
+    many = F.when(F.count("*") > 0, "found").otherwise("no_matches")
+    return found.agg((many if query else F.lit("no_query")).alias("outcome"))
 
 
 def query_name(url: str) -> str | None:

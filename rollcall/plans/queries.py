@@ -92,16 +92,20 @@ def last_upload(d: Domain) -> DataFrame:
     return marts.last_upload(d.videos())
 
 
-@query("SELECT player_name, count(*) AS battles, min(battle_id) AS first_battle, max(battle_id) AS last_battle FROM player_index GROUP BY 1", "player_index")
+@query("SELECT player_name, count(*) AS battles, string_agg(battle_id, ',' ORDER BY battle_id) AS ids FROM player_index GROUP BY 1", "player_index")
 def player_lists(d: Domain) -> DataFrame:
     lists = marts.player_lists(_index(d))
-    return lists.select("player_name", F.size("battle_ids").cast("long").alias("battles"), F.element_at("battle_ids", 1).alias("first_battle"), F.element_at("battle_ids", -1).alias("last_battle"))
+    return lists.select("player_name", F.size("battle_ids").cast("long").alias("battles"), F.array_join("battle_ids", ",").alias("ids"))
 
 
-@query("SELECT map_name, count(*) AS matches, min(video_id) AS first_video FROM map_index GROUP BY 1", "map_index")
+_SHOWN = "concat_ws(':', battle_id, video_id, CAST(timestamp AS VARCHAR), title, upload_date, uploader)"
+
+
+@query(f"SELECT map_name, count(*) AS matches, md5(string_agg({_SHOWN}, ',' ORDER BY video_id, timestamp, title, upload_date, uploader, battle_id)) AS listed FROM map_index GROUP BY 1", "map_index")
 def map_match_lists(d: Domain) -> DataFrame:
     lists = marts.match_lists(_maps(d), "map_name")
-    return lists.select("map_name", F.size("matches").cast("long").alias("matches"), F.array_min(F.col("matches.video_id")).alias("first_video"))
+    shown = F.transform("matches", lambda m: F.concat_ws(":", m["battle_id"], m["video_id"], m["timestamp"].cast("string"), m["title"], m["upload_date"], m["uploader"]))
+    return lists.select("map_name", F.size("matches").cast("long").alias("matches"), F.md5(F.array_join(shown, ",")).alias("listed"))
 
 
 @query(
@@ -136,20 +140,56 @@ def first_items(d: Domain) -> DataFrame:
     return search.first_items(d.participants().select("player_name").distinct(), "player_name")
 
 
-@query("SELECT 'unknown_player' AS outcome")
+@query(
+    "SELECT player_name, CASE WHEN player_name NOT IN (SELECT player_name FROM participants) THEN 'unknown_player' WHEN player_name IN (SELECT player_name FROM player_index JOIN battle_matches USING (battle_id)) THEN 'found' ELSE 'no_videos' END AS outcome "
+    "FROM (SELECT DISTINCT player_name FROM seen)",
+    "player_index", "battle_matches", "seen",
+)
 def player_outcome(d: Domain) -> DataFrame:
-    return search.player_outcome(_index(d), _matches(d), "nobody")
+    """What a search for each name read would say: misread names are unknown, some players are in no video."""
+    names = d.observations().select(F.explode("players").alias("player_name")).distinct()
+    return search.player_outcomes(names, d.participants(), _matches(d))
 
 
-@query()
+@query("SELECT map_name, CASE WHEN map_name IN (SELECT map_name FROM map_index) THEN 'found' ELSE 'no_videos' END AS outcome FROM (SELECT DISTINCT o_orderpriority AS map_name FROM orders)", "map_index")
+def map_outcome(d: Domain) -> DataFrame:
+    names = d.table("orders").select(F.col("o_orderpriority").alias("map_name")).distinct()
+    return search.map_outcomes(names, _maps(d))
+
+
+def _substring_sql(query: str, text: str) -> str:
+    """substring_distance of a constant query: rows of the usual table, one a character of text, the best end kept in place 1."""
+    m = len(query)
+    letters = "[" + ", ".join("'" + c.replace("'", "''") + "'" for c in query.lower()) + "]"
+    # list_reduce wants one type throughout, so a character of text travels as the list of what it costs at each letter.
+    # The state is [best so far, D(1), .., D(m)]; D(0) is 0 everywhere. A step left costs one, so D(j) is the least of
+    # new(k) + j - k.
+    costs = f"list_transform(string_split(lower({text}), ''), lambda c: list_transform({letters}, lambda e: CASE WHEN e = c THEN 0 ELSE 1 END))"
+    new = f"list_transform(generate_series(1, {m}), lambda k: least(prev[k + 1] + 1, (CASE WHEN k = 1 THEN 0 ELSE prev[k] END) + cost[k]))"
+    row = f"list_transform([{new}], lambda new: list_transform(generate_series(1, {m}), lambda j: least(j, list_min(list_transform(generate_series(1, j), lambda k: new[k] + j - k)))))[1]"
+    step = f"list_transform([{row}], lambda done: list_prepend(least(prev[1], done[{m}]), done))[1]"
+    return f"(list_reduce({costs}, lambda prev, cost: {step}, list_prepend({m}, generate_series(1, {m})))[1] / {float(m)})"
+
+
+MISREAD, BEGUN = "supp1ier#00000001-Brand#17", "000017-brand#3"
+
+
+@query(
+    f"SELECT player_name AS ocr_name, s.video_id, 90 AS timestamp, v.title, v.upload_date, v.uploader, score FROM seen s JOIN videos v USING (video_id) "
+    f"JOIN (SELECT player_name, {_substring_sql(MISREAD, 'player_name')} AS score FROM (SELECT DISTINCT player_name FROM seen)) USING (player_name) WHERE score <= {search.OCR_DISTANCE} ORDER BY score, ocr_name, s.video_id LIMIT {search.OCR_ROWS}",
+    "seen", "videos",
+)
 def fuzzy_topk(d: Domain) -> DataFrame:
     """The 20 rows whose name is nearest to a misread one."""
-    return search.search_ocr(marts.ocr_index(d.observations(), d.videos()), "supp1ier#00000001-Brand#17")
+    return search.search_ocr(marts.ocr_index(d.observations(), d.videos()), MISREAD)
 
 
-@query()
+@query(
+    f"SELECT player_name, score FROM (SELECT player_name, {_substring_sql(BEGUN, 'player_name')} AS score FROM (SELECT DISTINCT player_name FROM participants)) WHERE score <= {search.NAME_DISTANCE} ORDER BY score, player_name LIMIT {search.NAME_ROWS}",
+    "participants",
+)
 def autocomplete_topk(d: Domain) -> DataFrame:
-    return search.autocomplete(d.participants().select("player_name").distinct(), "player_name", "000017-brand#3")
+    return search.autocomplete(d.participants().select("player_name").distinct(), "player_name", BEGUN)
 
 
 # -- matching --------------------------------------------------------------------------------------
@@ -161,8 +201,7 @@ def candidate_join(d: Domain) -> DataFrame:
 
 
 def _windowed(d: Domain) -> DataFrame:
-    seen = d.observations()
-    return match.within_window(match.candidates(seen, d.participants()), seen, d.battles())
+    return match.candidates(d.observations(), d.participants(), battles=d.battles())
 
 
 @query("SELECT video_id, 90 AS video_timestamp_sec, battle_id, shared_names FROM windowed", "windowed")
@@ -255,7 +294,10 @@ name_pairs AS (SELECT DISTINCT x.name AS a, y.name AS b FROM words x JOIN words
 sorted AS (SELECT a, b, array_to_string(list_sort(string_split(a, ' ')), ' ') AS sa, array_to_string(list_sort(string_split(b, ' ')), ' ') AS sb FROM name_pairs)"""
 
 
-@query(f"WITH {_PAIR_SQL} SELECT a, b, round(100.0 * 2 * {_lcs_sql('sa', 'sb')} / (length(sa) + length(sb)), 6) AS score FROM sorted")
+_SORT_SQL = f"WITH {_PAIR_SQL} SELECT a, b, round(100.0 * 2 * {_lcs_sql('sa', 'sb')} / (length(sa) + length(sb)), 6) AS score FROM sorted"
+
+
+@query(_SORT_SQL)
 def token_sort_ratio(d: Domain) -> DataFrame:
     return _name_pairs(d).withColumn("score", F.round(token_sort_score("a", "b"), 6))
 
@@ -274,7 +316,11 @@ def token_set_ratio(d: Domain) -> DataFrame:
     return _name_pairs(d).withColumn("score", F.round(token_set_score("a", "b"), 6))
 
 
-@query()
+def _unrounded(sql: str) -> str:
+    return sql.replace("SELECT a, b, round(", "SELECT a, b, (").replace(", 6) AS score", ") AS score")
+
+
+@query(f"SELECT a, b, round((x.score + y.score) / 2, 6) AS score FROM ({_unrounded(_SORT_SQL)}) x JOIN ({_unrounded(_SET_SQL)}) y USING (a, b)")
 def hybrid_ratio(d: Domain) -> DataFrame:
     return _name_pairs(d).withColumn("score", F.round(hybrid_score("a", "b"), 6))
 
@@ -308,7 +354,27 @@ def ingest_participants(d: Domain) -> DataFrame:
 
 @query(f"SELECT max(timestamp) AS mark FROM battles WHERE {_OLD}", "battles")
 def high_water_mark(d: Domain) -> DataFrame:
-    return d.battles().where(_OLD).agg(F.max("timestamp").alias("mark"))
+    return d.spark.createDataFrame([(ingest.high_water_mark(d.battles().where(_OLD)),)], "mark string")
+
+
+@query(
+    f"SELECT (SELECT count(*) FROM battles) AS records, (SELECT count(*) FROM battles WHERE battle_id NOT IN (SELECT battle_id FROM participants)) AS skipped, "
+    f"(SELECT count(*) FROM battles WHERE NOT {_OLD} AND battle_id IN (SELECT battle_id FROM participants)) AS battles, "
+    f"(SELECT count(DISTINCT player_name) FROM participants WHERE player_name NOT IN (SELECT player_name FROM participants JOIN battles USING (battle_id) WHERE {_OLD})) AS players, "
+    f"(SELECT count(*) FROM participants JOIN battles USING (battle_id) WHERE NOT {_OLD}) AS links",
+    "battles", "participants",
+)
+def ingest_counts(d: Domain) -> DataFrame:
+    """What a pull read and added, on top of the battles before a day."""
+    records, old = _records(d), d.battles().where(_OLD)
+    parts = ingest.participant_rows(records)
+    known = d.participants().join(old.select("battle_id"), "battle_id", "left_semi")
+    new = {
+        "battles": ingest.new_rows(ingest.battle_rows(records), old, KEYS["battles"]),
+        "participants": ingest.new_rows(parts, known, KEYS["participants"]),
+        "players": ingest.new_rows(ingest.player_rows(parts), ingest.player_rows(known), KEYS["players"]),
+    }
+    return ingest.run_counts(records, new)
 
 
 _BRANDS = "SELECT p_brand AS uploader, p_name AS title, min(CAST(p_partkey AS VARCHAR)) AS video_id, 'new' AS upload_date FROM part WHERE p_size > 20 GROUP BY ALL"
@@ -344,7 +410,7 @@ def upsert_counts(d: Domain) -> DataFrame:
 @query("SELECT event_id, event_type, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events WHERE ts > TIMESTAMP '2024-01-05 00:00:00'")
 def incremental_events(d: Domain) -> DataFrame:
     """Events after a mark, with a field of their JSON."""
-    later = d.table("events").where(F.col("ts") > F.to_timestamp_ntz(F.lit("2024-01-05 00:00:00")))
+    later = ingest.newer_than(d.table("events"), "2024-01-05 00:00:00", "2024-01-01 00:00:00", "ts")
     return later.select("event_id", "event_type", F.from_json("props", "k int")["k"].alias("k"))
 
 
@@ -353,20 +419,20 @@ def incremental_events(d: Domain) -> DataFrame:
 
 def _files(d: Domain) -> DataFrame:
     """Paths of frames, some of which are no frames."""
-    name = F.concat_ws("_", F.lit("v"), F.col("l_partkey").cast("string"), F.concat((F.col("l_linenumber") * 720 - 630).cast("string"), F.when(F.col("l_tax") > 0.07, ".png").otherwise("s.png")))
+    name = F.concat_ws("_", F.lit("v"), F.col("l_partkey").cast("string"), F.concat((F.col("l_linenumber") * 720 - 630).cast("string"), F.when(F.col("l_tax") > 0.07, ".png ").when(F.col("l_tax") > 0.06, ".jpg").otherwise("s.png")))
     return d.table("lineitem").select(F.concat(F.lit("/shots/"), F.col("l_orderkey").cast("string"), F.lit("/"), name).alias("path"))
 
 
-_FILES = "SELECT '/shots/' || l_orderkey || '/v_' || l_partkey || '_' || (l_linenumber * 720 - 630) || CASE WHEN l_tax > 0.07 THEN '.png' ELSE 's.png' END AS path, * FROM lineitem"
+_FILES = "SELECT '/shots/' || l_orderkey || '/v_' || l_partkey || '_' || (l_linenumber * 720 - 630) || CASE WHEN l_tax > 0.07 THEN '.png ' WHEN l_tax > 0.06 THEN '.jpg' ELSE 's.png' END AS path, * FROM lineitem"
 
 
-@query(f"SELECT path, 'v_' || l_partkey AS video_id, l_linenumber * 720 - 630 AS video_timestamp_sec FROM ({_FILES}) WHERE l_tax <= 0.07")
+@query(f"SELECT path, 'v_' || l_partkey AS video_id, l_linenumber * 720 - 630 AS video_timestamp_sec FROM ({_FILES}) WHERE l_tax <= 0.06")
 def filename_parse(d: Domain) -> DataFrame:
     return observations.frames(_files(d))
 
 
 @query(
-    f"SELECT DISTINCT path, 'v_' || l_partkey AS video_id, l_linenumber * 720 - 630 AS video_timestamp_sec FROM ({_FILES}) f WHERE l_tax <= 0.07 AND NOT EXISTS (SELECT 1 FROM lineitem x WHERE x.l_partkey = f.l_partkey AND x.l_linenumber = f.l_linenumber AND x.l_quantity > 40)"
+    f"SELECT DISTINCT path, 'v_' || l_partkey AS video_id, l_linenumber * 720 - 630 AS video_timestamp_sec FROM ({_FILES}) f WHERE l_tax <= 0.06 AND NOT EXISTS (SELECT 1 FROM lineitem x WHERE x.l_partkey = f.l_partkey AND x.l_linenumber = f.l_linenumber AND x.l_quantity > 40)"
 )
 def unprocessed_frames(d: Domain) -> DataFrame:
     """Frames that aren't among those done."""
@@ -386,12 +452,11 @@ def gamertag_filter(d: Domain) -> DataFrame:
     return words.select("word", T.cleaned_name(F.col("word")).alias("clean"))
 
 
-@query(
-    "SELECT doc_id, regexp_replace(coalesce(n_chars, 0) || ' ' || left(text, 20), '^[0-9\\s一-鿿]*', '') AS name FROM documents"
-)
+@query("SELECT doc_id, md5(regexp_replace(coalesce(n_chars, 0) || ' ' || coalesce(text, ''), '^[0-9\\s一-鿿]*', '')) AS name_md5 FROM documents")
 def leading_junk_strip(d: Domain) -> DataFrame:
-    docs = d.table("documents")
-    return docs.select("doc_id", T.strip_leading_junk(F.concat(F.coalesce("n_chars", F.lit(0)).cast("string"), F.lit(" "), F.substring("text", 1, 20))).alias("name"))
+    """Whole texts with their length in front, which goes with the white space after it."""
+    numbered = F.concat(F.coalesce("n_chars", F.lit(0)).cast("string"), F.lit(" "), F.coalesce("text", F.lit("")))
+    return d.table("documents").select("doc_id", F.md5(T.strip_leading_junk(numbered)).alias("name_md5"))
 
 
 @query("SELECT DISTINCT '[' || p_type || '}' || p_name AS raw, p_name AS name, '[' || p_type || ']' AS tag FROM part")
@@ -453,12 +518,12 @@ def tag_filter(d: Domain) -> DataFrame:
     return d.table("part").where(sampling.has_tag(F.array("p_type", "p_brand"), "Economy")).select("p_partkey")
 
 
-@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION SELECT doc_id FROM labels WHERE quality = 0")
+@query("SELECT CAST(doc_id AS VARCHAR) AS video_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION SELECT CAST(doc_id AS VARCHAR) FROM labels WHERE quality = 0")
 def repair_diff(d: Domain) -> DataFrame:
-    """Documents without a label and those whose label says little, once each."""
-    labels = d.table("labels")
-    absent = d.table("documents").select("doc_id").join(labels.select("doc_id"), "doc_id", "left_anti")
-    return absent.union(labels.where("quality = 0").select("doc_id")).distinct()
+    """Videos to fetch anew, once each: pictures (documents) without metadata (labels), and metadata without a title."""
+    metadata = d.table("labels").select(F.col("doc_id").cast("string").alias("video_id"), F.when(F.col("quality") == 1, "a title").alias("title"), F.lit("20240101").alias("upload_date"), F.lit("u").alias("uploader"))
+    files = d.table("documents").select(F.concat(F.lit("/shots/"), F.col("doc_id").cast("string"), F.lit("_90s.png")).alias("path"))
+    return repair.to_refetch(files, metadata)
 
 
 @query("SELECT video_id FROM videos WHERE coalesce(title, '') = '' OR coalesce(upload_date, '') = '' OR coalesce(uploader, '') = ''", "videos")
@@ -467,7 +532,7 @@ def incomplete_metadata(d: Domain) -> DataFrame:
 
 
 @query(
-    f"SELECT 'youtube ' || video_id AS value FROM (SELECT CASE WHEN l_tax > 0.07 THEN 'v_' || l_partkey || '_' || (l_linenumber * 720 - 630) || '.png' ELSE 'v_' || l_partkey END AS video_id FROM ({_FILES}) UNION SELECT video_id FROM videos)",
+    f"SELECT 'youtube ' || video_id AS value FROM (SELECT CASE WHEN l_tax > 0.06 THEN 'v_' || l_partkey || '_' || (l_linenumber * 720 - 630) || CASE WHEN l_tax > 0.07 THEN '.png' ELSE '.jpg' END ELSE 'v_' || l_partkey END AS video_id FROM ({_FILES}) UNION SELECT video_id FROM videos)",
     "videos",
 )
 def skip_list(d: Domain) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, MapType, StringType, StructField, StructType
 
 
@@ -37,7 +39,19 @@ TABLES = {"battles": BATTLES, "players": PLAYERS, "participants": PARTICIPANTS,
 
 
 def create_tables(spark, database: str = "default") -> None:
-    """CREATE TABLE IF NOT EXISTS for every table, as Parquet in a catalog database."""
+    """CREATE TABLE IF NOT EXISTS for every table, as Parquet in a catalog database, with its key as a property.
+
+    Parquet tables can't enforce keys; insert_or_ignore and insert_or_replace keep them, and repeated_keys tells.
+    """
     for name, schema in TABLES.items():
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}) USING parquet")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}) USING parquet TBLPROPERTIES ('key' = '{','.join(KEYS[name])}')")
+
+
+def repeated_keys(rows: DataFrame, name: str) -> DataFrame:
+    """(key columns, rows): keys of the table that stand on more than one row, or hold a null."""
+    counts = rows.groupBy(KEYS[name]).agg(F.count("*").alias("rows"))
+    null = F.lit(False)
+    for k in KEYS[name]:
+        null = null | F.col(k).isNull()
+    return counts.where((F.col("rows") > 1) | null)

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
+import tempfile
+import uuid
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -15,3 +20,34 @@ def importable(spark: SparkSession) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df written to the folder of spark.checkpoint.dir and read again, for rows that must not be made twice.
+
+    Where none is set, a local master gets a local folder, as in tests, and others an error.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="rollcall-")
+    path = f"{folder.rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_MADE: dict[str, object] = {}
+
+
+def once_a_worker(factory: Callable[[], object]) -> Callable[[], object]:
+    """A function that makes factory's object once in each Python worker; factories are told apart by their content."""
+    key = hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()
+
+    def made() -> object:
+        if key not in _MADE:
+            _MADE[key] = factory()
+        return _MADE[key]
+
+    return made

@@ -61,13 +61,16 @@ def channels(spark: SparkSession, urls: list[str]) -> DataFrame:
 
 
 class Table:
-    """A Parquet table in versions: `path/v=<n>`, and `path/_current` names the one that holds.
+    """A Parquet table in versions: `path/_current-<n>` lists the folders `path/v=<m>` that hold version n's rows.
 
-    A change is written as a new version and then made current by one small rename, so readers see the old
-    table or the new one, a failed job leaves the old one, and older versions are backups. A plan may read the
-    table that it replaces.
+    A change writes one new folder and becomes current by one small rename, so readers see the old table or the
+    new one, a failed job leaves the old one, and older versions are backups. Inserted rows are appended: known
+    rows aren't written again until MOST_PARTS folders have come together. A plan may read the table that it
+    replaces.
     """
 
+    MOST_PARTS = 64
+
     def __init__(self, spark: SparkSession, path: str, schema: StructType):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         jvm = spark._jvm
@@ -79,38 +82,65 @@ class Table:
         marks = self._fs.globStatus(self._path(f"{self.path}/_current-*"))
         return max((int(m.getPath().getName().rpartition("-")[2]) for m in marks or []), default=0)
 
-    def read(self, version: int | None = None) -> DataFrame:
+    def parts(self, version: int | None = None) -> list[str]:
+        """Names of the folders that hold a version."""
         n = self.version() if version is None else version
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v={n}") if n else self.spark.createDataFrame([], self.schema)
+        if not n:
+            return []
+        file = self._fs.open(self._path(f"{self.path}/_current-{n}"))
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(file, "UTF-8").split()
+        finally:
+            file.close()
 
-    def overwrite(self, rows: DataFrame) -> int:
-        """rows as the whole table."""
-        n = self.version() + 1
+    def read(self, version: int | None = None) -> DataFrame:
+        parts = self.parts(version)
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{p}" for p in parts]) if parts else self.spark.createDataFrame([], self.schema)
+
+    def stage(self, rows: DataFrame, append: bool = False) -> tuple[int, list[str]]:
+        """rows written as the next version's folder, with that version's number and folders; not current yet."""
+        n, parts = self.version() + 1, self.parts() if append else []
+        if len(parts) >= self.MOST_PARTS:
+            rows, parts = self.read().unionByName(rows.select(self.schema.names)), []
         rows.select(self.schema.names).write.mode("overwrite").parquet(f"{self.path}/v={n}")
-        self._fs.create(self._path(f"{self.path}/_new-{n}"), True).close()
-        if not self._fs.rename(self._path(f"{self.path}/_new-{n}"), self._path(f"{self.path}/_current-{n}")):
+        return n, [*parts, f"v={n}"]
+
+    def make_current(self, n: int, parts: list[str]) -> None:
+        new, mark = self._path(f"{self.path}/_new-{n}"), self._path(f"{self.path}/_current-{n}")
+        out = self._fs.create(new, True)
+        out.write(bytearray("\n".join(parts).encode()))
+        out.close()
+        if self._fs.exists(mark) or not self._fs.rename(new, mark):
             raise RuntimeError(f"version {n} of {self.path} was made by another writer")
-        return n
+
+    def overwrite(self, rows: DataFrame) -> int:
+        """rows as the whole table."""
+        staged = self.stage(rows)
+        self.make_current(*staged)
+        return staged[0]
+
+    def append(self, rows: DataFrame) -> int:
+        """rows besides those there are."""
+        staged = self.stage(rows, append=True)
+        self.make_current(*staged)
+        return staged[0]
 
     def insert_or_ignore(self, rows: DataFrame, keys: list[str]) -> int:
-        """Rows of new keys are added; the first row of a key wins."""
-        old = self.read()
-        return self.overwrite(old.unionByName(new_rows(rows.select(self.schema.names), old, keys)))
+        """Rows of new keys are appended; the first row of a key wins."""
+        return self.append(new_rows(rows.select(self.schema.names), self.read(), keys))
 
     def insert_or_replace(self, rows: DataFrame, keys: list[str]) -> int:
         """Rows of known keys are replaced, others added."""
         return self.overwrite(replaced(self.read(), rows, keys))
 
 
-def write_together(changes: list[tuple[Table, DataFrame]]) -> None:
+def write_together(changes: list[tuple[Table, DataFrame]], append: bool = False) -> None:
     """Several tables in one batch: all versions are written before any becomes current; a failure undoes those that did."""
     written = []
-    staged = [(t, rows.select(t.schema.names), t.version() + 1) for t, rows in changes]
-    for table, rows, n in staged:
-        rows.write.mode("overwrite").parquet(f"{table.path}/v={n}")
+    staged = [(table, *table.stage(rows, append)) for table, rows in changes]
     try:
-        for table, _, n in staged:
-            table._fs.create(table._path(f"{table.path}/_current-{n}"), False).close()
+        for table, n, parts in staged:
+            table.make_current(n, parts)
             written.append((table, n))
     except Exception:
         for table, n in written:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import repair, sampling
-from ..session import importable
+from ..session import importable, stored
 
 METADATA = "video_id string, title string, upload_date string, duration double, uploader string, tags array<string>, thumbnail string, url string, error string"
 
@@ -83,9 +83,9 @@ def take_frames(videos: DataFrame, have: DataFrame, factory: Callable[[], MediaS
 
 
 def channel_frames(channels: DataFrame, factory: Callable[[], MediaService], after: str, skips: DataFrame, have: DataFrame, tag: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """All of a channel run: (metadata of the videos listed, frames taken of those that could be read)."""
-    metadata = fetch_metadata(list_channels(channels, factory, after, skips), factory)
-    return metadata, take_frames(metadata.where(F.col("error").isNull()), have, factory, tag)
+    """All of a channel run: (metadata of the videos listed, frames taken of those that could be read); each request is made once."""
+    metadata = stored(fetch_metadata(list_channels(channels, factory, after, skips), factory))
+    return metadata, stored(take_frames(metadata.where(F.col("error").isNull()), have, factory, tag))
 
 
 def flatten_playlist(entries: DataFrame, column: str = "entries", depth: int = 4) -> DataFrame:

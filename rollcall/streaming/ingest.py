@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 from ..functions import text as T
 from ..operators import ingest, match
 from ..schemas import API_BATTLE, KEYS, OBSERVATIONS
-from ..sources.io import Table
+from ..sources.io import Table, write_together
 
 
 def record_stream(spark: SparkSession, folder: str, schema: StructType = API_BATTLE) -> DataFrame:
@@ -25,11 +25,11 @@ def once(records: DataFrame, delay: str = "1 day") -> DataFrame:
 
 
 def ingest_stream(records: DataFrame, battles: Table, participants: Table, checkpoint: str) -> StreamingQuery:
-    """Each micro-batch into the tables, insert or ignore; a batch that runs again adds nothing."""
+    """Each micro-batch into both tables at once, new rows appended; a batch that runs again adds nothing."""
 
     def batch(rows: DataFrame, _: int) -> None:
-        battles.insert_or_ignore(ingest.battle_rows(rows), KEYS["battles"])
-        participants.insert_or_ignore(ingest.participant_rows(rows), KEYS["participants"])
+        new = ((battles, ingest.battle_rows(rows), KEYS["battles"]), (participants, ingest.participant_rows(rows), KEYS["participants"]))
+        write_together([(table, ingest.new_rows(own, table.read(), keys)) for table, own, keys in new], append=True)
 
     return records.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

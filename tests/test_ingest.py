@@ -47,6 +47,24 @@ def test_part_of_a_pull_moves_no_mark(spark, tmp_path):
     assert mark is None
 
 
+def test_counts_of_a_run(spark, tmp_path):
+    own = tables(spark, tmp_path)
+    pulled = records(spark, tmp_path)
+    new, _ = ingest.ingest(pulled, *(own[n].read() for n in own))
+    assert ingest.run_counts(pulled, new).first() == (6, 2, 3, 3, 3)
+
+
+def test_inserts_append_and_come_together(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(Table, "MOST_PARTS", 3)
+    t = Table(spark, f"{tmp_path}/p", schemas.PLAYERS)
+    for i in range(5):
+        t.insert_or_ignore(spark.createDataFrame([(f"p{i}",), ("p0",)], schemas.PLAYERS), ["player_name"])
+        assert t.read().count() == i + 1
+    assert t.parts(3) == ["v=1", "v=2", "v=3"] and t.parts() == ["v=4", "v=5"]
+    write_together([(t, spark.createDataFrame([("q",)], schemas.PLAYERS))], append=True)
+    assert t.read().count() == 6 and t.read(2).count() == 2
+
+
 def test_mark_is_exclusive(spark, tmp_path):
     got = ingest.newer_than(records(spark, tmp_path), "2024-06-02T00:00:00.000Z").select("id").collect()
     assert [r.id for r in got] == ["a"]

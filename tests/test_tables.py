@@ -100,6 +100,43 @@ def test_pictures_to_observations(spark, tmp_path):
     assert rows(observations.merged(old, read)) == [("k", 1, ["k"]), ("v_1", 90, ["top", "nameA", "name_b"]), ("w", 90, [])]
 
 
+class Panels:
+    def panels(self, content):
+        if content == b"broken":
+            raise ValueError("no picture")
+        return 1000, 500, [([10, 0, 300, 200], 0.85), ([600, 20, 5000, 400], 0.9), ([700, 0, 900, 100], 0.9)] if content != b"none" else []
+
+    def crop(self, content, box):
+        return content + f" {box}".encode()
+
+
+class Echo:
+    def hits(self, content):
+        return [{"box": [[0.0, 0.0]] * 4, "text": content.decode().translate({32: 95, 44: 95}), "score": 0.9}]
+
+
+def test_only_the_panel_is_read(spark):
+    shots = spark.createDataFrame([("a", 1, b"pic"), ("b", 2, b"none"), ("c", 3, b"broken"), ("d", 4, None)], "video_id string, video_timestamp_sec int, content binary")
+    assert rows(observations.recognise(shots, Echo, Panels)) == [("a", 1, ["pic_[600__20__999__400]"]), ("b", 2, []), ("c", 3, []), ("d", 4, [])]
+    found = [([600, 0, 700, 29], 0.99)]
+    assert observations.panel_of(1000, 500, found) is None and observations.panel_of(1000, 500, [([500, 0, 700, 90], 0.99)]) is None
+    assert observations.panel_of(1000, 500, [([501, -5, 700, 90], 0.81)]) == [501, 0, 700, 90] and observations.panel_of(1000, 500, [([501, 0, 700, 90], 0.80)]) is None
+
+
+def test_labels_marks_keys_and_outcomes(spark, world):
+    labels = spark.createDataFrame([("a", "0 1 1 1 1"), ("b", "0 2 2 2 2")], "stem string, line string")
+    after = detections.labelled(labels, spark.createDataFrame([("b", None), ("c", "0 3 3 3 3")], labels.schema))
+    assert rows(after) == [("a", "0 1 1 1 1"), ("b", None), ("c", "0 3 3 3 3")] and detections.label_counts(after).first() == (2, 1)
+    found = spark.createDataFrame([("/x/a.png", ([1, 2, 3, 4], 0.5)), ("/x/b.png", None)], "path string, detection struct<box:array<int>,confidence:double>")
+    document = detections.detections_document(found)
+    assert [json.loads(r.value) for r in io.document_lines(document, "name", "detection").orderBy("value").collect()] == [{"a.png": {"box": [1, 2, 3, 4], "confidence": 0.5}}, {"b.png": None}]
+    repeated = {(r.battle_id, r.player_name): r.rows for r in schemas.repeated_keys(world["participants"].union(world["participants"].where("player_name = 'z'")), "participants").collect()}
+    assert repeated == {("B3", "z"): 2, ("B1", None): 1}
+    index = marts.map_index(world["battles"], world["battle_videos"], world["videos"])
+    assert rows(search.map_outcomes(spark.createDataFrame([("m1",), ("m0",)], "map_name string"), index)) == [("m0", "no_videos"), ("m1", "found")]
+    assert [search.search_outcome(df, q).first()[0] for df, q in ((index, "x"), (index.limit(0), "x"), (index, ""))] == ["found", "no_matches", "no_query"]
+
+
 def test_documents(spark, tmp_path):
     document = {"v1": {"title": "t", "upload_date": "20240101", "duration": 100, "tags": ["a"], "screenshots": {"90": ["x", "y"], "bad": []}}, "v2": {"title": None}}
     (tmp_path / "d.json").write_text(json.dumps(document, indent=4))
@@ -140,13 +177,22 @@ def test_media_and_repair(spark):
     assert rows(metadata, "video_id") == [("a1",), ("a2",)] and rows(frames, "video_id", "video_timestamp_sec") == [("a2", 90)]
     nested = spark.createDataFrame([('[{"id": 1}, {"entries": [{"id": 2}, {"entries": [{"id": 3}]}]}]',)], "entries string")
     assert [json.loads(r.entry)["id"] for r in media.flatten_playlist(nested).collect()] == [1, 2, 3]
+    calls = spark.sparkContext.accumulator(0)
     files = spark.createDataFrame([("/s/a2_90s.png",), ("/s/x1_90s.png",), ("/s/y_90s.png",)], "path string")
     names = ["video_id", "title", "upload_date", "duration", "uploader", "tags", "thumbnail"]
     known = spark.createDataFrame([("a2", "", "d", 1.0, "u", None, None), ("y", "kept", "d", 1.0, "u", None, None), ("q1", "titled", None, 1.0, "u", None, None)], "video_id string, title string, upload_date string, duration double, uploader string, tags array<string>, thumbnail string")
     assert rows(repair.to_refetch(files, known)) == [("a2",), ("q1",), ("x1",)]
-    after = repair.synced(files, known, lambda ids: media.fetch_metadata(ids, Service).select(*names, "error"))
+
+    class Counted(Service):
+        def metadata(self, video_id):
+            calls.add(1)
+            return super().metadata(video_id)
+
+    after = repair.synced(files, known, lambda ids: media.fetch_metadata(ids, Counted).select(*names, "error"))
     assert rows(after, "video_id", "title", "upload_date") == [("a2", "t a2", "20240101"), ("q1", "titled", None), ("x1", "N/A", "N/A"), ("y", "kept", "d")]
-    assert [r.value for r in repair.skip_list(files, known).collect()] == ["youtube a2", "youtube q1", "youtube x1", "youtube y"]
+    assert after.count() == 4 and calls.value == 3  # each of the three was asked for once
+    other = files.union(spark.createDataFrame([("/s/ z_90s.jpg ",)], "path string"))
+    assert [r.value for r in repair.skip_list(other, known).collect()] == ["youtube a2", "youtube q1", "youtube x1", "youtube y", "youtube z_90s.jpg"]
 
 
 class Detector:
