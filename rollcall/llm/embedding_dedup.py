@@ -1,15 +1,18 @@
 """Embedding near-dedup: an exact metric range join with pivots.
 
-Vectors are scaled to length 1, where cosine >= c is distance <= r = sqrt(2 - 2c). Within a label each
-vector's home is the cell of its nearest pivot p; it also visits the cell of pivot q unless the triangle
-inequality shows no partner there: a partner at home with q lies on q's side of the plane between p and q,
-so the vector is at most r from that plane. Cells join independently, and each pair is counted at the home
-of its other member.
-
-- Equal vectors of a label are one class with a weight, compared once.
-- Two members within r / 2 of their pivot link by the triangle inequality; this core of a cell is counted,
-  not compared, so a group of near copies costs time in proportion to its size.
-- The rest of a cell is dealt into chunks; no task holds more than a few thousand home vectors.
+Vectors are scaled to length 1, where cosine >= c is distance <= r = sqrt(2 - 2c). A label is a cell; a cell of
+more than CHUNK vectors is split by pivots drawn from it, and so are the parts, until all are small, so the
+number of pivots grows with the data. A vector's home is the part of its nearest pivot p; it also visits the part
+of pivot q unless the triangle inequality shows no partner there: a partner at home with q lies on q's side of the
+plane between p and q, so the vector is at most r from that plane. Visitors are split like home vectors, so each
+split is another chance to exclude them. Cells join independently, and each pair is counted at the home of its
+other member.
+
+- Equal vectors of a label are one class with a weight, compared once; they are known by two 64-bit hashes.
+- Two members within r / 2 of their pivot link by the triangle inequality; this core of a part is counted, not
+  compared, and isn't split, so a group of near copies costs time in proportion to its size. Of the others only
+  those at most 1.5 r from the pivot are compared with the core.
+- No task holds more than CHUNK home vectors and GUESTS visitors.
 
 Where distances concentrate (directions at random in many dimensions) the bound prunes little, and an exact
 join visits most cells: work then grows with the square of a label's size.
@@ -23,25 +26,27 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from ._session import keep, prepare
 from .components import components
 
-#: Vectors a pivot stands for, and pivots of a label at most; larger cells are dealt into chunks.
-CELL = 2000
-MAX_PIVOTS = 64
-#: Home vectors of one chunk, and vectors of one block that finds its cells.
-CHUNK = 2048
+#: Vectors that a pivot stands for, and pivots that a cell is split by at most.
+CELL, SPLIT = 1000, 64
+#: Home vectors and visitors of one task, and vectors of one block that finds its cells.
+CHUNK, GUESTS = 2048, 16_384
 #: Slack of distances against rounding.
 EPS = 1e-6
 
-_ASSIGNED = "label int, dim int, cell int, home int, core boolean, id long, w long, vec binary"
+_ASSIGNED = "cell string, dim int, id long, w long, vec binary, home boolean, core boolean, near boolean"
 _FOUND = "a long, b long, links long"
 
 
 def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
-    """Rows scaled to length 1, in double precision; the largest component is scaled first, against overflow."""
-    raw = np.stack([np.frombuffer(x.as_buffer(), np.float32) for x in column]).astype(np.float64).reshape(-1, dim)
+    """Rows of bytes of float32 or float64, scaled to length 1 in double precision; the largest component first, against overflow."""
+    rows = [x.as_buffer() for x in column]
+    kind = np.float64 if rows and len(rows[0]) == 8 * dim else np.float32
+    raw = np.stack([np.frombuffer(x, kind) for x in rows]).astype(np.float64).reshape(-1, dim)
     raw /= np.abs(raw).max(axis=1, keepdims=True)
     return raw / np.sqrt((raw * raw).sum(axis=1, keepdims=True))
 
@@ -51,32 +56,35 @@ def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _assign(radius: float):
+    """Vectors of a block and the pivots of their cell: for each vector its home among the parts, and those it visits."""
+
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        label, dim = key[0].as_py(), key[1].as_py()
+        cell = key[0].as_py()
         if not left.num_rows:
-            return pa.table({"label": pa.array([], pa.int32()), "dim": pa.array([], pa.int32()), "cell": pa.array([], pa.int32()), "home": pa.array([], pa.int32()), "core": pa.array([], pa.bool_()), "id": pa.array([], pa.int64()), "w": pa.array([], pa.int64()), "vec": pa.array([], pa.binary())})
+            return pa.table({"cell": pa.array([], pa.string()), "dim": pa.array([], pa.int32()), "id": pa.array([], pa.int64()), "w": pa.array([], pa.int64()), "vec": pa.array([], pa.binary()), **{c: pa.array([], pa.bool_()) for c in ("home", "core", "near")}})
+        dim = left.column("dim")[0].as_py()
         right = right.sort_by("id")
         x, p = _matrix(left.column("vec"), dim), _matrix(right.column("vec"), dim)
         d, between = _distances(x, p), _distances(p, p)
-        home = d.argmin(axis=1)
-        own = d[np.arange(len(x)), home]
-        apart = between[home]
+        nearest, every = d.argmin(axis=1), np.arange(len(x))
+        own, apart = d[every, nearest], between[nearest]
         with np.errstate(divide="ignore", invalid="ignore"):
             plane = (d**2 - own[:, None] ** 2) / (2 * apart)
         visit = (plane <= radius + EPS) | (apart <= EPS)
-        visit[np.arange(len(x)), home] = True
-        row, cell = np.nonzero(visit)
-        take = pa.array(row)
+        visit[every, nearest] = True
+        row, part = np.nonzero(visit)
+        home = left.column("home").to_numpy(zero_copy_only=False)[row] & (part == nearest[row])
+        take, away = pa.array(row), d[row, part]
         return pa.table(
             {
-                "label": pa.array(np.full(len(row), label, np.int32)),
-                "dim": pa.array(np.full(len(row), dim, np.int32)),
-                "cell": pa.array(cell.astype(np.int32)),
-                "home": pa.array(home[row].astype(np.int32)),
-                "core": pa.array(own[row] <= radius / 2 - EPS),
+                "cell": pa.array([f"{cell}/{i}" for i in part.tolist()], pa.string()),
+                "dim": left.column("dim").take(take),
                 "id": left.column("id").take(take),
                 "w": left.column("w").take(take),
                 "vec": left.column("vec").take(take),
+                "home": pa.array(home),
+                "core": pa.array(home & (away <= radius / 2 - EPS)),
+                "near": pa.array(away <= 1.5 * radius + EPS),
             }
         )
 
@@ -87,12 +95,13 @@ def _join_chunk(cosine: float):
     """Links of one chunk: of each vector with the chunk's home vectors; a forest of edges and weighted counts."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        dim, cell, core = key[1].as_py(), key[2].as_py(), key[3].as_py()
+        core, part = key[1].as_py(), key[3].as_py()
         ids, w = table.column("id").to_numpy(), table.column("w").to_numpy()
-        at_home, here = table.column("at_home").to_numpy(zero_copy_only=False), table.column("home").to_numpy() == cell
-        x = _matrix(table.column("vec"), dim)
+        at_home, here = (table.column(c).to_numpy(zero_copy_only=False) for c in ("at_home", "here"))
+        x = _matrix(table.column("vec"), table.column("dim")[0].as_py())
         homes = np.flatnonzero(at_home)
-        guests = np.flatnonzero(~at_home) if core else np.arange(len(ids))
+        # The home vectors of a cell that is no core are compared with each other too, where its first visitors are.
+        guests = np.arange(len(ids)) if not core and part == 0 else np.flatnonzero(~at_home)
         links, up = np.zeros(len(ids), np.int64), np.arange(len(ids))
         edges: list[tuple[int, int]] = []
 
@@ -138,78 +147,98 @@ def _roots(up: np.ndarray, nodes: np.ndarray) -> np.ndarray:
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.93) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) for every row of vectors(vec_id, embedding array<float>, label int, ...).
+    """(vec_id, n_links, component_id, kept) for every row of vectors(vec_id, embedding, label int, ...).
 
-    Rows link when their labels are equal and not null, their vectors have equal lengths and a cosine of at
-    least `cosine` in double precision. A vector that is null, empty, zero, or holds null or non-finite
-    components links with nothing. n_links counts other rows; component_id is the smallest vec_id reachable.
-    Rows with equal vec_id are vectors of their own. Extra columns are ignored; an empty table gives an
+    embedding is array<float> or array<double>. Rows link when their labels are equal and not null, their vectors
+    have equal lengths and a cosine of at least `cosine` in double precision. A vector that is null, empty, zero, or
+    holds null or non-finite components links with nothing. n_links counts other rows; component_id is the smallest
+    vec_id reachable, null where no row reached has one. Rows with equal vec_id, a null one too, are vectors of their
+    own. Ties, as several pivots at one distance, change no link. Extra columns are ignored; an empty table gives an
     empty result.
     """
     spark = vectors.sparkSession
     prepare(spark)
     radius = math.sqrt(2 - 2 * cosine)
-    rows = keep(vectors.select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"), F.col("label").cast("int").alias("label")))
+    kind = "array<double>" if vectors.schema["embedding"].dataType == ArrayType(DoubleType(), vectors.schema["embedding"].dataType.containsNull) else "array<float>"
+    rows = keep(vectors.select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding"), F.col("label").cast("int").alias("label")))
     finite = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("embedding", lambda x: x != 0)
     sound = rows.where(F.col("label").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(finite, F.lit(False)))
-    # A vector of equal rows is one class; -0.0 and 0.0 group as equal.
-    classed = sound.groupBy("label", "embedding").agg(F.min("row").alias("id"), F.count("*").alias("w"))
-    classes = keep(classed)
-    members = sound.join(classes, ["label", "embedding"]).select("row", "id", "w")
-    packed = keep(_packed(classes))
-    sizes = packed.groupBy("label", "dim").agg(F.count("*").alias("n"), F.min("id").alias("first"))
-    sizes = keep(sizes.withColumn("pivots", F.least(F.lit(MAX_PIVOTS), F.ceil(F.col("n") / CELL))).withColumn("blocks", F.ceil(F.col("n") / CHUNK)))
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block")
-    blocks = packed.join(sizes, ["label", "dim"]).select("label", "dim", block, "id", "w", "vec")
-    # A few times the pivots needed, by hash, then the first of them; the smallest id is always among them.
-    lot = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 30))
-    drawn = packed.join(sizes, ["label", "dim"]).withColumn("lot", F.when(F.col("id") == F.col("first"), -1).otherwise(lot))
-    drawn = drawn.where(F.col("lot") * F.col("n") < (4 * F.col("pivots") + 40) * (1 << 30))
-    rank = F.row_number().over(Window.partitionBy("label", "dim").orderBy("lot", "id"))
-    pivots = drawn.withColumn("rank", rank).where(F.col("rank") <= F.col("pivots"))
-    pivots = keep(pivots.select("label", "dim", "blocks", "id", "vec"))
-    pivots = pivots.select("label", "dim", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "id", "vec")
-    by = ["label", "dim", "block"]
-    assigned = keep(blocks.groupBy(by).cogroup(pivots.groupBy(by)).applyInArrow(_assign(radius), _ASSIGNED))
-
-    at = ["label", "dim", "cell"]
-    homes = assigned.where("cell = home").groupBy(at).agg(
-        F.sum(F.col("core").cast("long")).alias("n_core"),
-        F.sum((~F.col("core")).cast("long")).alias("n_rest"),
-        F.sum(F.when(F.col("core"), F.col("w")).otherwise(0)).alias("w_core"),
-        F.min(F.when(F.col("core"), F.col("id"))).alias("hub"),
-    )
-    homes = keep(homes.withColumn("core_chunks", F.ceil(F.col("n_core") / CHUNK)).withColumn("rest_chunks", F.ceil(F.col("n_rest") / CHUNK)))
-    placed = assigned.join(homes, at)
-    is_home, is_core = F.col("cell") == F.col("home"), F.col("core") & (F.col("cell") == F.col("home"))
-    spread = lambda n, kind: F.transform(F.when(F.col(n) > 0, F.sequence(F.lit(0).cast("long"), F.col(n) - 1)).otherwise(F.array().cast("array<bigint>")), lambda i: F.struct(F.lit(kind).alias("core"), i.alias("chunk")))
-    own = lambda n: F.pmod(F.xxhash64("id"), F.greatest(F.col(n), F.lit(1)))
-    to = F.when(is_core, F.array(F.struct(F.lit(True).alias("core"), own("core_chunks").alias("chunk")))).otherwise(F.concat(spread("core_chunks", True), spread("rest_chunks", False)))
-    sent = placed.withColumn("to", F.explode(to))
-    at_home = is_home & (F.col("to.core") == F.col("core")) & (F.col("to.chunk") == F.when(F.col("core"), own("core_chunks")).otherwise(own("rest_chunks")))
-    sent = sent.select(*at, F.col("to.core").alias("to_core"), F.col("to.chunk").alias("chunk"), "home", "id", "w", "vec", at_home.alias("at_home"))
-    found = keep(sent.groupBy(*at, "to_core", "chunk").applyInArrow(_join_chunk(cosine), _FOUND))
-    in_core = assigned.where("cell = home and core").join(homes.select(*at, "hub", "w_core"), at)
-    counted = found.where("links is not null").select(F.col("a").alias("id"), "links").unionByName(in_core.select("id", (F.col("w_core") - F.col("w")).alias("links")))
-    counted = counted.groupBy("id").agg(F.sum("links").alias("links"))
-    edges = found.where("b is not null").select("a", "b").unionByName(in_core.select(F.col("id").alias("a"), F.col("hub").alias("b")))
+    known = [F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(1), "embedding").alias("h2")]
+    hashed = sound.select("row", "label", *known)
+    same = ["label", "h1", "h2"]
+    classes = keep(hashed.groupBy(same).agg(F.min("row").alias("id"), F.count("*").alias("w")))
+    members = hashed.join(classes, same).select("row", "id", "w")
+    firsts = sound.join(classes.select(F.col("id").alias("row"), "w"), "row").select("label", F.col("row").alias("id"), "w", "embedding")
+    cells = keep(_packed(firsts, kind).select(F.concat_ws("/", "label", "dim").alias("cell"), "dim", "id", "w", "vec", F.lit(True).alias("home")))
+    by, joins, cores = ["cell", "block"], [], []
+    while True:
+        sizes = keep(cells.groupBy("cell").agg(F.count_if("home").alias("homes"), F.count_if(~F.col("home")).alias("guests")).where("homes > 0"))
+        joins.append(_dealt(cells.where("home"), cells.where("not home").withColumn("here", F.lit(False)), sizes.where(F.col("homes") <= CHUNK), False))
+        large = sizes.where(F.col("homes") > CHUNK)
+        if large.isEmpty():
+            break
+        large = keep(large.withColumn("pivots", F.least(F.lit(SPLIT), F.ceil(F.col("homes") / CELL) + 1)).withColumn("blocks", F.ceil((F.col("homes") + F.col("guests")) / CHUNK)))
+        dealt = cells.join(large, "cell")
+        # A few times the pivots needed, by hash; of these the first.
+        lot = F.pmod(F.xxhash64("id", "cell"), F.lit(1 << 30))
+        drawn = dealt.where("home").withColumn("lot", lot).where(F.col("lot") * F.col("homes") < (4 * F.col("pivots") + 40) * (1 << 30))
+        rank = F.row_number().over(Window.partitionBy("cell").orderBy("lot", "id"))
+        pivots = keep(drawn.withColumn("rank", rank).where(F.col("rank") <= F.col("pivots")).select("cell", "blocks", "id", "vec"))
+        pivots = pivots.select("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "id", "vec")
+        blocks = dealt.select("cell", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block"), "dim", "id", "w", "vec", "home")
+        assigned = keep(blocks.groupBy(by).cogroup(pivots.groupBy(by)).applyInArrow(_assign(radius), _ASSIGNED))
+        core = assigned.where("core")
+        about = keep(core.groupBy("cell").agg(F.count("*").alias("homes"), F.sum("w").alias("w_core"), F.min("id").alias("hub")))
+        cores.append(core.select("cell", "id", "w").join(about, "cell"))
+        # The rest of a core's own cell and vectors from elsewhere, where they can reach it.
+        others = assigned.where("near and not core").withColumn("here", F.col("home"))
+        reached = others.groupBy("cell").agg(F.count("*").alias("guests")).join(about, "cell")
+        joins.append(_dealt(core, others, keep(reached.select("cell", "homes", "guests")), True))
+        cells = assigned.where("not core").drop("core", "near")
+    sent, in_core = joins[0], cores[0] if cores else None
+    for other in joins[1:]:
+        sent = sent.unionByName(other)
+    for other in cores[1:]:
+        in_core = in_core.unionByName(other)
+    found = keep(sent.groupBy("cell", "core", "chunk", "part").applyInArrow(_join_chunk(cosine), _FOUND))
+    counted = found.where("links is not null").select(F.col("a").alias("id"), "links")
+    edges = found.where("b is not null").select("a", "b")
+    if in_core is not None:
+        counted = counted.unionByName(in_core.select("id", (F.col("w_core") - F.col("w")).alias("links")))
+        edges = edges.unionByName(in_core.select(F.col("id").alias("a"), F.col("hub").alias("b")))
+    counted = keep(counted.groupBy("id").agg(F.sum("links").alias("links")))
     comps = components(edges).withColumnRenamed("node", "id")
     linked = members.join(counted, "id", "left").join(comps, "id", "left")
     linked = linked.select("row", (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("links"), F.coalesce("component", "id").alias("component"))
     all_rows = keep(rows.select("row", "vec_id").join(linked, "row", "left").select("vec_id", F.coalesce("links", F.lit(0)).alias("n_links"), F.coalesce("component", "row").alias("component")))
-    smallest = all_rows.groupBy("component").agg(F.min("vec_id").alias("component_id"))
+    # Written, as adaptive execution splits a hot component only where both sides of the join come straight from a shuffle.
+    smallest = keep(all_rows.groupBy("component").agg(F.min("vec_id").alias("component_id")))
     return all_rows.join(smallest, "component").select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _packed(classes: DataFrame) -> DataFrame:
-    """Classes with their vector as float32 bytes."""
+def _dealt(homes: DataFrame, guests: DataFrame, sizes: DataFrame, core: bool) -> DataFrame:
+    """Rows of the tasks that join cells of sizes(cell, homes, guests): each chunk of home vectors with each part of the guests."""
+    chunks, parts = F.ceil(F.col("homes") / CHUNK), F.greatest(F.ceil(F.col("guests") / GUESTS), F.lit(1))
+    sizes = sizes.select("cell", chunks.alias("chunks"), parts.alias("parts"))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    own = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.col(n))
+    columns = ["cell", "chunk", "part", "dim", "id", "w", "vec"]
+    at_home = homes.join(sizes, "cell").withColumn("chunk", own("chunks", 0)).withColumn("part", every("parts"))
+    visiting = guests.join(sizes, "cell").withColumn("part", own("parts", 1)).withColumn("chunk", every("chunks"))
+    at_home = at_home.select(*columns, F.lit(True).alias("at_home"), F.lit(True).alias("here"))
+    return at_home.unionByName(visiting.select(*columns, F.lit(False).alias("at_home"), "here")).withColumn("core", F.lit(core))
+
+
+def _packed(classes: DataFrame, kind: str) -> DataFrame:
+    """Classes with their vector as bytes of its numbers."""
+    number = np.float64 if kind == "array<double>" else np.float32
 
     def run(batches):
         for batch in batches:
             vectors = batch.column(3)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array([len(v) for v in vectors], pa.int32()), pa.array([np.asarray(v.values, np.float32).tobytes() for v in vectors], pa.binary())],
+                [*batch.columns[:3], pa.array([len(v) for v in vectors], pa.int32()), pa.array([np.asarray(v.values, number).tobytes() for v in vectors], pa.binary())],
                 ["label", "id", "w", "dim", "vec"],
             )
 
-    return classes.select("label", "id", "w", "embedding").mapInArrow(run, "label int, id long, w long, dim int, vec binary")
+    return classes.mapInArrow(run, "label int, id long, w long, dim int, vec binary")

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 
@@ -45,12 +47,14 @@ def brute(rows, cosine):
     return sorted((rows[i][0], links[i], small[root(i)], rows[i][0] == small[root(i)]) for i in range(n))
 
 
-@pytest.mark.parametrize(("cell", "chunk"), [(2000, 2048), (20, 7)])
-def test_equals_brute_force(spark, cell, chunk, monkeypatch):
+@pytest.mark.parametrize(("cell", "chunk", "kind"), [(2000, 2048, "float"), (20, 7, "float"), (9, 20, "double")])
+def test_equals_brute_force(spark, cell, chunk, kind, monkeypatch):
     monkeypatch.setattr(ed, "CELL", cell)
+    monkeypatch.setattr(ed, "SPLIT", 5)
     monkeypatch.setattr(ed, "CHUNK", chunk)
+    monkeypatch.setattr(ed, "GUESTS", 2 * chunk)
     rows = corpus(cell)
-    vectors = spark.createDataFrame([(*x, "x", 3) for x in rows], "vec_id long, embedding array<float>, label int, home string, id int").repartition(3)
+    vectors = spark.createDataFrame([(*x, "x", 3) for x in rows], f"vec_id long, embedding array<{kind}>, label int, home string, id int").repartition(3)
     out = ed.near_duplicates(vectors, 0.93)
     assert out.columns == ["vec_id", "n_links", "component_id", "kept"]
     assert sorted(map(tuple, out.collect())) == brute(rows, 0.93)
@@ -58,3 +62,13 @@ def test_equals_brute_force(spark, cell, chunk, monkeypatch):
 
 def test_empty(spark):
     assert ed.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).collect() == []
+
+
+def test_doubles_aren_t_rounded_and_null_ids_stay(spark):
+    """Two cosines that float32 can't tell from the threshold, and rows without an id."""
+    c = 0.93
+    near, far = c + 1e-12, c - 1e-12
+    rows = [(i, [k, math.sqrt(1 - k * k), 0.0] if i % 2 else [1.0, 0.0, 0.0], label) for i, k, label in [(0, 0, 1), (1, near, 1), (2, 0, 2), (3, far, 2), (None, 0, 3)] for i in [i if i is not None else 4]]
+    rows[4] = (None, [1.0, 0.0, 0.0], 3)
+    out = ed.near_duplicates(spark.createDataFrame([*rows, (None, [2.0, 0.0, 0.0], 3)], "vec_id long, embedding array<double>, label int"), c)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(0, 1, 0, True), (1, 1, 0, False), (2, 0, 2, True), (3, 0, 3, True), (None, 1, None, True), (None, 1, None, True)], key=str)
