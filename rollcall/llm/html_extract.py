@@ -1,13 +1,18 @@
 """HTML extraction by a maximum-scoring subsequence.
 
-A page is a sequence of words and tags. Words score above zero and tags below; words inside elements that
-tell what they are (menus, notices, comments ...) score below zero too. The weights are log odds, counted
-on the labelled pages of `labelled_pages`. One linear scan finds the contiguous region of greatest sum, and
-the region's blocks, without what such elements hold inside it, are the text. One pass in Arrow batches.
+A page is a sequence of words and tags. Words score above zero and tags below, each by its feature: log(1 + odds) of
+lying inside the main text for a word, -log(1 + 1 / odds) for a tag, as counted on the labelled pages of
+`labelled_pages`. One linear scan finds the contiguous region of greatest sum; its blocks are the text.
+
+A feature tells where a word or tag stands: in an article, beside it, in a link, in prose, or in an aside (a menu,
+notice, comment ...). Elements are asides by the sum of the log odds of their name, role and words of class and id,
+counted on the same pages. No such word decides alone: an element that holds nearly all there is to read is none,
+whatever it is called. What asides inside the region hold is left out. One pass in Arrow batches.
 """
 
 from __future__ import annotations
 
+import heapq
 import html
 import math
 import re
@@ -37,20 +42,14 @@ BLOCK = set(
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = set("ul ol dl table div section article main body nav aside header footer form td th blockquote".split())
 
-#: Elements, roles and words of class or id that tell what is no main text.
-ASIDE_TAGS = set("nav footer aside form button dialog menu search fieldset".split())
-ASIDE_ROLES = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
-ASIDE_WORDS = set(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice "
-    "notices alert newsletter subscribe subscription signup login sidebar sidebars menu menus nav navbar navigation breadcrumb "
-    "breadcrumbs footer masthead comment comments disqus reply replies respond related recommended recommendations share sharing "
-    "social widget widgets popup modal overlay pagination pager toolbar copyright legal disclaimer skip".split()
-)
-#: What makes even an article element no main text.
-_REPLY = set("comment comments reply related teaser promo sponsored advert ad".split())
-#: Words beside which one of ASIDE_WORDS describes a wrapper, and those beside which a header is the article's.
-_WRAPPER = set("with has no without wrapper layout page".split())
-_ARTICLE = set("article post entry story content title headline".split())
+#: Elements whose names are features; others say nothing by themselves.
+_NAMED = set("nav footer aside form button dialog menu search fieldset header".split())
+#: Log odds of one feature lie between these; an element is an aside from ASIDE on.
+ODDS, ASIDE = 4.0, -1.5
+#: An aside is none if what is to read outside of all asides is less than this share of its words ...
+REST = 0.3
+#: ... where a word of a paragraph, an article or a main element counts so many times.
+READ = 4
 
 #: Outside of these a run of fewer words is more often a label than a text.
 _PROSE = set("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption dd".split())
@@ -65,148 +64,216 @@ _ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s>/=]*)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)
 
 
 @lru_cache(4096)
-def _is_aside(name: str, rest: str, in_article: bool) -> bool:
-    if name in ASIDE_TAGS:
-        return True
-    if name == "header" and not in_article:
-        return True
-    if name in ("html", "body", "main") or not rest.strip():
-        return False
+def _features(name: str, rest: str, in_article: bool) -> tuple[str, ...]:
+    """What an element's name and attributes tell, without repeats."""
+    found = {}
+    if name in _NAMED:
+        found[f"name {name}{' inside' if in_article else ''}"] = None
+    if name in ("html", "body", "main"):
+        rest = ""
     for key, *values in _ATTRIBUTE.findall(rest):
         key, value = key.lower(), next((v for v in values if v), "")
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
-            return True
-        if key == "role" and value.lower() in ASIDE_ROLES:
-            return True
-        if key in ("class", "id"):
-            for one in value.split():
-                words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", one).lower())
-                if name == "article":  # other words there tell what the article is about
-                    if _REPLY & set(words):
-                        return True
-                    continue
-                if not _WRAPPER & set(words) and ASIDE_WORDS & set(words):
-                    return True
-                if "header" in words and not in_article and not _ARTICLE & set(words):
-                    return True
-    return False
+            found["hidden"] = None
+        elif key == "role":
+            found[f"role {value.lower()}"] = None
+        elif key in ("class", "id"):
+            for word in re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()):
+                found[f"{'article ' if name == 'article' else ''}class {word}"] = None
+    return tuple(found)
+
+
+class Page:
+    """A page's elements, and its runs of words and tags in order, decoded.
+
+    Unclosed elements end with what holds them. runs are (kind, words, text, block, element, labelled); kind is
+    'word' or a tag's name. Of elements there are the parent, features, the words that aren't of a link, and whether
+    it or one around it is an article, a link, prose.
+    """
+
+    def __init__(self, page: str):
+        self.runs: list[tuple[str, int, str, int, int, bool]] = []
+        self.parent, self.features, self.words, self.read = [0], [()], [0], [0]
+        self.article, self.link, self.prose = [False], [False], [False]
+        self._parse(page)
+        for i in range(len(self.parent) - 1, 0, -1):
+            self.words[self.parent[i]] += self.words[i]
+
+    def _parse(self, page: str) -> None:
+        stack: list[tuple[str, int]] = [("", 0)]  # open elements
+        opened: Counter[str] = Counter()
+        unclosed: set[str] = set()  # of RAW, that nothing further on closes
+        at, block, size, labelled = 0, 0, len(page), False
+
+        def text(raw: str) -> None:
+            decoded, own = html.unescape(raw), stack[-1][1]
+            n = len(decoded.split())
+            if not self.link[own]:
+                self.words[own] += n
+                self.read[own] += n * (READ if self.prose[own] or self.article[own] else 1)
+            self.runs.append(("word", n, decoded, block, own, labelled))
+
+        def close(i: int) -> None:
+            opened.subtract(s[0] for s in stack[i:])
+            del stack[i:]
+
+        def end_in_scope(names: set[str]) -> None:
+            if not any(opened[n] for n in names):
+                return
+            for i in range(len(stack) - 1, 0, -1):
+                if stack[i][0] in names:
+                    close(i)
+                    return
+                if stack[i][0] in _SCOPE:
+                    return
+
+        while at < size:
+            found = _TOKEN.search(page, at)
+            if not found:
+                text(page[at:])
+                break
+            if found.start() > at:
+                text(page[at : found.start()])
+            at = found.end()
+            if found["name"] is None:
+                if found[0].startswith("<![CDATA["):
+                    text(found[0][9:].removesuffix("]]>"))
+                elif found[0] in (BEGIN, END):
+                    labelled = found[0] == BEGIN
+                continue
+            name, closing = found["name"].lower(), bool(found["close"])
+            if name in RAW:
+                if not closing and not found["rest"].rstrip().endswith("/"):
+                    shut = None if name in unclosed else re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+                    if not shut:
+                        unclosed.add(name)
+                    at = shut.end() if shut else size if name in TO_THE_END else at
+                self.runs.append(("raw", 1, " ", block, stack[-1][1], labelled))
+                continue
+            if name in BLOCK:
+                block += 1
+            if closing:
+                own = stack[-1][1]
+                if opened[name]:
+                    i = next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name)
+                    own = stack[i][1]
+                    close(i)
+            else:
+                if name in BLOCK:
+                    end_in_scope({"p"})
+                if name in CLOSES:
+                    end_in_scope(CLOSES[name])
+                own = around = stack[-1][1]
+                features = _features(name, found["rest"], self.article[around])
+                opens = name not in VOID and not found["rest"].endswith("/")
+                if opens:
+                    own = len(self.parent)
+                    self.parent.append(around)
+                    self.features.append(features)
+                    self.words.append(0)
+                    self.read.append(0)
+                    self.article.append(self.article[around] or name in ("article", "main"))
+                    self.link.append(self.link[around] or name == "a")
+                    self.prose.append(self.prose[around] or name in _PROSE)
+                    stack.append((name, own))
+                    opened[name] += 1
+            self.runs.append((name, 1, " " if name == "br" else "", block, own, labelled))
+
+    def asides(self, odds: dict[str, float]) -> list[bool]:
+        """Of each element whether it is in an aside."""
+        n = len(self.parent)
+        marked = [sum(odds.get(f, 0.0) for f in features) <= ASIDE for features in self.features]
+        marked[0] = False
+        # The nearest marked element of each, and the marks and words to read that are directly below each mark.
+        nearest, below, read = [0] * n, {0: []}, Counter()
+        for i in range(1, n):
+            up = nearest[self.parent[i]]
+            nearest[i] = i if marked[i] else up
+            if marked[i]:
+                below[i] = []
+                below[up].append(i)
+        for i in range(n):
+            read[nearest[i]] += self.read[i]
+        outside, heap = read[0], [(-self.words[i], i) for i in below[0]]
+        heapq.heapify(heap)
+        while heap and outside < REST * -heap[0][0]:
+            i = heapq.heappop(heap)[1]
+            marked[i] = False
+            outside += read[i]
+            for j in below[i]:
+                heapq.heappush(heap, (-self.words[j], j))
+        for i in range(1, n):
+            marked[i] = marked[i] or marked[self.parent[i]]
+        return marked
 
 
 class Node:
-    """A run of words or a tag: its feature, how often it counts, its block, and whether an aside holds it."""
+    """A run of words or a tag: its feature, how often it counts, its text and block, whether an aside holds it, and its label."""
 
-    __slots__ = ("aside", "block", "feature", "n", "text")
+    __slots__ = ("aside", "block", "feature", "labelled", "n", "text")
 
-    def __init__(self, feature: str, n: int, text: str, block: int, aside: bool):
-        self.feature, self.n, self.text, self.block, self.aside = feature, n, text, block, aside
+    def __init__(self, feature: str, n: int, text: str, block: int, aside: bool, labelled: bool):
+        self.feature, self.n, self.text, self.block, self.aside, self.labelled = feature, n, text, block, aside, labelled
 
 
-def nodes(page: str) -> list[Node]:
-    """The page as words and tags in order. Unclosed elements end with what holds them; text is decoded."""
+def nodes(page: str, odds: dict[str, float] | None = None) -> list[Node]:
+    """The page's words and tags with their features."""
+    own = Page(page)
+    aside = own.asides(element_odds() if odds is None else odds)
+    clean = [r for i, r in enumerate(own.read) if not aside[i]]
+    in_article = [r for i, r in enumerate(own.read) if not aside[i] and own.article[i]]
+    has_article = 2 * sum(in_article) >= sum(clean) > 0 and sum(in_article) > 0
     out: list[Node] = []
-    # Open elements: name, and whether it or one around it is an aside, an article, a link, prose.
-    stack: list[tuple[str, bool, bool, bool, bool]] = [("", False, False, False, False)]
-    opened: Counter[str] = Counter()
-    unclosed: set[str] = set()  # of RAW, that nothing further on closes
-    has_article = re.search(r"<(article|main)\b", page, re.I) is not None
-    at, block, size = 0, 0, len(page)
-
-    def text(raw: str) -> None:
-        _, aside, inside, link, prose = stack[-1]
-        decoded = html.unescape(raw)
-        n = len(decoded.split())
-        place = "aside" if aside else "article" if inside else "beside" if has_article else "link" if link else "short" if n < SHORT and not prose else "plain"
-        out.append(Node(f"word {place}", n, decoded, block, aside))
-
-    def close(i: int) -> None:
-        opened.subtract(s[0] for s in stack[i:])
-        del stack[i:]
-
-    def end(name: str) -> None:
-        if opened[name]:
-            close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name))
-
-    def end_in_scope(names: set[str]) -> None:
-        if not any(opened[n] for n in names):
-            return
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in names:
-                close(i)
-                return
-            if stack[i][0] in _SCOPE:
-                return
-
-    while at < size:
-        found = _TOKEN.search(page, at)
-        if not found:
-            text(page[at:])
-            break
-        if found.start() > at:
-            text(page[at : found.start()])
-        at = found.end()
-        if found["name"] is None:
-            if found[0].startswith("<![CDATA["):
-                text(found[0][9:].removesuffix("]]>"))
-            continue
-        name, closing = found["name"].lower(), bool(found["close"])
-        if name in RAW:
-            if not closing and not found["rest"].rstrip().endswith("/"):
-                shut = None if name in unclosed else re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                if not shut:
-                    unclosed.add(name)
-                at = shut.end() if shut else size if name in TO_THE_END else at
-            out.append(Node("tag raw", 1, " ", block, False))
-            continue
-        if name in BLOCK:
-            block += 1
-        aside = stack[-1][1]
-        if closing:
-            end(name)
+    for kind, n, text, block, at, labelled in own.runs:
+        inside = has_article and own.article[at]
+        if kind == "word":
+            place = "aside" if aside[at] else "article" if inside else "beside" if has_article else "link" if own.link[at] else "short" if n < SHORT and not own.prose[at] else "plain"
+            out.append(Node(f"word {place}", n, text, block, aside[at], labelled))
+        elif aside[at] and aside[own.parent[at]]:
+            out.append(Node("", 0, text, block, True, labelled))  # an aside is one step, however many tags it has
+        elif aside[at]:
+            out.append(Node("tag aside", 1, text, block, True, labelled))
+        elif kind == "raw":
+            out.append(Node("tag raw", 1, text, block, False, labelled))
         else:
-            if name in BLOCK:
-                end_in_scope({"p"})
-            if name in CLOSES:
-                end_in_scope(CLOSES[name])
-            _, within, inside, link, prose = stack[-1]
-            aside = within or _is_aside(name, found["rest"], inside)
-            if name not in VOID and not found["rest"].endswith("/"):
-                stack.append((name, aside, inside or name in ("article", "main"), link or name == "a", prose or name in _PROSE))
-                opened[name] += 1
-        kind = "aside" if aside else name if name in ("p", "a", "li", "div", "article", "main", "br") else "heading" if re.fullmatch("h[1-6]", name) else "block" if name in BLOCK else "inline"
-        place = " inside" if kind != "aside" and stack[-1][2] and name not in ("article", "main") else ""
-        out.append(Node(f"tag {kind}{place}", 1, " " if name == "br" else "", block, aside))
+            name = kind if kind in ("p", "a", "li", "div", "article", "main", "br") else "heading" if re.fullmatch("h[1-6]", kind) else "block" if kind in BLOCK else "inline"
+            out.append(Node(f"tag {name}{' inside' if inside and name not in ('article', 'main') else ''}", 1, text, block, False, labelled))
     return out
 
 
-def _scope_of_labels(page: str) -> tuple[list[Node], list[Node]]:
-    """Nodes outside and inside the labelled region of a page."""
-    before, rest = page.split(BEGIN)
-    inside, _ = rest.split(END)
-    parts = [len(nodes(before)), len(nodes(before + inside))]
-    every = nodes(before + inside + page.split(END)[1])
-    return every[: parts[0]] + every[parts[1] :], every[parts[0] : parts[1]]
+@cache
+def element_odds() -> dict[str, float]:
+    """Log odds, for each feature of an element, that it holds labelled words; each element counts once, by its shares, and odds stay within ODDS."""
+    inside, outside = Counter(), Counter()
+    for page in PAGES:
+        own = Page(page)
+        words, labels = [0] * len(own.parent), [0] * len(own.parent)
+        for kind, n, _, _, at, labelled in own.runs:
+            if kind == "word":
+                words[at] += n
+                labels[at] += n * labelled
+        for i in range(len(own.parent) - 1, 0, -1):
+            words[own.parent[i]] += words[i]
+            labels[own.parent[i]] += labels[i]
+            for f in own.features[i] if words[i] else ():
+                inside[f] += labels[i] / words[i]
+                outside[f] += 1 - labels[i] / words[i]
+    return {f: max(-ODDS, min(ODDS, math.log((inside[f] + 0.1) / (outside[f] + 0.1)))) for f in {*inside, *outside}}
 
 
 @cache
 def weights() -> dict[str, float]:
-    """Log odds of being inside the labelled region, for each feature of the labelled pages.
-
-    Words keep the sign of their log odds; tags are made negative, at most TAG_LIMIT, as a tag alone is never
-    text. A tag that a page of PAGES doesn't have scores like the mildest one.
-    """
+    """The score of each feature of words and tags, from its odds of being labelled: above zero for words, below for tags."""
     inside, outside = Counter(), Counter()
     for page in PAGES:
-        out, own = _scope_of_labels(page)
-        for side, ns in ((outside, out), (inside, own)):
-            for n in ns:
-                side[n.feature] += n.n
-    found = {f: math.log((inside[f] + 0.5) / (outside[f] + 0.5)) for f in {*inside, *outside}}
-    return {f: min(w - TAG_SHIFT, TAG_LIMIT) if f.startswith("tag") else w for f, w in found.items()}
+        for n in nodes(page):
+            (inside if n.labelled else outside)[n.feature] += n.n
+    found = {f: (inside[f] + 0.5) / (outside[f] + 0.5) for f in {*inside, *outside} if f}
+    return {f: -math.log(1 + 1 / odds) if f.startswith("tag") else math.log(1 + odds) for f, odds in found.items()}
 
 
-#: What a tag's log odds lose, and what a tag scores at most.
-TAG_SHIFT = 2.0
-TAG_LIMIT = -0.05
+#: The score of a tag that no labelled page has.
+UNSEEN = -0.05
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
@@ -227,7 +294,7 @@ def main_text(page: str | None) -> str:
         return ""
     w = weights()
     own = nodes(page)
-    start, stop = best_region([n.n * w.get(n.feature, TAG_LIMIT) for n in own])
+    start, stop = best_region([n.n * w.get(n.feature, UNSEEN) for n in own])
     blocks: dict[int, list[str]] = {}
     for n in own[start:stop]:
         if not n.aside and n.text:
@@ -239,7 +306,8 @@ def main_text(page: str | None) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars (code points) of every row of pages(page_id, url, html, ...).
 
-    Null or empty html, or a page without main text, gives the empty text; repeated rows are pages of their
+    Null or empty html, or a page without main text, gives the empty text; of regions of equal score the first is
+    the text; a very long page is read whole, in time in proportion to its length; repeated rows are pages of their
     own; null ids and urls stay; extra columns are ignored; an empty table gives an empty result.
     """
     prepare(pages.sparkSession)

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from rollcall.llm.html_extract import best_region, extract, main_text, weights
+from rollcall.llm.html_extract import best_region, extract, main_text, nodes, weights
 
 P = "Some words of an article that go on for a while and then stop."
 
@@ -37,7 +37,7 @@ def test_pages(page, want):
 
 def test_weights_and_region():
     w = weights()
-    assert all(v < 0 for f, v in w.items() if f.startswith("tag")) and w["word article"] > 0 > w["word aside"]
+    assert all(v < 0 if f.startswith("tag") else v > 0 for f, v in w.items()) and w["word article"] > 100 * w["word aside"]
     r = random.Random(1)
     for _ in range(200):
         scores = [r.choice([-3.0, -1.0, 0.5, 2.0]) for _ in range(r.randint(0, 12))]
@@ -46,8 +46,62 @@ def test_weights_and_region():
         assert sum(scores[a:b]) == max([0.0, *sums])
 
 
+TEXT = "The paper tells that rain fell on the mill for three days and nobody could cross the river at all. " * 4
+NAV = "<nav><ul><li><a href='/'>Home</a></li><li><a href='/n'>News</a></li></ul></nav>"
+
+
+@pytest.mark.parametrize("name", "related promotion legal-news social-history share-price ad-free-story comment-piece post-notice-board has-sidebar no-comments".split())
+def test_no_word_of_a_class_decides_alone(name):
+    page = f"<html><body>{NAV}<div class='{name}'><h1>Head</h1><p>{TEXT}</p></div><footer>&copy; paper</footer></body></html>"
+    assert main_text(page) == f"Head\n{TEXT.strip()}"
+
+
+def test_forms_around_and_articles_that_are_none():
+    body = f"{NAV}<div><h1>Head</h1><p>{TEXT}</p></div><footer>&copy; paper</footer>"
+    want = f"Head\n{TEXT.strip()}"
+    for page in (f"<body><form action='/'>{body}</form></body>", f"<body><form><div class='legal'>{body}</div></form></body>", f"<script>var t='<article>'</script><body>{body}</body>", f"<!-- <main> --><body>{body}</body>", f"<body><article class='teaser'>x</article>{body}</body>"):
+        assert main_text(page) == want
+    comments = "<section id='comments'><h3>9 comments</h3>" + f"<div class='comment'><p>{TEXT}</p></div>" * 9 + "</section>"
+    assert main_text(f"<body>{NAV}<article><p>Short.</p><p>{TEXT}</p></article>{comments}</body>") == f"Short.\n{TEXT.strip()}"
+
+
+def brute(page):
+    """The text of the best of all regions, tried one by one; the first of equals, the longest from its start."""
+    w, own = weights(), nodes(page)
+    score = [n.n * w.get(n.feature, -0.05) for n in own]
+    best, span = 1e-12, (0, 0)
+    for i in range(len(own)):
+        total = 0.0
+        for j in range(i, len(own)):
+            total += score[j]
+            if total > best + 1e-9:
+                best, span = total, (i, j + 1)
+    lines = {}
+    for n in own[slice(*span)]:
+        if not n.aside:
+            lines[n.block] = lines.get(n.block, "") + n.text
+    return "\n".join(t for t in (" ".join(x.split()) for x in lines.values()) if t)
+
+
+def test_equals_brute_force_over_all_regions():
+    r = random.Random(7)
+    parts = [f"<p>{P}</p>", "<p>Fin.</p>", "<a href='/'>Home</a>", "<div>Site</div>", f"<div class='ad'>{P}</div>", "<li>x", "<h2>Head</h2>", "loose words here", f"<aside><p>{P}</p></aside>", "<br>", f"<div id='menu'><a>{P}</a></div>", "<script>x</script>", f"<footer>{P}</footer>", "</div>", "<div>", "<article>", "</article>"]
+    seen = set()
+    for _ in range(300):
+        page = "".join(r.choice(parts) for _ in range(r.randint(1, 14)))
+        assert main_text(page) == brute(page), page
+        seen.add(bool(brute(page)))
+    assert seen == {True, False}
+
+
+def test_very_long_page_through_spark(spark):
+    page = f"<body>{NAV}<article>" + f"<p class='a'>{P} <b>x</b></p>" * 20_000 + "</article></body>"
+    out = extract(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")).first()
+    assert out.text == "\n".join([f"{P} x"] * 20_000) and out.n_chars == len(out.text)
+
+
 def test_hostile_markup_is_linear():
-    for page in ("<" * 50_000, "<a \"" * 30_000, "<div>" * 100_000, "<b>" * 50_000 + "<center>" * 50_000, "<i>" * 50_000 + "</b>" * 50_000, "<a \">" * 30_001, "<!--" * 30_000, "<script>" * 20_000, "</p>" * 50_000, "&" * 50_000, "x" * 300_000):
+    for page in ("<form>" * 50_000 + "x y z", "<div class=ad>" * 50_000 + TEXT, "<" * 50_000, "<a \"" * 30_000, "<div>" * 100_000, "<b>" * 50_000 + "<center>" * 50_000, "<i>" * 50_000 + "</b>" * 50_000, "<a \">" * 30_001, "<!--" * 30_000, "<script>" * 20_000, "</p>" * 50_000, "&" * 50_000, "x" * 300_000):
         assert isinstance(main_text(page), str)
 
 
