@@ -12,6 +12,8 @@ from rollcall.session import importable
 
 #: Rows of an Arrow batch; with texts of a few KB a batch is a few MB.
 BATCH_ROWS = 512
+#: Stored bytes below which a table of few files is dealt out.
+SPREAD_BYTES = 32 << 20
 #: Folders of the tables that keep() made and nobody deleted yet.
 _made: set[str] = set()
 
@@ -72,6 +74,12 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table of a few small files with its rows dealt to all cores, as one row group would be one task."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores and stored_bytes(df) < SPREAD_BYTES else df
+
+
 def stored_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of df's input (file sizes for a scan); where it has none, the rows' sizes are summed."""
     from pyspark.sql import functions as F

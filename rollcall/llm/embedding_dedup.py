@@ -242,3 +242,24 @@ def _packed(classes: DataFrame, kind: str) -> DataFrame:
             )
 
     return classes.mapInArrow(run, "label int, id long, w long, dim int, vec binary")
+
+
+#: DuckDB's twin of near_duplicates(embeddings, 0.93).
+SQL = """
+WITH RECURSIVE vec AS (
+  SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), sound AS (
+  SELECT r, label, list_transform(e, lambda x: x / list_aggregate(list_transform(e, lambda y: abs(y)), 'max')) AS e FROM vec
+  WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), link AS (
+  SELECT x.r AS a, y.r AS b FROM sound x JOIN sound y ON x.label = y.label AND x.r <> y.r AND len(x.e) = len(y.e)
+  WHERE CASE WHEN len(x.e) = len(y.e) THEN list_cosine_similarity(x.e, y.e) ELSE 0 END >= 0.93
+), reach AS (
+  SELECT r, r AS other FROM vec UNION SELECT reach.r, link.b FROM reach JOIN link ON link.a = reach.other
+), links AS (
+  SELECT a, count(*) AS n FROM link GROUP BY a
+)
+SELECT v.vec_id, coalesce(any_value(n), 0) AS n_links, min(o.vec_id) AS component_id, v.vec_id IS NOT DISTINCT FROM min(o.vec_id) AS kept
+FROM vec v LEFT JOIN links ON links.a = v.r JOIN reach ON reach.r = v.r JOIN vec o ON o.r = reach.other
+GROUP BY v.r, v.vec_id
+"""

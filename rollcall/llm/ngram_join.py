@@ -420,3 +420,28 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     rank = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").cast("long").alias("doc_id"), F.col(row).alias("row"))
     best = numbered.select(row, rank.alias("rank")).join(component, row).groupBy("component").agg(F.min("rank").alias("rank"))
     return numbered.join(best.select(F.col("rank.row").alias(row)), row, "left_semi").select(docs.columns)
+
+
+#: DuckDB's twin of jaccard_components(documents).
+SQL = r"""
+WITH RECURSIVE doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), shingle AS (
+  SELECT DISTINCT r, s FROM (
+    SELECT r, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                          ELSE list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+    FROM doc)
+), size AS (
+  SELECT r, count(*) AS n FROM shingle GROUP BY r
+), link AS (
+  SELECT a, b FROM (SELECT x.r AS a, y.r AS b, count(*) AS m FROM shingle x JOIN shingle y ON x.s = y.s AND x.r <> y.r GROUP BY ALL)
+  JOIN size p ON p.r = a JOIN size q ON q.r = b WHERE 100 * m >= 75 * (p.n + q.n - m)
+), reach AS (
+  SELECT r, r AS other FROM doc UNION SELECT reach.r, link.b FROM reach JOIN link ON link.a = reach.other
+)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM doc d LEFT JOIN size USING (r) JOIN reach ON reach.r = d.r JOIN doc o ON o.r = reach.other
+GROUP BY d.r, d.doc_id
+"""

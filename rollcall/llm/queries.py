@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import chat_format, embedding_dedup, html_extract, license_scan, line_dedup, mixing, ngram_join, packing, quality_rules, secret_scan
+from ._session import spread
 
 
 def tokenizer_path() -> str:
@@ -17,7 +18,7 @@ def tokenizer_path() -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB's twins where SQL can express the operator; the others are tested against brute force.
 ORACLE_SQL: dict[str, str] = {
+    "op1_ngram_jaccard_join": ngram_join.SQL,
+    "op3_embedding_near_dedup": embedding_dedup.SQL,
     "op5_line_dedup": line_dedup.SQL,
     "op9_chat_formatting": chat_format.SQL,
 }
