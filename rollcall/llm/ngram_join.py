@@ -41,7 +41,7 @@ BUCKET_BYTES = 8 << 20
 #: Shingles of one task of step 4.
 CELL_SHINGLES = 400_000
 #: Shingles of one task that searches small cells, and such tasks at most.
-TASK_SHINGLES, MOST_TASKS = 1_500_000, 50_000
+TASK_SHINGLES, MOST_TASKS = 400_000, 50_000
 #: Ids that the heap merge takes at once.
 WINDOW = 256
 #: Members of each component that stand for it where the blocks of a large cell meet first.
