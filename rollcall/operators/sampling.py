@@ -47,10 +47,11 @@ def stream_url(requested_formats: Column, url: Column) -> Column:
 def exact_split(rows: DataFrame, key: str, share: float = 0.8, seed: int = 0) -> DataFrame:
     """rows with split 'train' or 'val': exactly floor(share * n) train rows, drawn by a seeded hash of the key.
 
-    Ranks come from counts of hash ranges, so no task sorts all rows.
+    The hash is the MD5 of 'seed:key', which other systems have too. Ranks come from counts of hash ranges, so no
+    task sorts all rows.
     """
-    lot = F.xxhash64(F.col(key), F.lit(seed))
-    drawn = rows.withColumns({"_lot": lot, "_bucket": F.shiftrightunsigned(lot, 52)})
+    lot = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    drawn = rows.withColumns({"_lot": lot, "_bucket": F.substring(lot, 1, 3)})
     counts = drawn.groupBy("_bucket").agg(F.count("*").alias("_n"))
     order = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(F.lit(0))  # both over 4096 rows at most

@@ -254,21 +254,6 @@ def orphan_participants(d: Domain) -> DataFrame:
     return match.orphans(d.participants(), d.battles().where(F.col("timestamp") >= SPLIT_DAY))
 
 
-def _matched(d: Domain) -> DataFrame:
-    return match.matched(d.observations(), d.participants(), d.battles(), least=LEAST)
-
-
-@query()
-def hybrid_match(d: Domain) -> DataFrame:
-    """The whole match: gates, candidates, window, hybrid score, best, threshold."""
-    return _matched(d).withColumn("match_score", F.round("match_score", 9)).drop("players")
-
-
-@query()
-def match_table(d: Domain) -> DataFrame:
-    return match.battle_videos(_matched(d))
-
-
 # -- similarity ------------------------------------------------------------------------------------
 
 
@@ -280,6 +265,24 @@ def _lcs_sql(a: str, b: str) -> str:
     return f"(CASE WHEN length({a}) = 0 OR length({b}) = 0 THEN 0 ELSE list_max(list_reduce({rows}, lambda prev, eq: {new}, {zeros})) END)"
 
 
+#: The lowest 60 bits.
+_ONES = (1 << 60) - 1
+
+
+def _long_lcs_sql(a: str, b: str) -> str:
+    """LCS length of two texts of any length: bit rows in words of 60 bits, a step for each character of b."""
+    words = f"((length({a}) + 59) // 60)"
+    letters = f"list_distinct(string_split({b}, ''))"
+    places = f"list_transform(generate_series(0, {words} - 1), lambda w: list_sum(list_transform(generate_series(1, 60), lambda i: CASE WHEN {a}[w * 60 + i] = c THEN (1::BIGINT << (i - 1)) ELSE 0 END))::BIGINT)"
+    table = f"map({letters}, list_transform({letters}, lambda c: {places}))"
+    hits = f"list_transform([{table}], lambda t: list_transform(string_split({b}, ''), lambda c: t[c]))[1]"
+    # Sums with their carries, from the lowest word up to word k; then the new rows.
+    total = "list_reduce(generate_series(1, k)::BIGINT[], lambda s, w: (v[w] + (v[w] & m[w]) + (s >> 60)), 0::BIGINT)"
+    rows = f"list_transform(generate_series(1, {words}), lambda k: (({total} & {_ONES}) | (v[k] & xor({_ONES}, m[k]))))"
+    last = f"list_reduce({hits}, lambda v, m: {rows}, list_transform(generate_series(1, {words}), lambda w: {_ONES}::BIGINT))"
+    return f"(CASE WHEN length({a}) = 0 OR length({b}) = 0 THEN 0 ELSE list_sum(list_transform({last}, lambda v: 60 - bit_count(v))) END)"
+
+
 def _name_pairs(d: Domain) -> DataFrame:
     """Pairs of part names that share a word, each name with its brand's number behind."""
     names = d.table("part").select(F.concat_ws(" ", "p_name", F.split_part("p_type", F.lit(" "), F.lit(1))).alias("name")).distinct()
@@ -325,6 +328,45 @@ def hybrid_ratio(d: Domain) -> DataFrame:
     return _name_pairs(d).withColumn("score", F.round(hybrid_score("a", "b"), 6))
 
 
+# -- the whole match -------------------------------------------------------------------------------
+
+_MATCHED_SQL = f"""observed AS (SELECT video_id, upload_date, string_agg(player_name, ' ' ORDER BY player_name) AS said, count(*)::INT AS n_seen FROM seen GROUP BY 1, 2),
+rosters AS (SELECT battle_id, string_agg(player_name, ' ' ORDER BY player_name) AS roster, count(*)::INT AS n_roster FROM participants GROUP BY 1),
+paired AS (SELECT w.video_id, w.battle_id, said, roster, n_seen, n_roster FROM windowed w JOIN observed USING (video_id) JOIN rosters USING (battle_id) WHERE n_seen >= {LEAST}),
+texts AS (SELECT DISTINCT said, roster FROM paired),
+split AS (SELECT *, list_sort(string_split(said, ' ')) AS x, list_sort(string_split(roster, ' ')) AS y FROM texts),
+parts AS (SELECT *, array_to_string(x, ' ') AS sx, array_to_string(y, ' ') AS sy, coalesce(length(array_to_string(list_intersect(x, y), ' ')), 0) AS s,
+  array_to_string(list_filter(x, lambda t: NOT list_contains(y, t)), ' ') AS dx, array_to_string(list_filter(y, lambda t: NOT list_contains(x, t)), ' ') AS dy FROM split),
+sized AS (SELECT *, length(sx) + length(sy) AS total, s + 1 + length(dx) AS zx, s + 1 + length(dy) AS zy, {_long_lcs_sql("sx", "sy")} AS l, {_long_lcs_sql("dx", "dy")} AS ld FROM parts),
+ratios AS (SELECT said, roster, 100.0::DOUBLE * (1 - (total - 2 * l) / total::DOUBLE) AS sort_ratio,
+  CASE WHEN dx = '' OR dy = '' THEN 100.0::DOUBLE ELSE 100.0::DOUBLE * greatest(1 - (length(dx) + length(dy) - 2 * ld) / (zx + zy)::DOUBLE, 1 - (1 + length(dx)) / (s + zx)::DOUBLE, 1 - (1 + length(dy)) / (s + zy)::DOUBLE) END AS set_ratio FROM sized),
+best AS (SELECT *, (set_ratio + sort_ratio) / 2 AS score FROM paired JOIN ratios USING (said, roster) QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY (set_ratio + sort_ratio) / 2 DESC, battle_id) = 1)"""
+
+
+def _with_matches(sql: str) -> str:
+    return with_tables(f"SELECT * FROM (WITH {_MATCHED_SQL} {sql})", "windowed")
+
+
+def _matched(d: Domain) -> DataFrame:
+    return match.matched(d.observations(), d.participants(), d.battles(), least=LEAST)
+
+
+@query(
+    _with_matches(
+        f"SELECT o.video_id, 90 AS video_timestamp_sec, o.upload_date, CASE WHEN score >= {match.MIN_SCORE} THEN battle_id END AS matched_battle_id, round(coalesce(score, 0), 6) AS match_score, o.n_seen AS ocr_player_count, n_roster AS battle_player_count "
+        "FROM observed o LEFT JOIN best USING (video_id)"
+    )
+)
+def hybrid_match(d: Domain) -> DataFrame:
+    """The whole match: gates, candidates, window, hybrid score, best, threshold."""
+    return _matched(d).withColumn("match_score", F.round("match_score", 6)).drop("players")
+
+
+@query(_with_matches(f"SELECT battle_id, video_id, 90 AS video_timestamp_sec, round(score, 6) AS match_score, n_seen AS ocr_player_count, n_roster AS battle_player_count FROM best WHERE score >= {match.MIN_SCORE}"))
+def match_table(d: Domain) -> DataFrame:
+    return match.battle_videos(_matched(d)).withColumn("match_score", F.round("match_score", 6))
+
+
 # -- ingest and upserts ----------------------------------------------------------------------------
 
 
@@ -555,7 +597,7 @@ def label_status(d: Domain) -> DataFrame:
     return d.table("part").select("p_partkey", detections.label_status(F.col("p_size") > 10, F.col("p_size") > 40).alias("status"))
 
 
-@query()
+@query("SELECT p_partkey, CASE WHEN row_number() OVER (ORDER BY md5('1:' || p_partkey), p_partkey) <= floor(0.8 * count(*) OVER ()) THEN 'train' ELSE 'val' END AS split FROM part")
 def train_val_split(d: Domain) -> DataFrame:
     return sampling.exact_split(d.table("part").select("p_partkey"), "p_partkey", 0.8, 1)
 
