@@ -29,32 +29,70 @@ SHINGLE = 5
 THRESHOLD = 75
 MISS = 1e-5
 
-# Notices of public licenses, of five words or more.
+# Notices, identifier lines and whole texts of public licenses, of five words or more. The identifier line
+# of a license whose name is one word has four and isn't found.
+_MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+)
+_ISC = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+)
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "MIT": (
         "Released under the MIT License.",
         "Licensed under the MIT License.",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        _MIT[0],
+        " ".join(_MIT),
     ),
     "Apache-2.0": (
+        "SPDX-License-Identifier: Apache-2.0",
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
     ),
     "GPL-3.0": (
+        "SPDX-License-Identifier: GPL-3.0-only",
+        "SPDX-License-Identifier: GPL-3.0-or-later",
         "This work is licensed under the GNU General Public License, version 3.",
         "it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ),
-    "GPL-2.0": ("it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",),
-    "LGPL": ("it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",),
-    "AGPL-3.0": ("it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License",),
+    "GPL-2.0": (
+        "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+        "it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+        "it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    ),
+    "LGPL": (
+        "SPDX-License-Identifier: LGPL-2.1-only",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
+        "it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+    ),
+    "AGPL-3.0": (
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+        "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License",
+    ),
     "BSD": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
-        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
-        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "SPDX-License-Identifier: BSD-2-Clause",
+        "SPDX-License-Identifier: BSD-3-Clause",
+        *_BSD,
+        " ".join(_BSD[:3]),
+        " ".join(_BSD),
+    ),
+    "MPL-2.0": (
+        "SPDX-License-Identifier: MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     ),
-    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
-    "ISC": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",),
+    "ISC": (_ISC[0], " ".join(_ISC)),
     "Unlicense": ("This is free and unencumbered software released into the public domain.",),
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
@@ -174,18 +212,23 @@ def scan_text(text: str, index: Index, only: set[int] | None = None) -> list[tup
         if only is None or i in only:
             for first, last, shared in verify(shingles, template):
                 out.append((template.name, int(points[words.starts[first]]), int(points[words.ends[last + SHINGLE - 1]]), 100 * shared // len(template.shingles)))
-    best: dict[tuple[str, int], tuple] = {}
-    for m in out:  # templates of one license at one place: the longest
-        if (m[0], m[1]) not in best or best[m[0], m[1]][2] < m[2]:
-            best[m[0], m[1]] = m
-    return sorted(best.values(), key=lambda m: (m[1], m[2], m[0]))
+    merged: list[tuple[str, int, int, int]] = []
+    for m in sorted(out):  # matches of one license that overlap are one, of the greatest share
+        if merged and merged[-1][0] == m[0] and m[1] < merged[-1][2]:
+            name, start, end, percent = merged[-1]
+            merged[-1] = (name, start, max(end, m[2]), max(percent, m[3]))
+        else:
+            merged.append(m)
+    return sorted(merged, key=lambda m: (m[1], m[2], m[0]))
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, matches) of docs(doc_id, text, ...): array<struct<license, start, end, percent>> by start.
 
-    Code points, end exclusive. Null, empty and short texts have no matches; rows with equal ids are scanned
-    each on its own; extra columns are ignored; an empty table gives an empty result.
+    Code points, end exclusive. Null, empty and short texts have no matches; very long ones are scanned whole; rows
+    with equal or null ids are scanned each on its own. Two licenses found at one place both stay, in order of start,
+    end and name; overlapping matches of one license are one. Extra columns are ignored; an empty table gives an empty
+    result.
     """
     prepare(docs.sparkSession)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))

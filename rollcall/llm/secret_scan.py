@@ -143,8 +143,10 @@ def scan(docs: DataFrame) -> DataFrame:
 
     A span is struct<start, rank, end, kind>, in code points, end exclusive. assign spans are whole
     assignments whose value has 6 characters or more; access ids have 20 or more, hex runs 24 or more. The
-    entropy spans reach from the first to the last window above the threshold in a candidate. Null text has
-    no spans; rows with equal ids are scanned each on its own; extra columns are ignored.
+    entropy spans reach from the first to the last window above the threshold in a candidate. Null and empty
+    texts have no spans; very long ones are scanned whole. Spans of several kinds at one place all stay, in order of
+    start, then kind. Rows with equal or null ids are scanned each on its own; extra columns are ignored; an empty
+    table gives an empty result.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     base = [_spans(_long(_matches(text, pattern, group), least), kind).alias(kind) for kind, pattern, group, least in BASE]

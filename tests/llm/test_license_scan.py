@@ -1,4 +1,6 @@
+import math
 import random
+import re
 
 from rollcall.llm.license_scan import MISS, TEMPLATES, _index, _shingles, digest, scan, scan_text
 
@@ -27,6 +29,37 @@ def test_equals_verification_of_all_pairs(spark):
         assert got[i] == scan_text(t or "", _index()), (i, t)
 
 
+def naive(text, name):
+    """Whether a run of at most L five-word shingles holds 75 % of those of a template of the license; by sets of tuples."""
+    plain = lambda t: re.findall(r"[a-z0-9\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
+    grams = lambda w: [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+    own = grams(plain(text))
+    for template in TEMPLATES[name]:
+        t = set(grams(plain(template)))
+        size = 1 << (len(t) - 1).bit_length()
+        need = math.ceil(0.75 * len(t))
+        at = [i for i, g in enumerate(own) if g in t]
+        if any(len({own[j] for j in at if i <= j < i + size}) >= need for i in at):
+            return True
+    return False
+
+
+def test_equals_naive_search_over_all_windows(spark):
+    own = [t for t in corpus() if t is None or len(t) < 20_000]
+    docs = spark.createDataFrame(list(enumerate(own)), "doc_id long, text string")
+    got = {r.doc_id: {m.license for m in r.matches} for r in scan(docs).collect()}
+    for i, t in enumerate(own):
+        assert got[i] == {name for name in TEMPLATES if naive(t or "", name)}, t
+
+
+def test_identifier_lines_and_whole_texts():
+    named = lambda t: [(m[0], m[3]) for m in scan_text(t, _index())]
+    assert named("// SPDX-License-Identifier: GPL-2.0-only\nint x;") == [("GPL-2.0", 100)]
+    assert named("# SPDX-License-Identifier: Apache-2.0") == [("Apache-2.0", 100)]
+    whole = TEMPLATES["MIT"][-1]
+    assert named(f"Copyright someone\n{whole}\nend") == [("MIT", 100)]
+
+
 def test_every_template_is_found_where_it_is():
     for name, texts in TEMPLATES.items():
         for t in texts:
