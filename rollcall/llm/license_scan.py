@@ -183,14 +183,14 @@ def verify(shingles: np.ndarray, template: Template) -> list[tuple[int, int, int
 
 
 def _extended(found: list[tuple[int, int, int]], at: list[int], shingles: np.ndarray, template: Template) -> list[tuple[int, int, int]]:
-    """Matches grown to the right over directly following template shingles not yet in them, and merged where they touch."""
+    """Matches grown to the right over directly following template shingles; those that begin inside another are its part."""
     out: list[tuple[int, int, int]] = []
     inside = set(at)
     for first, last, _ in found:
         if out and first <= out[-1][1]:
             continue
         own = {int(shingles[p]) for p in range(first, last + 1) if p in inside}
-        while last + 1 in inside and last + 1 - first < template.size and int(shingles[last + 1]) not in own:
+        while last + 1 in inside and last + 1 - first < template.size:
             last += 1
             own.add(int(shingles[last]))
         out.append((first, last, len(own)))
