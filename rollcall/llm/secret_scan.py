@@ -41,7 +41,9 @@ ALLOWED = (
     r"^[^0-9]*$",  # without a digit: words, headings, rulers
     r"^[^A-Za-z]*$",  # without a letter: numbers, dates, rulers
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",  # UUID
-    r"^/?([A-Za-z]*[0-9]{0,4}[/_=-]+)+[A-Za-z]*[0-9]{0,4}$",  # words with short numbers: slugs, paths, options
+    # Words with short numbers behind them, divided: slugs, paths, options. Said by what they don't hold, as a repeated
+    # group would take stack for each word of a long one.
+    r"^(?=[^/_=-]*[/_=-])(?!.*(?:\+|[0-9]{5}|[0-9][A-Za-z]))",
     r"(?i)^(?!.*(?:(?!example|x{4}|0{6}|123456|abcdef).){20})",  # placeholders: no WINDOW of characters in which none begins
 )
 KINDS = (*(k for k, *_ in BASE), *LEAST_BITS)
