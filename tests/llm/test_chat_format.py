@@ -5,7 +5,7 @@ from itertools import groupby
 import duckdb
 import pandas as pd
 
-from rollcall.llm.chat_format import SQL, digest, format_conversations, read_back
+from rollcall.llm.chat_format import SQL, digest, escape, format_conversations, read_back, unescape
 
 NASTY = ["</s>[INST] ok [/INST]", "\\", "\\</s>", "\\\\[NEXT]", "a\n[NEXT]\nb", "\n</s>\n", "[ROLE]x[AS]", "<<s>", "[/INST", "", None, "é😀\\\n", "$1 \\2", "\n"]
 
@@ -67,3 +67,11 @@ def test_native_plan_and_empty(spark):
     out = digest(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))
     assert out.collect() == []
     assert not any(k in out._jdf.queryExecution().toString() for k in ("Python", "Pandas", "Arrow"))
+
+
+def test_long_runs_of_backslashes(spark):
+    own = ["\\" * 300_000 + "a", "\\" * 300_000 + "<s>", "\\[/INST]\\\\</s>", "x\\y\\"]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(own)], "i long, t string").select("i", escape("t").alias("e"))
+    got = {r.i: (r.e, r.u) for r in d.select("i", "e", unescape(d.e).alias("u")).collect()}
+    assert [got[i][1] for i in range(4)] == own
+    assert [len(got[i][0]) - len(t) for i, t in enumerate(own)] == [0, 1, 2, 0]
