@@ -23,13 +23,18 @@ _OPEN = {"user": "[INST]\n", "assistant": "<s>\n", "system": "[SYS]\n"}
 _CLOSE = {"user": "\n[/INST]\n", "assistant": "\n</s>\n", "system": "\n[/SYS]\n"}
 
 
+def _where_marked(text: Column, changed: Column) -> Column:
+    """Every mark has one of these characters, and most texts have neither."""
+    return F.when(text.contains("<") | text.contains("["), changed).otherwise(text)
+
+
 # Both patterns begin where a run of backslashes does, and take it whole, so a long run without a mark is read once.
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?<!\\)(\\*+)({_MARK})", r"$1\\$2")
+    return _where_marked(text, F.regexp_replace(text, rf"(?<!\\)(\\*+)({_MARK})", r"$1\\$2"))
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?<!\\)\\(\\*+)({_MARK})", "$1$2")
+    return _where_marked(text, F.regexp_replace(text, rf"(?<!\\)\\(\\*+)({_MARK})", "$1$2"))
 
 
 def _by_role(role: Column, marks: dict[str, str], other: Column) -> Column:

@@ -4,6 +4,7 @@ from itertools import groupby
 
 import duckdb
 import pandas as pd
+from pyspark.sql import functions as F
 
 from rollcall.llm.chat_format import SQL, digest, escape, format_conversations, read_back, unescape
 
@@ -71,7 +72,7 @@ def test_native_plan_and_empty(spark):
 
 def test_long_runs_of_backslashes(spark):
     own = ["\\" * 300_000 + "a", "\\" * 300_000 + "<s>", "\\[/INST]\\\\</s>", "x\\y\\"]
-    d = spark.createDataFrame([(i, t) for i, t in enumerate(own)], "i long, t string").select("i", escape("t").alias("e"))
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(own)], "i long, t string").select("i", escape(F.col("t")).alias("e"))
     got = {r.i: (r.e, r.u) for r in d.select("i", "e", unescape(d.e).alias("u")).collect()}
     assert [got[i][1] for i in range(4)] == own
     assert [len(got[i][0]) - len(t) for i, t in enumerate(own)] == [0, 1, 2, 0]
