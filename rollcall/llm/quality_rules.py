@@ -46,10 +46,9 @@ CHUNK_BYTES = 2048
 CHUNK_BAND = (1.55, 2.45)
 #: A text goes when at least this share of its chunks lies outside the band.
 BAD_CHUNKS = 0.3
-#: fit_bands: ids of sound texts that it fits on, those of least hash where there are more; sound texts that a length
-#: takes its limits from at least, those of lengths around it included; the share of them outside on either side; what is added to the limits of texts, an octave away from any, and of chunks; and
-#: the steps of an octave of length and of the ratio by which it counts, up to a ratio of 4.
-FIT_IDS = 100_000
+#: fit_bands: sound texts that a length takes its limits from at least, those of lengths around it included; the share
+#: of them outside on either side; what is added to the limits of texts, an octave away from any, and of chunks; and the
+#: steps of an octave of length and of the ratio by which it counts, up to a ratio of 4.
 CLASS_ROWS = 200
 OUTSIDE = 0.001
 MARGIN, FAR_MARGIN, CHUNK_MARGIN = 0.03, 0.05, 0.1
@@ -179,8 +178,7 @@ def _sound_counts(docs: DataFrame, labels: DataFrame) -> list:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(found, pa.list_(pa.list_(pa.int64())))], ["doc_id", "found"])
 
     sound = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    sample = sound.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_IDS)  # at most 8 bytes each, so they're broadcast
-    found = docs.join(F.broadcast(sample), "doc_id", "left_semi").mapInArrow(run, schema)
+    found = docs.mapInArrow(run, schema).join(sound, "doc_id", "left_semi")  # after the texts are read, so that only counts move
     found = found.select(F.explode("found").alias("f")).select(F.col("f")[0].alias("size"), F.col("f")[1].alias("step"))
     return found.groupBy("size", "step").agg(F.count("*").alias("n")).collect()
 
@@ -188,8 +186,8 @@ def _sound_counts(docs: DataFrame, labels: DataFrame) -> list:
 def fit_bands(docs: DataFrame, labels: DataFrame) -> Limits:
     """The limits that texts which labels(doc_id, quality, ...) calls sound lie within, but for OUTSIDE of them.
 
-    Up to FIT_IDS sound ids count, the same ones on each run. Texts that the base rules reject don't. Around each length of BANDS the texts of so many octaves as hold
-    CLASS_ROWS of them give a line of the ratio over the logarithm of the length; the limits are quantiles of the
+    All sound ids count. Texts that the base rules reject don't. Around each length of BANDS the texts of so many
+    octaves as hold CLASS_ROWS of them give a line of the ratio over the logarithm of the length; the limits are quantiles of the
     distances from these lines, taken as widely, and MARGIN. At lengths without any text, lines run on like the widest
     bands, with FAR_MARGIN more an octave. Chunks have the quantiles of all chunks. With fewer than
     CLASS_ROWS texts in all, limits lie between these and the widest ones in proportion. They never grow wider than

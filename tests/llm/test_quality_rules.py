@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import zstandard
+from pyspark.sql import functions as F
 
 from rollcall.llm import quality_rules as qr
 
@@ -115,3 +116,15 @@ def test_verdicts_equal_brute_force(spark):
     found = qr.measure(docs, limits).collect()
     assert all(r.kept == (texts[r.doc_id] is not None and brute_verdict(texts[r.doc_id], limits)) for r in found)
     assert {r.kept for r in found} == {True, False}
+
+
+def test_limits_come_from_all_sound_texts(spark):
+    """More sound ids than any sample held: each counts, and those of repeated ids and labels once a row."""
+    n = 100_300
+    words = F.concat_ws(" ", *[F.substring(F.sha1(F.concat("id", F.lit(f" {j}"))), 1, 6) for j in range(50)])
+    docs = spark.range(n, numPartitions=8).select(F.col("id").alias("doc_id"), words.alias("text"))
+    docs = docs.unionByName(docs.where("doc_id < 2")).unionByName(spark.createDataFrame([(n, "short"), (None, "short"), (n + 1, prose(random.Random(4), 90))], "doc_id long, text string"))
+    labels = spark.range(n + 1).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    labels = labels.unionByName(labels.where("doc_id < 5")).unionByName(spark.createDataFrame([(n + 1, 0), (None, 1)], "doc_id long, quality int"))
+    rows = qr._sound_counts(docs, labels)
+    assert sum(r["n"] for r in rows) == n + 2 and all(r["size"] >= 0 for r in rows)
