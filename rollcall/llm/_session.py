@@ -14,14 +14,22 @@ from rollcall.session import importable
 BATCH_ROWS = 512
 #: Stored bytes below which a table of few files is dealt out.
 SPREAD_BYTES = 32 << 20
+#: Bytes of an Arrow batch, about; fewer rows where they are long.
+BATCH_BYTES = 4 << 20
+#: Of the Python workers: arrays of 4 MB and more go back to the system when freed, as do 16 MB free at the heap's end;
+#: glibc would raise both limits by itself, and Arrow's own pools keep what they once had.
+WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(16 << 20)}
 #: Folders of the tables that keep() made and nobody deleted yet.
 _made: set[str] = set()
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bound Arrow batches, so that a worker's memory doesn't follow the number of rows; let workers import this."""
+    """Bound Arrow batches, so that a worker's memory doesn't follow the number of rows, and what workers keep; let them import this."""
     importable(spark)
+    for name, value in WORKER_MEMORY.items():
+        spark.sparkContext.environment.setdefault(name, value)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def scratch(spark: SparkSession) -> str:

@@ -73,22 +73,27 @@ def _shingle_blobs(n_buckets: int, k: int):
             ids = np.array([d or 0 for d, _ in held], np.int64)
             known = np.array([d is not None for d, _ in held], np.int64)
             lengths = np.array([len(s) for _, s in held], np.int64)
+            sums = np.array([[s.sum(dtype=np.uint64), _text.mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)] for _, s in held], np.uint64).reshape(-1, 2)
             values = np.concatenate([s for _, s in held]) if held else np.zeros(0, np.uint64)
             at = np.repeat(np.arange(len(held), dtype=np.uint16), lengths)
-            where = (values >> np.uint64(32)) % np.uint64(n_buckets)
+            held.clear()
+            low = values.astype(np.uint32)
+            values >>= np.uint64(32)
+            values %= np.uint64(n_buckets)
+            where = values.astype(np.uint16 if n_buckets <= 1 << 16 else np.uint32)
+            del values
             order = np.argsort(where, kind="stable")
-            low, at, where = values[order].astype(np.uint32), at[order], where[order]
-            present, cuts = np.unique(where, return_index=True)
-            cuts = np.append(cuts, len(where))
+            low, at, where = low[order], at[order], where[order]
+            del order
+            cuts = np.concatenate([[0], np.flatnonzero(where[1:] != where[:-1]) + 1, [len(where)]]) if len(where) else np.zeros(1, np.int64)
+            present = where[cuts[:-1]]
             rows: list[tuple[int, bytes]] = [(int(b), at[lo:hi].tobytes() + low[lo:hi].tobytes()) for b, lo, hi in zip(present, cuts[:-1], cuts[1:], strict=True)]
-            sums = np.array([[s.sum(dtype=np.uint64), _text.mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)] for _, s in held], np.uint64).reshape(-1, 2)
             about = ids.tobytes() + known.tobytes() + lengths.tobytes() + sums[:, 0].tobytes() + sums[:, 1].tobytes()
             rows.append((-1 - block % n_buckets, about))
             out = pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int64()), pa.array([block] * len(rows), pa.int64()), pa.array(["blob"] * (len(rows) - 1) + ["about"]), pa.array([r[1] for r in rows], pa.binary())],
                 ["bucket", "block", "kind", "payload"],
             )
-            held.clear()
             step, size = step + 1, 0
             return out
 

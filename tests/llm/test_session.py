@@ -1,3 +1,6 @@
+import numpy as np
+import pyarrow as pa
+
 from rollcall.llm import _session
 from rollcall.llm.components import components
 
@@ -21,3 +24,23 @@ def test_components_in_rounds(spark, monkeypatch):
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
     assert components(spark.createDataFrame([(1, 1)], "a long, b long")).collect() == []
+
+
+def test_workers_give_back_large_arrays(spark):
+    """Also with small ones that stay between them, and after the first was freed; Arrow's buffers too."""
+    _session.prepare(spark)
+
+    def run(batches):
+        resident = lambda: int(open("/proc/self/statm").read().split()[1]) * 4096 >> 20
+        for _ in batches:
+            del (first := [np.ones(640_000)])[:]
+            held, pins, before = [], [], resident()
+            for _ in range(40):
+                held.append(np.ones(640_000))
+                pins.append(np.ones(1000))
+            most = resident()
+            del first, held
+            yield pa.RecordBatch.from_arrays([pa.array([most - before]), pa.array([resident() - before]), pa.array([pa.default_memory_pool().backend_name])], ["most", "after", "pool"])
+
+    row = spark.range(1, numPartitions=1).mapInArrow(run, "most long, after long, pool string").first()
+    assert row.most > 180 and row.after < 40 and row.pool == "system"
