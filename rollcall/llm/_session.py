@@ -49,12 +49,18 @@ def keep(df: DataFrame) -> DataFrame:
     The table stays until drop() or clean(), as plans that read it may run at any time.
     """
     spark = df.sparkSession
-    path = f"{scratch(spark).rstrip('/')}/rollcall-{uuid.uuid4().hex}"
-    _made.add(path)
+    path = new_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A path of its own in the shared folder; clean() deletes what is written there."""
+    path = f"{scratch(spark).rstrip('/')}/rollcall-{uuid.uuid4().hex}"
+    _made.add(path)
+    return path
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     own = spark._jvm.org.apache.hadoop.fs.Path(path)
     own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
@@ -89,10 +95,14 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def stored_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of df's input (file sizes for a scan); where it has none, the rows' sizes are summed."""
+    """The size of the files that df scans; where it reads more than one table, or none, the rows' sizes are summed.
+
+    Catalyst multiplies the sizes of joined tables, so its estimate of a join tells nothing of the rows.
+    """
     from pyspark.sql import functions as F
 
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = int(leaves.apply(0).stats().sizeInBytes()) if leaves.size() == 1 else 1 << 60
     if size >= 1 << 60:
         size = df.agg(F.sum(F.coalesce(F.length(F.to_json(F.struct("*"))), F.lit(0)))).first()[0] or 0
     return size

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, each over its whole table with production parameters."""
+"""The registered queries of the operators, each over its whole table with production parameters."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, embedding_dedup, html_extract, license_scan, line_dedup, mixing, ngram_join, packing, quality_rules, secret_scan
+from . import chat_format, embedding_dedup, html_extract, license_scan, line_dedup, mixing, ngram_join, packing, quality_rules, secret_scan, token_files
 from ._session import spread
 
 
@@ -17,6 +17,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_tokenizer_path() -> str:
+    """The public tokenizer whose ids op11 writes."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
@@ -74,6 +81,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.Mix(_table(spark, sf_dir, "documents"), texts=False).report()
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every document's ids stand in the files written for this, and their checksum."""
+    return token_files.digest(spark.read.parquet(f"{sf_dir}/documents.parquet"), byte_tokenizer_path(), end_id=0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_html_extraction": op2_html_extraction,
@@ -85,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_mixing": op10_mixing,
+    "op11_token_files": op11_token_files,
 }
 
 #: DuckDB's twins where SQL can express the operator; the others are tested against brute force.
