@@ -50,12 +50,12 @@ STEP_CHARS = 1 << 20
 SCHEMA = "range int, shard int, at int, shard_ids long, doc_id long, start long, n_tokens long, ids_crc32 long"
 
 # White space of the pre-tokenizer; of text in ASCII alone it is the first few.
-_SPACE = r" \t-\r\x85\xa0  -     　"
+_SPACE = " \t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _ASCII_PIECES = re.compile(r"[ \t-\r]*[A-Za-z]+|[ \t-\r]*[^ \t-\rA-Za-z]+[A-Za-z]*|[ \t-\r]+")
 _PIECES = re.compile(rf"[{_SPACE}]*[A-Za-z]+(?=[.,;:!?])|[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 _SAFE = re.compile(r"(?<=[A-Za-z])(?=[ \n.,;:!?])")
 #: White space by some tables only.
-_ODD = "᠎"
+_ODD = "\u180e"
 _PLAIN = re.compile(rf" ?[^{_SPACE}{_ODD}]+")
 
 
