@@ -9,6 +9,8 @@ same hash with a probability of 2^-64.
 from __future__ import annotations
 
 import hashlib
+import itertools
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,13 +65,16 @@ def plain(column: pa.Array | pa.ChunkedArray) -> pa.Array:
 class Words:
     """Words of a run of texts: byte ranges, the text each belongs to, and how many each text has."""
 
-    def __init__(self, texts: pa.Array, cut: tuple[np.ndarray, np.ndarray] | None = None):
-        """cut: tables of bytes between which a word is cut in two as well, the one before and the one after."""
+    def __init__(self, texts: pa.Array, cut: tuple[np.ndarray, np.ndarray] | None = None, space: np.ndarray = _SPACE):
+        """cut: tables of bytes between which a word is cut in two as well, the one before and the one after.
+
+        space: a table of the bytes that belong to no word.
+        """
         offsets = _offsets(texts)
         data = texts.buffers()[2]
         self.bytes = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
         bounds = offsets - offsets[0]
-        word = ~_SPACE[self.bytes]
+        word = ~space[self.bytes]
         first = word.copy()
         first[1:] &= ~word[:-1]
         inner = bounds[(bounds > 0) & (bounds < len(word))]
@@ -141,6 +146,18 @@ def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
+def slices(text: bytes, gap: re.Pattern[bytes], ahead: int, size: int) -> Iterator[tuple[bytes, int]]:
+    """A long text in slices of about size bytes, cut where gap finds a run of bytes between words; each with the bytes up to
+    the end of the `ahead` words that follow, and how many bytes are its own."""
+    at = 0
+    while len(text) - at > size and (cut := gap.search(text, at + size)):
+        following = list(itertools.islice(gap.finditer(text, cut.start()), ahead + 1))
+        stop = following[-1].start() if len(following) > ahead else len(text)
+        yield text[at:stop], cut.start() - at
+        at = cut.start()
+    yield text[at:], len(text) - at
+
+
 def binary(parts: list[np.ndarray]) -> pa.Array:
     """A binary column whose rows are the arrays' bytes."""
     return pa.array([p.tobytes() for p in parts], pa.binary())

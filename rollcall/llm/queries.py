@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, embedding_dedup, html_extract, license_scan, line_dedup, mixing, ngram_join, packing, quality_rules, secret_scan, token_files
+from . import chat_format, collocations, embedding_dedup, html_extract, importance, license_scan, line_dedup, mixing, ngram_join, packing, quality_rules, secret_scan, token_files
 from ._session import spread
 
 
@@ -86,6 +86,17 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(spark.read.parquet(f"{sf_dir}/documents.parquet"), byte_tokenizer_path(), end_id=0)
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best 2000 phrases of every language of documents."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document, drawn towards the texts of benchmark."""
+    out = importance.resample(_table(spark, sf_dir, "documents"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_html_extraction": op2_html_extraction,
@@ -98,6 +109,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat_formatting": op9_chat_formatting,
     "op10_mixing": op10_mixing,
     "op11_token_files": op11_token_files,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 #: DuckDB's twins where SQL can express the operator; the others are tested against brute force.
@@ -106,4 +119,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_embedding_near_dedup": embedding_dedup.SQL,
     "op5_line_dedup": line_dedup.SQL,
     "op9_chat_formatting": chat_format.SQL,
+    "op12_phrase_collocations": collocations.SQL,
 }
