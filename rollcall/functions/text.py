@@ -87,6 +87,12 @@ def or_default(value: Column, default: str) -> Column:
     return F.when(F.coalesce(value, F.lit("")) == "", F.lit(default)).otherwise(value)
 
 
+def field_or_default(document: Column, field: str, default: str) -> Column:
+    """A field of a VARIANT as text: default where it is absent, null where it is null, text as it is, also empty."""
+    path = f"$['{field}']"
+    return F.when(F.try_variant_get(document, path, "variant").isNull(), F.lit(default)).otherwise(F.try_variant_get(document, path, "string"))
+
+
 def upload_day(text: Column) -> Column:
     """yyyymmdd as a date, strictly; anything else is null."""
     return F.when(text.rlike(r"^[0-9]{8}$"), F.try_to_date(text, "yyyyMMdd"))

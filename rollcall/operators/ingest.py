@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 #: Battles before this are never fetched.
 EARLIEST = "2024-01-01T00:00:00.000Z"
 
@@ -60,16 +62,26 @@ def upsert_counts(existing: DataFrame, incoming: DataFrame, keys: list[str]) ->
     return joined.agg(F.count_if(F.col("_known").isNull()).alias("additions"), F.count_if(F.col("_known").isNotNull()).alias("updates"))
 
 
-def run_counts(records: DataFrame, new: dict[str, DataFrame]) -> DataFrame:
-    """(records, skipped, battles, players, links) in one row: records read, those without id, time or teams, and rows added."""
-    sound = F.col("id").isNotNull() & F.col("startTime").isNotNull() & (F.size("AllyTeams") > 0)
-    read = records.agg(F.count("*").alias("records"), F.count_if(~F.coalesce(sound, F.lit(False))).alias("skipped"))
-    added = None
-    for name, kind in (("battles", "battles"), ("players", "players"), ("participants", "links")):
-        own = new[name].select(F.lit(kind).alias("kind"))
-        added = own if added is None else added.unionByName(own)
-    counts = added.agg(*[F.count_if(F.col("kind") == kind).alias(kind) for kind in ("battles", "players", "links")])
-    return read.withColumn("one", F.lit(1)).join(counts.withColumn("one", F.lit(1)), "one").drop("one")
+COUNTS = "records long, skipped long, battles long, players long, links long"
+
+
+def ingest_counted(records: DataFrame, battles: DataFrame, participants: DataFrame, players: DataFrame, since: str | None = None, earliest: str = "") -> tuple[dict[str, DataFrame], DataFrame]:
+    """New rows of the three tables, written once, and COUNTS in one row: records read, those without id, time or teams, and rows added. Records not after the mark or before the bound add none.
+
+    The counters ride along with the writes: records are read once, into a table of what the three need, and each
+    table's new rows are counted as they are written.
+    """
+    spark = records.sparkSession
+    seen, added = Observation(), {n: Observation() for n in ("battles", "participants", "players")}
+    sound = F.coalesce(F.col("id").isNotNull() & F.col("startTime").isNotNull() & (F.size("AllyTeams") > 0), F.lit(False))
+    narrow = records.select("id", "startTime", "Map", "AllyTeams").observe(seen, F.count(F.lit(1)).alias("records"), F.count_if(~sound).alias("skipped"))
+    pulled = stored(newer_than(usable(narrow), since, earliest))
+    new = {"battles": (battle_rows(pulled), battles, ["battle_id"]), "participants": (participant_rows(pulled), participants, ["battle_id", "player_name"])}
+    out = {n: stored(new_rows(*x).observe(added[n], F.count(F.lit(1)).alias("n"))) for n, x in new.items()}
+    named = player_rows(participant_rows(pulled))
+    out["players"] = stored(new_rows(named, players, ["player_name"]).observe(added["players"], F.count(F.lit(1)).alias("n")))
+    row = (seen.get["records"], seen.get["skipped"], added["battles"].get["n"], added["players"].get["n"], added["participants"].get["n"])
+    return out, spark.createDataFrame([row], COUNTS)
 
 
 def ingest(records: DataFrame, battles: DataFrame, participants: DataFrame, players: DataFrame, complete: bool = True) -> tuple[dict[str, DataFrame], str | None]:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import stored
 
 _DEFAULTS = {"title": "Unknown Title", "upload_date": "N/A", "uploader": "N/A"}
 
@@ -68,15 +69,37 @@ def index_totals(players: DataFrame, battles: DataFrame, ocr: DataFrame, maps: D
     return keys.agg(*[F.count_if((F.col("kind") == name) & F.col("key").isNotNull()).alias(name) for name in parts])
 
 
-def player_lists(index: DataFrame) -> DataFrame:
-    """(player_name, battle_ids): for the serving document."""
-    return index.groupBy("player_name").agg(F.sort_array(F.collect_list("battle_id")).alias("battle_ids"))
+#: Rows of a list's page.
+PAGE_ROWS = 1000
 
 
-def match_lists(matches: DataFrame, key: str) -> DataFrame:
-    """(key, matches): the other columns of a battle's or map's rows as sorted structs."""
-    others = [c for c in matches.columns if c != key]
-    return matches.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*others))).alias("matches"))
+def paged_lists(rows: DataFrame, key: str, name: str, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """(key, page, name): the other columns of a key's rows as structs, in order, in pages numbered from 0.
+
+    Rows are dealt to ranges by key and their other columns and sorted there, so a key with most rows takes many
+    tasks; a row's place in its list is its place in its range, plus what the ranges before hold of the key.
+    """
+    others = [c for c in rows.columns if c != key]
+    spread = rows.repartitionByRange(key, *others).sortWithinPartitions(key, *others)
+    placed = stored(spread.withColumn("_at", F.monotonically_increasing_id()))  # the range's number and the place in it
+    part = F.shiftright("_at", 33)  # of the range
+    own = placed.groupBy(key, part.alias("_part")).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    own = own.select(F.col(key).alias("_key"), F.col("_part").alias("_own"), (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    joined = placed.join(own, F.col(key).eqNullSafe(F.col("_key")) & (part == F.col("_own")))
+    page = F.floor((F.col("_at") + F.col("_shift")) / page_rows).alias("page")
+    return joined.groupBy(key, page).agg(F.sort_array(F.collect_list(F.struct(*others))).alias(name))
+
+
+def player_lists(index: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """(player_name, page, battle_ids): for the serving document."""
+    lists = paged_lists(index.select("player_name", "battle_id"), "player_name", "items", page_rows)
+    return lists.select("player_name", "page", F.col("items.battle_id").alias("battle_ids"))
+
+
+def match_lists(matches: DataFrame, key: str, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """(key, page, matches): the other columns of a battle's or map's rows as sorted structs."""
+    return paged_lists(matches, key, "matches", page_rows)
 
 
 def serving_tables(battles: DataFrame, participants: DataFrame, battle_videos: DataFrame, videos: DataFrame, observations: DataFrame) -> dict[str, DataFrame]:
@@ -96,14 +119,15 @@ def serving_tables(battles: DataFrame, participants: DataFrame, battle_videos: D
 def serving_document(tables: dict[str, DataFrame]) -> DataFrame:
     """(value): the serving document as JSON lines, {table: {key: rows}} a line, for clients that want text.
 
-    One line a key keeps lines small; a reader merges the objects of equal table names.
+    A line holds a key's page, so lines stay small; a reader merges the objects of equal table names and joins a key's
+    lists in the order of their pages.
     """
     keys = {"player_index": "player_name", "battle_matches": "battle_id", "map_index": "map_name"}
     line = lambda name, value: F.to_json(F.create_map(F.lit(name), value)).alias("value")
     out = tables["last_battle"].select(F.to_json(F.struct("last_battle")).alias("value"))
     for name, rows in tables.items():
         if name in keys:
-            out = out.unionByName(match_lists(rows, keys[name]).select(line(name, F.create_map(F.col(keys[name]), F.col("matches")))))
+            out = out.unionByName(match_lists(rows, keys[name]).orderBy(keys[name], "page").select(line(name, F.create_map(F.col(keys[name]), F.col("matches")))))
         elif name != "last_battle":
             out = out.unionByName(rows.select(line(name, F.struct("*"))))
     return out

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.similarity import substring_score
 from ..session import importable
+from .name_index import NameIndex
 
 #: Greatest distance, in shares of the query's length, and rows of each search.
 OCR_DISTANCE, OCR_ROWS = 0.4, 20
@@ -29,28 +30,35 @@ def search_map(index: DataFrame, name: str) -> DataFrame:
     return index.where(F.col("map_name") == name).orderBy(F.col("upload_date").desc_nulls_last(), "video_id", "battle_id")
 
 
-def _nearest(rows: DataFrame, column: str, query: str, distance: float, k: int, order: list[str]) -> DataFrame:
-    """Distinct names are scored, once each, and only the near ones' rows are joined and ordered."""
+def _nearest(rows: DataFrame, column: str, query: str, distance: float, k: int, order: list[str], index: NameIndex | None) -> DataFrame:
+    """Names are scored once each, of an index only those that may be near; the near ones' rows are joined and ordered."""
     importable(rows.sparkSession)
-    names = rows.select(column).distinct()
-    # Nondeterministic to the optimizer, which would evaluate it in the filter and again above.
-    near = names.withColumn("score", substring_score.asNondeterministic()(F.lit(query), F.col(column))).where(F.col("score") <= distance)
+    if index is None or not query:
+        names = rows.select(column).distinct()
+        # Nondeterministic to the optimizer, which would evaluate it in the filter and again above.
+        near = names.withColumn("score", substring_score.asNondeterministic()(F.lit(query), F.col(column)))
+    else:
+        near = index.nearest(query, distance, k, None if rows.columns == [column] else rows, column).withColumnRenamed("name", column)
+    near = near.where(F.col("score") <= distance)
     found = near if rows.columns == [column] else rows.join(near, column).select(*rows.columns, "score")
     return found.orderBy("score", *order).limit(k)
 
 
-def search_ocr(index: DataFrame, query: str, k: int = OCR_ROWS, distance: float = OCR_DISTANCE) -> DataFrame:
-    """Rows whose name is nearest to the query, best first; a name read in several screenshots takes several rows."""
-    return _nearest(index, "ocr_name", query, distance, k, ["ocr_name", "video_id", "timestamp"])
+def search_ocr(index: DataFrame, query: str, k: int = OCR_ROWS, distance: float = OCR_DISTANCE, names: NameIndex | None = None) -> DataFrame:
+    """Rows whose name is nearest to the query, best first; a name read in several screenshots takes several rows.
 
+    names: an index of the names that index has; without one every name is scored.
+    """
+    return _nearest(index, "ocr_name", query, distance, k, ["ocr_name", "video_id", "timestamp"], names)
 
-def autocomplete(names: DataFrame, column: str, query: str, kind: str = "player", k: int = NAME_ROWS, distance: float = NAME_DISTANCE) -> DataFrame:
-    """Names nearest to the query. Below MIN_CHARS nothing; an empty query where that is allowed lists the first names."""
+
+def autocomplete(names: DataFrame, column: str, query: str, kind: str = "player", k: int = NAME_ROWS, distance: float = NAME_DISTANCE, index: NameIndex | None = None) -> DataFrame:
+    """Names nearest to the query, from an index of theirs if there is one. Below MIN_CHARS nothing; an empty query where that is allowed lists the first names."""
     if len(query.strip()) < MIN_CHARS[kind]:
         return names.select(column, F.lit(0.0).alias("score")).where(F.lit(False))
     if not query.strip():
         return first_items(names, column).select(column, F.lit(0.0).alias("score"))
-    return _nearest(names.select(column), column, query, distance, k, [column])
+    return _nearest(names.select(column), column, query, distance, k, [column], index)
 
 
 def first_items(names: DataFrame, column: str, k: int = LIST_ROWS) -> DataFrame:

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.similarity import hybrid_score, token_set_score, token_sort_score
 from ..operators import detections, ingest, marts, match, observations, repair, sampling, search
+from ..operators.name_index import NameIndex
 from ..schemas import KEYS
-from ..session import importable
+from ..session import importable, stored
+from ..sources import media
 from .domain import Domain, with_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,20 +94,31 @@ def last_upload(d: Domain) -> DataFrame:
     return marts.last_upload(d.videos())
 
 
-@query("SELECT player_name, count(*) AS battles, string_agg(battle_id, ',' ORDER BY battle_id) AS ids FROM player_index GROUP BY 1", "player_index")
+#: Rows of a page in the queries of lists.
+PAGE = 500
+
+
+def _pages(table: str, key: str, order: str) -> str:
+    return f"(SELECT *, (row_number() OVER (PARTITION BY {key} ORDER BY {order}) - 1) // {PAGE} AS page FROM {table})"
+
+
+@query(f"SELECT player_name, page, count(*) AS battles, string_agg(battle_id, ',' ORDER BY battle_id) AS ids FROM {_pages('player_index', 'player_name', 'battle_id')} GROUP BY 1, 2", "player_index")
 def player_lists(d: Domain) -> DataFrame:
-    lists = marts.player_lists(_index(d))
-    return lists.select("player_name", F.size("battle_ids").cast("long").alias("battles"), F.array_join("battle_ids", ",").alias("ids"))
+    lists = marts.player_lists(_index(d), PAGE)
+    return lists.select("player_name", "page", F.size("battle_ids").cast("long").alias("battles"), F.array_join("battle_ids", ",").alias("ids"))
 
 
 _SHOWN = "concat_ws(':', battle_id, video_id, CAST(timestamp AS VARCHAR), title, upload_date, uploader)"
 
 
-@query(f"SELECT map_name, count(*) AS matches, md5(string_agg({_SHOWN}, ',' ORDER BY video_id, timestamp, title, upload_date, uploader, battle_id)) AS listed FROM map_index GROUP BY 1", "map_index")
+_SHOWN_ORDER = "video_id, timestamp, title, upload_date, uploader, battle_id"
+
+
+@query(f"SELECT map_name, page, count(*) AS matches, md5(string_agg({_SHOWN}, ',' ORDER BY {_SHOWN_ORDER})) AS listed FROM {_pages('map_index', 'map_name', _SHOWN_ORDER)} GROUP BY 1, 2", "map_index")
 def map_match_lists(d: Domain) -> DataFrame:
-    lists = marts.match_lists(_maps(d), "map_name")
+    lists = marts.match_lists(_maps(d), "map_name", PAGE)
     shown = F.transform("matches", lambda m: F.concat_ws(":", m["battle_id"], m["video_id"], m["timestamp"].cast("string"), m["title"], m["upload_date"], m["uploader"]))
-    return lists.select("map_name", F.size("matches").cast("long").alias("matches"), F.md5(F.array_join(shown, ",")).alias("listed"))
+    return lists.select("map_name", "page", F.size("matches").cast("long").alias("matches"), F.md5(F.array_join(shown, ",")).alias("listed"))
 
 
 @query(
@@ -180,8 +193,9 @@ MISREAD, BEGUN = "supp1ier#00000001-Brand#17", "000017-brand#3"
     "seen", "videos",
 )
 def fuzzy_topk(d: Domain) -> DataFrame:
-    """The 20 rows whose name is nearest to a misread one."""
-    return search.search_ocr(marts.ocr_index(d.observations(), d.videos()), MISREAD)
+    """The 20 rows whose name is nearest to a misread one, by the names' index."""
+    index = stored(marts.ocr_index(d.observations(), d.videos()))
+    return search.search_ocr(index, MISREAD, names=NameIndex.build(index, "ocr_name"))
 
 
 @query(
@@ -189,7 +203,8 @@ def fuzzy_topk(d: Domain) -> DataFrame:
     "participants",
 )
 def autocomplete_topk(d: Domain) -> DataFrame:
-    return search.autocomplete(d.participants().select("player_name").distinct(), "player_name", BEGUN)
+    names = stored(d.participants().select("player_name").distinct())
+    return search.autocomplete(names, "player_name", BEGUN, index=NameIndex.build(names, "player_name"))
 
 
 # -- matching --------------------------------------------------------------------------------------
@@ -200,6 +215,17 @@ def candidate_join(d: Domain) -> DataFrame:
     return match.candidates(d.observations(), d.participants())
 
 
+@query("SELECT video_id, 90 AS video_timestamp_sec, battle_id, shared_names FROM pairs WHERE shared_names >= 2", "pairs")
+def candidate_join_two_shared(d: Domain) -> DataFrame:
+    """Pairs that share two names, from the names that a pair of sets must share first."""
+    return match.candidates(d.observations(), d.participants(), min_shared=2)
+
+
+@query("SELECT video_id, 90 AS video_timestamp_sec, battle_id, shared_names FROM windowed WHERE shared_names >= 3", "windowed")
+def candidate_window_three_shared(d: Domain) -> DataFrame:
+    return match.candidates(d.observations(), d.participants(), min_shared=3, battles=d.battles())
+
+
 def _windowed(d: Domain) -> DataFrame:
     return match.candidates(d.observations(), d.participants(), battles=d.battles())
 
@@ -409,14 +435,8 @@ def high_water_mark(d: Domain) -> DataFrame:
 def ingest_counts(d: Domain) -> DataFrame:
     """What a pull read and added, on top of the battles before a day."""
     records, old = _records(d), d.battles().where(_OLD)
-    parts = ingest.participant_rows(records)
     known = d.participants().join(old.select("battle_id"), "battle_id", "left_semi")
-    new = {
-        "battles": ingest.new_rows(ingest.battle_rows(records), old, KEYS["battles"]),
-        "participants": ingest.new_rows(parts, known, KEYS["participants"]),
-        "players": ingest.new_rows(ingest.player_rows(parts), ingest.player_rows(known), KEYS["players"]),
-    }
-    return ingest.run_counts(records, new)
+    return ingest.ingest_counted(records, old, known, ingest.player_rows(known))[1]
 
 
 _BRANDS = "SELECT p_brand AS uploader, p_name AS title, min(CAST(p_partkey AS VARCHAR)) AS video_id, 'new' AS upload_date FROM part WHERE p_size > 20 GROUP BY ALL"
@@ -512,6 +532,29 @@ def default_fill(d: Domain) -> DataFrame:
     return d.videos().select("video_id", T.or_default(F.col("title"), "Unknown Title").alias("title"), "uploader")
 
 
+@query(
+    "SELECT CAST(event_id AS VARCHAR) AS video_id, CASE WHEN event_id % 3 = 0 THEN 'Unknown Title' WHEN event_id % 3 = 1 THEN NULL WHEN event_id % 2 = 0 THEN '' ELSE event_type END AS title, "
+    "CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_id % 5 = 1 THEN 'N/A' ELSE CAST(event_id AS VARCHAR) END AS uploader FROM events"
+)
+def default_of_absent(d: Domain) -> DataFrame:
+    """Fields of JSON documents: an absent one takes its default, a null or empty one stays."""
+    i = F.col("event_id")
+    title = F.when(i % 3 == 0, "").when(i % 3 == 1, '"title": null,').otherwise(F.concat(F.lit('"title": "'), F.when(i % 2 == 0, "").otherwise(F.col("event_type")), F.lit('",')))
+    uploader = F.when(i % 5 == 0, ', "uploader": null').when(i % 5 == 1, "").otherwise(F.concat(F.lit(', "uploader": "'), i.cast("string"), F.lit('"')))
+    documents = d.table("events").select(i.cast("string").alias("video_id"), F.parse_json(F.concat(F.lit("{"), title, F.lit('"duration": 1'), uploader, F.lit("}"))).alias("v"))
+    return documents.select("video_id", T.field_or_default(F.col("v"), "title", "Unknown Title").alias("title"), T.field_or_default(F.col("v"), "uploader", "N/A").alias("uploader"))
+
+
+@query("SELECT l_orderkey || '-' || l_linenumber AS id FROM lineitem WHERE l_linenumber <> 4")
+def playlist_videos(d: Domain) -> DataFrame:
+    """Videos of nested lists: an order's lines, each as deep as its number; the fourth has no id."""
+    lists = F.repeat(F.lit('{"_type": "playlist", "id": "list", "entries": ['), F.col("l_linenumber"))
+    video = F.concat(F.lit('{"id": "'), F.when(F.col("l_linenumber") != 4, F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))).otherwise(""), F.lit('"}, null'))
+    lines = d.table("lineitem").select("l_orderkey", F.concat(lists, video, F.repeat(F.lit("]}"), F.col("l_linenumber"))).alias("line"))
+    found = media.flatten_playlist(lines.groupBy("l_orderkey").agg(F.concat(F.lit("["), F.array_join(F.collect_list("line"), ","), F.lit("]")).alias("entries")))
+    return found.select(F.get_json_object("entry", "$.id").alias("id"))
+
+
 @query(
     f"SELECT battle_id, video_id, 'https://www.youtube.com/watch?v=' || video_id || '&t=' || timestamp || 's' AS watch_url, 'https://i.ytimg.com/vi/' || video_id || '/mqdefault.jpg' AS thumbnail_url, '{REPLAYS}' || battle_id AS replay_url, "
     "(timestamp // 60) || ':' || lpad(CAST(timestamp % 60 AS VARCHAR), 2, '0') AS time FROM battle_matches",

@@ -34,10 +34,22 @@ def stored(df: DataFrame) -> DataFrame:
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="rollcall-")
     path = f"{folder.rstrip('/')}/stored-{uuid.uuid4().hex}"
+    _stored.add(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Folders that stored() made and nobody deleted yet.
+_stored: set[str] = set()
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete every table that stored() made in this driver; for after the results are written, as plans read them lazily."""
+    while _stored:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_stored.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _MADE: dict[str, object] = {}
 
 

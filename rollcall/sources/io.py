@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import DataType, IntegerType, StructField, StructType
 
 from ..operators.ingest import new_rows, replaced
+from ..session import stored
 
 # -- readers ---------------------------------------------------------------------------------------
 
@@ -134,6 +135,41 @@ class Table:
         return self.overwrite(replaced(self.read(), rows, keys))
 
 
+class PartitionedTable:
+    """A Parquet table in partitions by a hash of its key. A replacement reads and writes the partitions of its keys only.
+
+    Spark's dynamic partition overwrite stages new files and puts each partition in place when the job commits, so a
+    failed job leaves the old rows, and one that runs again gives the same rows.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: list[str], partitions: int = 256):
+        self.spark, self.path, self.schema, self.keys, self.partitions = spark, path.rstrip("/"), schema, keys, partitions
+        jvm = spark._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path(self.path)
+        self._fs = self._path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        return rows.select(self.schema.names).withColumn("_part", F.pmod(F.xxhash64(*self.keys), F.lit(self.partitions)).cast("int"))
+
+    def _rows(self) -> DataFrame:
+        schema = StructType([*self.schema.fields, StructField("_part", IntegerType())])
+        return self.spark.read.schema(schema).parquet(self.path) if self._fs.exists(self._path) else self.spark.createDataFrame([], schema)
+
+    def read(self) -> DataFrame:
+        return self._rows().select(self.schema.names)
+
+    def insert_or_replace(self, rows: DataFrame, keys: list[str] | None = None) -> int:
+        """Rows of known keys are replaced, others added; gives the number of partitions written."""
+        if keys is not None and list(keys) != self.keys:
+            raise ValueError(f"the table's key is {self.keys}")
+        new = stored(self._dealt(rows))
+        touched = [r._part for r in new.select("_part").distinct().collect()]  # `partitions` at most
+        old = self._rows().where(F.col("_part").isin(touched))
+        merged = replaced(old, new, [*self.keys, "_part"]).repartition("_part")
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_part").parquet(self.path)
+        return len(touched)
+
+
 def write_together(changes: list[tuple[Table, DataFrame]], append: bool = False) -> None:
     """Several tables in one batch: all versions are written before any becomes current; a failure undoes those that did."""
     written = []
@@ -162,9 +198,27 @@ def write_skip_list(lines: DataFrame, path: str) -> None:
     lines.write.mode("overwrite").text(path)
 
 
+#: What each serving table is looked up by.
+LOOKUPS = {"player_index": "player_name", "battle_matches": "battle_id", "map_index": "map_name", "ocr_index": "ocr_name"}
+#: Bytes of a row group of a serving table: what a lookup reads at least.
+LOOKUP_BYTES = 4 << 20
+
+
 def write_serving_tables(tables: dict[str, DataFrame], folder: str) -> None:
+    """Each table as Parquet. Those that are looked up by a key are sorted by it over all files, in small row groups with
+    Bloom filters of the key, so a lookup of a key reads the few row groups that hold it."""
     for name, rows in tables.items():
-        rows.write.mode("overwrite").parquet(f"{folder}/{name}")
+        key = LOOKUPS.get(name)
+        if key is None:
+            rows.write.mode("overwrite").parquet(f"{folder}/{name}")
+            continue
+        others = [c for c in rows.columns if c != key]
+        laid = rows.repartitionByRange(key, *others).sortWithinPartitions(key, *others)
+        laid.write.mode("overwrite").option("parquet.block.size", LOOKUP_BYTES).option(f"parquet.bloom.filter.enabled#{key}", "true").parquet(f"{folder}/{name}")
+
+
+def read_serving_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}")
 
 
 def sorted_map(column: Column) -> Column:

@@ -88,16 +88,27 @@ def channel_frames(channels: DataFrame, factory: Callable[[], MediaService], aft
     return metadata, stored(take_frames(metadata.where(F.col("error").isNull()), have, factory, tag))
 
 
-def flatten_playlist(entries: DataFrame, column: str = "entries", depth: int = 4) -> DataFrame:
-    """Leaves of nested playlists: rows of entries(.., column: JSON array of objects) down to `depth` levels.
+def flatten_playlist(entries: DataFrame, column: str = "entries") -> DataFrame:
+    """(entry): the videos of nested playlists, as JSON text, however deep; entries(.., column: JSON array of objects).
 
-    (entry): each object without a list of entries of its own, as JSON text. Deeper lists stay objects.
+    An object of _type playlist with entries is a list, and what it holds is read in its place; any other object with
+    an id is a video. Nulls and objects without an id are left out. A recursive query: a step reads one level of all lists.
     """
-    level = entries.select(F.explode(F.from_json(column, "array<string>")).alias("entry"))
-    out = None
-    for i in range(depth):
-        inner = F.get_json_object("entry", "$.entries")
-        leaves = level.where(inner.isNull()) if i < depth - 1 else level
-        out = leaves if out is None else out.unionByName(leaves)
-        level = level.where(inner.isNotNull()).select(F.explode(F.from_json(inner, "array<string>")).alias("entry"))
-    return out
+    spark = entries.sparkSession
+    # By default a recursion stops with an error after so many levels and rows; lists here may be of any size.
+    for name in ("spark.sql.cteRecursionLevelLimit", "spark.sql.cteRecursionRowLimit"):
+        spark.conf.set(name, "-1")
+    return spark.sql(
+        f"""
+        WITH RECURSIVE tree AS (
+            SELECT explode(from_json(`{column}`, 'array<string>')) AS entry FROM {{entries}}
+            UNION ALL
+            SELECT explode(from_json(get_json_object(entry, '$.entries'), 'array<string>')) AS entry FROM tree
+            WHERE get_json_object(entry, '$._type') = 'playlist' AND get_json_object(entry, '$.entries') IS NOT NULL
+        )
+        SELECT entry FROM tree
+        WHERE NOT coalesce(get_json_object(entry, '$._type') = 'playlist' AND get_json_object(entry, '$.entries') IS NOT NULL, false)
+          AND coalesce(get_json_object(entry, '$.id'), '') <> ''
+        """,
+        entries=entries,
+    )

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 from ..functions import text as T
 from ..operators import ingest, match
 from ..schemas import API_BATTLE, KEYS, OBSERVATIONS
-from ..sources.io import Table, write_together
+from ..sources.io import PartitionedTable, Table, write_together
 
 
 def record_stream(spark: SparkSession, folder: str, schema: StructType = API_BATTLE) -> DataFrame:
@@ -34,8 +34,8 @@ def ingest_stream(records: DataFrame, battles: Table, participants: Table, check
     return records.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def match_stream(spark: SparkSession, folder: str, battles: Table, participants: Table, found: Table, checkpoint: str) -> StreamingQuery:
-    """Observations as they land, matched against the tables of that moment."""
+def match_stream(spark: SparkSession, folder: str, battles: Table, participants: Table, found: Table | PartitionedTable, checkpoint: str) -> StreamingQuery:
+    """Observations as they land, matched against the tables of that moment. A partitioned table rewrites no more than a batch touches."""
 
     def batch(rows: DataFrame, _: int) -> None:
         matches = match.matched(rows, participants.read(), battles.read())

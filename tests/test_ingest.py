@@ -1,9 +1,12 @@
 import json
+import os
+
+import pytest
 
 from rollcall import schemas
 from rollcall.operators import ingest
 from rollcall.sources import replay_api
-from rollcall.sources.io import Table, write_together
+from rollcall.sources.io import PartitionedTable, Table, write_together
 
 RECORDS = [
     {"id": "a", "startTime": "2024-06-03T00:00:00.000Z", "Map": {"scriptName": "m"}, "AllyTeams": [{"Players": [{"name": "x"}, {"name": ""}, {"name": None}]}, {"Players": [{"name": "y"}, {"name": "x"}]}]},
@@ -50,8 +53,11 @@ def test_part_of_a_pull_moves_no_mark(spark, tmp_path):
 def test_counts_of_a_run(spark, tmp_path):
     own = tables(spark, tmp_path)
     pulled = records(spark, tmp_path)
-    new, _ = ingest.ingest(pulled, *(own[n].read() for n in own))
-    assert ingest.run_counts(pulled, new).first() == (6, 2, 3, 3, 3)
+    new, counts = ingest.ingest_counted(pulled, *(own[n].read() for n in own), earliest=ingest.EARLIEST)
+    assert counts.first() == (6, 2, 3, 3, 3) and counts.columns == ["records", "skipped", "battles", "players", "links"]
+    want, _ = ingest.ingest(pulled, *(own[n].read() for n in own))
+    assert {n: sorted(map(tuple, rows.collect())) for n, rows in new.items()} == {n: sorted(map(tuple, rows.collect())) for n, rows in want.items()}
+    assert ingest.ingest_counted(pulled, *(own[n].read() for n in own), since="2024-06-02T00:00:00.000Z")[1].first() == (6, 2, 1, 2, 2)
 
 
 def test_inserts_append_and_come_together(spark, tmp_path, monkeypatch):
@@ -106,3 +112,77 @@ def test_replay_source(spark):
     assert [r.id for r in got] == ["a", "b", "c", "d"]
     assert got[0].Map.scriptName == "m" and got[1].Map.scriptName is None and [p.name for p in got[0].AllyTeams[1].Players] == ["y", "x"]
     assert [r.id for r in read(since="2024-06-02T00:00:00.000Z").collect()] == ["a"]
+
+
+PULLED = [{"id": f"r{i}", "startTime": f"2024-07-{28 - i // 2:02d}T00:00:00.000Z", "AllyTeams": [{"Players": [{"name": f"n{i}"}]}]} for i in range(11)]
+
+
+def breaking_page(url, number, limit):
+    """Pages of what stands in a file of url; page 3 fails while url/broken exists."""
+    if number == 3 and os.path.exists(f"{url}/broken"):
+        raise OSError("page 3")
+    with open(f"{url}/all.json") as f:
+        return json.load(f)[(number - 1) * limit : number * limit]
+
+
+def test_a_pull_that_fails_goes_on_where_it_was(spark, tmp_path):
+    """Page 3 fails; before the pull goes on, newer records come in, and a later pull takes those: no gap, no repeat."""
+    replay_api.register(spark)
+    url = str(tmp_path / "service")
+    os.mkdir(url)
+    put = lambda rows: (tmp_path / "service" / "all.json").write_text(json.dumps(rows))
+    put(PULLED)
+    (tmp_path / "service" / "broken").touch()
+
+    def run():
+        stream = spark.readStream.format("replay_api").options(url=url, fetch="test_ingest:breaking_page", limit=3, delay=0, earliest="2024-07-24T00:00:00.000Z").load()
+        query = stream.select("id").writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "mark")).start(str(tmp_path / "out"))
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+
+    got = lambda: sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    with pytest.raises(Exception, match="page 3"):
+        run()
+    assert got() == sorted(r["id"] for r in PULLED[:6])
+    (tmp_path / "service" / "broken").unlink()
+    newer = [{**PULLED[0], "id": f"new{i}", "startTime": "2024-08-01T00:00:00.000Z"} for i in range(4)]
+    put([*newer, *PULLED])
+    run()
+    assert got() == sorted(r["id"] for r in [*PULLED[:10], *newer])
+    run()
+    assert got() == sorted(r["id"] for r in [*PULLED[:10], *newer])
+
+
+def test_a_batch_that_runs_again_has_the_same_records(tmp_path):
+    url = str(tmp_path)
+    (tmp_path / "all.json").write_text(json.dumps(PULLED))
+    reader = replay_api._StreamReader({"url": url, "fetch": "test_ingest:breaking_page", "limit": "3", "delay": "0", "earliest": "2024-07-24T00:00:00.000Z"})
+    offsets, batches = [reader.initialOffset()], []
+    for _ in range(5):
+        rows, end = reader.read(offsets[-1])
+        batches.append([r[0] for r in rows])
+        offsets.append(end)
+    assert sum(batches, []) == [r["id"] for r in PULLED[:10]] and offsets[-1]["since"] == PULLED[0]["startTime"]
+    (tmp_path / "all.json").write_text(json.dumps([{**PULLED[0], "id": f"new{i}", "startTime": "2024-08-01T00:00:00.000Z"} for i in range(5)] + PULLED))
+    for start, end, want in zip(offsets, offsets[1:], batches, strict=False):
+        assert [r[0] for r in reader.readBetweenOffsets(start, end)] == want
+
+
+def test_only_touched_partitions_are_written(spark, tmp_path):
+    t = PartitionedTable(spark, f"{tmp_path}/t", schemas.VIDEOS, ["video_id"], partitions=8)
+    make = lambda *r: spark.createDataFrame(r, schemas.VIDEOS)
+    assert t.read().isEmpty()
+    assert t.insert_or_replace(make(*[(str(i), "d", "old", "u") for i in range(100)])) == 8
+    files = lambda: {str(f.relative_to(tmp_path)) for f in (tmp_path / "t").rglob("*.parquet")}
+    before = files()
+    assert t.insert_or_replace(make(("7", "d", "new", "u"), ("x", "d", "new", "u")), ["video_id"]) <= 2
+    gone, come = {f.split("/")[1] for f in before - files()}, {f.split("/")[1] for f in files() - before}
+    assert gone <= come and len(come) <= 2
+    assert sorted((r.video_id, r.title) for r in t.read().where("title = 'new'").collect()) == [("7", "new"), ("x", "new")] and t.read().count() == 101
+    try:
+        t.insert_or_replace(make(("8", "d", "t", "u")).selectExpr("video_id", "upload_date", "raise_error('no') as title", "uploader"))
+    except Exception:
+        pass
+    assert t.read().count() == 101

@@ -175,8 +175,6 @@ def test_media_and_repair(spark):
     assert rows(media.take_frames(got, none, Service)) == [("a2", 90, bytearray(b"s@90"), None)]
     metadata, frames = media.channel_frames(io.channels(spark, ["a"]), Service, "20240101", spark.createDataFrame([], "value string"), none)
     assert rows(metadata, "video_id") == [("a1",), ("a2",)] and rows(frames, "video_id", "video_timestamp_sec") == [("a2", 90)]
-    nested = spark.createDataFrame([('[{"id": 1}, {"entries": [{"id": 2}, {"entries": [{"id": 3}]}]}]',)], "entries string")
-    assert [json.loads(r.entry)["id"] for r in media.flatten_playlist(nested).collect()] == [1, 2, 3]
     calls = spark.sparkContext.accumulator(0)
     files = spark.createDataFrame([("/s/a2_90s.png",), ("/s/x1_90s.png",), ("/s/y_90s.png",)], "path string")
     names = ["video_id", "title", "upload_date", "duration", "uploader", "tags", "thumbnail"]
@@ -226,3 +224,51 @@ def test_ddl(spark):
     schemas.create_tables(spark, "roll_test")
     assert spark.table("roll_test.battles").columns == ["battle_id", "timestamp", "map_name"]
     spark.sql("DROP DATABASE roll_test CASCADE")
+
+
+def test_playlists_of_any_depth(spark):
+    deep = '{"id": "last"}'
+    for i in range(12):
+        deep = f'{{"_type": "playlist", "id": "list", "entries": [{{"id": "v{i}"}}, null, {deep}]}}'
+    others = '{"_type": "playlist", "id": "no entries"}, {"id": "video", "entries": [{"id": "inner"}]}, {"title": "no id"}, {"_type": "playlist", "entries": []}, {"id": ""}'
+    nested = spark.createDataFrame([(f"[{deep}, {others}]", 1), ('[{"id": "x"}]', 2), ("[]", 3), (None, 4)], "entries string, entry int")
+    got = [json.loads(r.entry)["id"] for r in media.flatten_playlist(nested).collect()]
+    assert sorted(got) == sorted([*[f"v{i}" for i in range(12)], "last", "no entries", "video", "x"])
+
+
+@pytest.mark.parametrize("page_rows", [1, 3, 1000])
+def test_pages_keep_the_order(spark, page_rows):
+    own = [("hot", i % 7, i) for i in range(40)] + [("b", 1, 1), ("b", 1, 1), (None, 2, 2), ("c", None, 5)]
+    frame = spark.createDataFrame(own, "k string, x int, y int").repartition(5)
+    pages = marts.paged_lists(frame, "k", "items", page_rows).collect()
+    for key in ("hot", "b", None, "c"):
+        mine = sorted((p for p in pages if p.k == key), key=lambda p: p.page)
+        assert [p.page for p in mine] == list(range(len(mine))) and all(len(p["items"]) == page_rows for p in mine[:-1]) and len(mine[-1]["items"]) <= page_rows
+        want = sorted(((x, y) for k, x, y in own if k == key), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        assert [tuple(i) for p in mine for i in p["items"]] == want
+    assert marts.paged_lists(frame.limit(0), "k", "items").collect() == []
+
+
+def test_lookup_reads_few_row_groups(spark, tmp_path):
+    rows_ = spark.range(200_000).selectExpr("concat('p', lpad(cast(id % 50000 as string), 6, '0')) as player_name", "md5(cast(id as string)) as battle_id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        io.write_serving_tables({"player_index": rows_}, str(tmp_path / "new"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    rows_.repartition(4).write.parquet(str(tmp_path / "old" / "player_index"))
+
+    def scanned(folder):
+        found = io.read_serving_table(spark, str(tmp_path / folder), "player_index").where("player_name = 'p012345'")
+        assert len(found.collect()) == 4
+        plan = found._jdf.queryExecution().executedPlan()
+        return plan.collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+
+    assert scanned("new") < scanned("old") / 2
+
+
+def test_absent_is_not_null(spark):
+    from rollcall.functions.text import field_or_default
+
+    frame = spark.createDataFrame([('{"t": null}',), ("{}",), ('{"t": ""}',), ('{"t": "x", "u": 1}',), ('{"t": 5}',), (None,)], "j string").select(F.parse_json("j").alias("v"))
+    assert [r[0] for r in frame.select(field_or_default(F.col("v"), "t", "d")).collect()] == [None, "d", "", "x", "5", "d"]
