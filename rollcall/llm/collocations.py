@@ -45,6 +45,8 @@ MOST_CELLS = 1 << 24
 SLICE = 1 << 16
 #: Phrases of an automaton, about.
 AUTOMATON_PHRASES = 50_000
+#: Phrases of a group that is made distinct by one task, about.
+GROUP_PHRASES = 100_000
 #: Stored bytes of the corpus for each shard that is scanned, about.
 SHARD_BYTES = 16 << 20
 
@@ -224,8 +226,12 @@ def _second_pass(docs: DataFrame, pairs: Broadcast, cells: int, least: int) -> D
     return docs.mapInArrow(run, "slice int, cells binary")
 
 
-def _candidates(docs: DataFrame, pairs: Broadcast, longer: Broadcast) -> DataFrame:
-    """Distinct phrases that pass both sketches in any language, and a hash of each's first pair."""
+def _candidates(docs: DataFrame, pairs: Broadcast, longer: Broadcast, groups: int) -> DataFrame:
+    """Distinct phrases that pass both sketches in any language, and a hash of each's first pair.
+
+    A task tells the phrases it hasn't told yet in lists, one for each group of first pairs in a block of text.
+    """
+    lists = pa.list_(pa.string()), pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -233,6 +239,7 @@ def _candidates(docs: DataFrame, pairs: Broadcast, longer: Broadcast) -> DataFra
             for b in blocks(batch):
                 near, shorter = _pairs(b, pairs.value), None
                 first = b.runs(2, by_lang=False)
+                told: dict[int, tuple[list[str], list[int]]] = {}
                 for k in range(2, LONGEST + 1):
                     at, hashes = b.together(near, k), b.runs(k)
                     if k > 2:  # both phrases of one word less are candidates too
@@ -243,12 +250,26 @@ def _candidates(docs: DataFrame, pairs: Broadcast, longer: Broadcast) -> DataFra
                     new = np.array([h not in seen for h in distinct.tolist()], bool)
                     seen.update(distinct[new].tolist())
                     where = own[place[new]]
-                    phrases = [p.decode() for p in b.phrases(where, k)]
-                    yield pa.RecordBatch.from_arrays([pa.array(phrases, pa.string()), pa.array(first[where].astype(np.int64))], ["phrase", "pair"])
+                    pair = first[where].astype(np.int64)
+                    for g, phrase, p in zip(_owner(pair, groups).tolist(), b.phrases(where, k), pair.tolist(), strict=True):
+                        phrases, hashed = told.setdefault(g, ([], []))
+                        phrases.append(phrase.decode())
+                        hashed.append(p)
+                columns = [pa.array(list(told), pa.int32()), *(pa.array([t[i] for t in told.values()], lists[i]) for i in (0, 1))]
+                yield pa.RecordBatch.from_arrays(columns, ["g", "phrases", "pairs"])
                 if len(seen) > 1_000_000:  # told again, they only repeat
                     seen.clear()
 
-    return docs.mapInArrow(run, "phrase string, pair long").distinct()
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[str] = set()
+        for batch in batches:
+            phrases, hashed = batch.column(1).flatten().to_pylist(), batch.column(2).flatten().to_pylist()
+            new = [(p, h) for p, h in dict(zip(phrases, hashed, strict=True)).items() if p not in seen]
+            seen.update(p for p, _ in new)
+            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in new], pa.string()), pa.array([h for _, h in new], pa.int64())], ["phrase", "pair"])
+
+    told = docs.mapInArrow(run, "g int, phrases array<string>, pairs array<long>")
+    return told.repartition(groups, "g").mapInArrow(once, "phrase string, pair long")
 
 
 def _owner(pairs: np.ndarray, automata: int) -> np.ndarray:
@@ -297,7 +318,7 @@ def _stretches(docs: DataFrame, pairs: Broadcast, automata: int) -> DataFrame:
 
 
 def _scan(rows: DataFrame) -> DataFrame:
-    """lang, phrase, n by task: rows of one automaton stand together, its phrases (no lang) before its texts by language."""
+    """lang, phrase, n by task: rows of one automaton stand together, lists of its phrases (no lang) before its texts by language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases: list[str] = []
@@ -318,8 +339,7 @@ def _scan(rows: DataFrame) -> DataFrame:
                         phrases, machine, counts = [], None, np.zeros(0, np.int64)
                     now = (automaton, lang)
                 if lang is None:
-                    if not phrases or phrases[-1] != text:  # sorted, so repeats stand together
-                        phrases.append(text)
+                    phrases += text.split("\n")
                     continue
                 if machine is None and phrases:
                     machine, counts = ahocorasick.Automaton(), np.zeros(len(phrases), np.int64)
@@ -346,21 +366,25 @@ def _count(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     slices = ["slice", "cells"]
     pairs = spark.sparkContext.broadcast(_sum_up(first.where("slice is not null").select(slices), cells, least))
     longer = spark.sparkContext.broadcast(_sum_up(_second_pass(docs, pairs, cells, least), cells, least))
-    found = keep(_candidates(docs, pairs, longer))
+    # Set cells are about as many as candidates, or fewer.
+    passed = int(np.bitwise_count(pairs.value.bits).sum() + np.bitwise_count(longer.value.bits).sum()) // SKETCH_ROWS
+    found = keep(_candidates(docs, pairs, longer, max(spark.sparkContext.defaultParallelism, passed // GROUP_PHRASES)))
     automata = max(1, -(-found.count() // AUTOMATON_PHRASES))
     shards = -(-max(spark.sparkContext.defaultParallelism, -(-stored // SHARD_BYTES)) // automata)
     n = automata * shards
 
     def owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = _owner(batch.column(1).to_numpy(zero_copy_only=False), automata)
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), batch.column(0)], ["automaton", "text"])
+            lists: dict[int, list[str]] = {}
+            for own, phrase in zip(_owner(batch.column(1).to_numpy(zero_copy_only=False), automata).tolist(), batch.column(0).to_pylist(), strict=True):
+                lists.setdefault(own, []).append(phrase)
+            yield pa.RecordBatch.from_arrays([pa.array(list(lists), pa.int32()), pa.array(["\n".join(x) for x in lists.values()], pa.string())], ["automaton", "text"])
 
     compiled = found.mapInArrow(owners, "automaton int, text string").select("automaton", F.lit(None).cast("string").alias("lang"), F.lit(0).alias("weight"), "text", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
     texts = _stretches(docs, pairs, automata).withColumn("shard", F.pmod(F.xxhash64("text"), F.lit(shards)).cast("int"))
     # One shard of one automaton a task: the phrases first, as null languages sort first, then texts.
     dealt = compiled.unionByName(texts).repartitionById(n, (F.col("automaton") * shards + F.col("shard")).cast("int"))
-    dealt = dealt.sortWithinPartitions("automaton", "lang", F.when(F.col("lang").isNull(), F.col("text"))).select("automaton", "lang", "weight", "text")
+    dealt = dealt.sortWithinPartitions("automaton", "lang").select("automaton", "lang", "weight", "text")
     counts = _scan(dealt).groupBy("lang", "phrase").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
     return keep(words), keep(counts)
 
