@@ -22,7 +22,8 @@ import json
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ SHARD_DOCS = 1_000_000
 RANGE_BYTES = 32 << 20
 MOST_RANGES = 20_000
 #: Pieces whose ids a worker remembers; beyond that it forgets the half learned first. Longer pieces are encoded each time.
-REMEMBERED_PIECES = 800_000
+REMEMBERED_PIECES = 1_200_000
 PIECE_CHARS = 24
 #: Characters of a text that are cut into pieces at once.
 STEP_CHARS = 1 << 20
@@ -54,6 +55,9 @@ _SPACE = " \t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _ASCII_PIECES = re.compile(r"[ \t-\r]*[A-Za-z]+|[ \t-\r]*[^ \t-\rA-Za-z]+[A-Za-z]*|[ \t-\r]+")
 _PIECES = re.compile(rf"[{_SPACE}]*[A-Za-z]+(?=[.,;:!?])|[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 _SAFE = re.compile(r"(?<=[A-Za-z])(?=[ \n.,;:!?])")
+#: A unit of the pre-tokenizer, and what it makes of a space.
+_LETTERS = re.compile(r" ?[A-Za-z]+")
+_BLANK = "\u0120"
 #: White space by some tables only.
 _ODD = "\u180e"
 _PLAIN = re.compile(rf" ?[^{_SPACE}{_ODD}]+")
@@ -87,54 +91,75 @@ class ByteTokenizer:
         self.width = 2 if max(self.public.get_vocab().values(), default=0) < 1 << 16 else 4
         self.kind = np.dtype(f"<u{self.width}")
         self.line_end = self._encode(["\n"])[0] if self.pieces else b""
-        self.known: dict[str, bytes] = {}
+        self.known = _Known()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.public.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Pieces of a space at most and other characters are encoded as lines of one text: a lone line end is a token of its own."""
-        plain = [p for p in pieces if _PLAIN.fullmatch(p)] if len(self.line_end) == self.width else []
+    def _learn(self, pieces: Iterable[str]) -> None:
+        """A space at most and letters are one unit of the pre-tokenizer, which the model itself encodes. Other pieces
+        without white space inside are encoded as lines of one text: a lone line end is a token of its own."""
+        code, model, others = "H" if self.width == 2 else "I", self.public.model, []
+        for p in pieces:
+            if _LETTERS.fullmatch(p):
+                self.known[p] = array(code, [t.id for t in model.tokenize(p.replace(" ", _BLANK))]).tobytes()
+            else:
+                others.append(p)
+        plain = [p for p in others if _PLAIN.fullmatch(p)] if len(self.line_end) == self.width else []
         if plain:
             ids = np.frombuffer(self._encode(["\n".join(plain)])[0], self.kind)
             cuts = np.flatnonzero(ids == np.frombuffer(self.line_end, self.kind)[0])
             if len(cuts) == len(plain) - 1:
                 raw, bounds = ids.tobytes(), (np.concatenate([[-1], cuts, [len(ids)]]) * self.width).tolist()
                 self.known.update((p, raw[a + self.width : b]) for p, a, b in zip(plain, bounds, bounds[1:], strict=False))
-        rest = [p for p in pieces if p not in self.known]
+        rest = [p for p in others if p not in self.known]
         self.known.update(zip(rest, self._encode(rest), strict=True))
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """Each text's ids as little-endian numbers of `width` bytes."""
-        parts, owner = [], []
-        for i, text in enumerate(texts):
+        if len(self.known) > REMEMBERED_PIECES:
+            for piece in list(itertools.islice(self.known, len(self.known) // 2)):
+                del self.known[piece]
+        out: list[list[bytes | None]] = []
+        missed: list[list[str]] = []
+        for text in texts:
+            own: list[bytes | None] = []
             if not self.pieces or any(w in text for w in self.whole):
-                parts.append([text])
-                owner.append((i, True))
-                continue
+                own += self._encode([text])
+                text = ""
             at = 0
             while at < len(text):
                 cut = _SAFE.search(text, at + STEP_CHARS) if len(text) - at > STEP_CHARS else None
                 end = cut.start() if cut else len(text)
                 part = text[at:end]
-                parts.append((_ASCII_PIECES if part.isascii() else _PIECES).findall(part))
-                owner.append((i, False))
+                own += map(self.known.__getitem__, (_ASCII_PIECES if part.isascii() else _PIECES).findall(part))
                 at = end
-        new = list(set(itertools.chain.from_iterable(p for p, (_, whole) in zip(parts, owner, strict=True) if not whole)) - self.known.keys())
-        long = [p for p in new if len(p) > PIECE_CHARS]
-        self._learn([p for p in new if len(p) <= PIECE_CHARS])
-        self.known.update(zip(long, self._encode(long), strict=True))
-        out: list[list[bytes]] = [[] for _ in texts]
-        for part, (i, whole) in zip(parts, owner, strict=True):
-            out[i] += self._encode(part) if whole else [b"".join(map(self.known.__getitem__, part))]
-        for piece in long:
-            del self.known[piece]
-        if len(self.known) > REMEMBERED_PIECES:
-            for piece in list(itertools.islice(self.known, len(self.known) // 2)):
+            out.append(own)
+            missed.append(self.known.missed)
+            self.known.missed = []
+        new = dict.fromkeys(itertools.chain.from_iterable(missed))
+        self._learn(new)
+        for own, pieces in zip(out, missed, strict=True):
+            at = -1
+            for piece in pieces:  # in the order in which they were missed
+                at = own.index(None, at + 1)
+                own[at] = self.known[piece]
+        for piece in new:
+            if len(piece) > PIECE_CHARS:
                 del self.known[piece]
         return map(b"".join, out)
 
 
+class _Known(dict[str, bytes]):
+    """Ids by piece; a lookup that fails gives None and is written down."""
+
+    def __init__(self) -> None:
+        self.missed: list[str] = []
+
+    def __missing__(self, piece: str) -> None:
+        self.missed.append(piece)
+
+
 def shard_bytes(part: int, number: int, width: int, names: list[int | None], ids: list[bytes]) -> bytes:
     """A shard's file without the last line feed: documents of these names, those without a name first, and their ids."""
     own = [n for n in names if n is not None]
