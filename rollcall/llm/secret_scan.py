@@ -27,6 +27,8 @@ BASE = (
 CANDIDATE = r"([A-Za-z0-9+/_=-]{20,})"
 ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
 WINDOW = 20
+#: A count of a window's characters takes so many bits, and a word of the scan's state holds so many counts.
+COUNT_BITS, COUNTS_A_WORD = 5, 12
 #: Least bits a character of a window. Random keys of 20 characters lie around 3.4, 4.0, 3.8 and 3.85.
 LEAST_BITS = {"entropy_hex": 3.0, "entropy_mixed": 3.8, "entropy_base32": 3.4, "entropy_base36": 3.5}
 #: Candidates of a kind; the others are mixed. The single-case kinds leave out what holds a hex run of BASE: that is
@@ -56,17 +58,21 @@ def _matches(text: Column, pattern: str, group: int) -> Column:
     """array<struct<start, end, value>> of the leftmost, non-overlapping matches; value is the group's text."""
     whole = F.lit(rf"\G(?s:(.*?))({pattern})")
     part = lambda i: F.regexp_extract_all(text, whole, F.lit(i))
-    steps = F.zip_with(part(1), F.zip_with(part(2), part(group), lambda w, v: F.struct(F.length(w).alias("size"), v.alias("value"))), lambda g, m: F.struct(F.length(g).alias("gap"), m["size"].alias("size"), m["value"].alias("value")))
-    kind = "array<struct<start:bigint,end:bigint,value:string>>"
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(kind).alias("found"))
+    sized = F.zip_with(part(2), part(group), lambda w, v: F.struct(F.length(w).cast("long").alias("size"), v.alias("value")))
+    ends = _running_sums(F.zip_with(part(1), sized, lambda g, m: F.length(g) + m["size"]))
+    found = F.zip_with(ends, sized, lambda end, m: F.struct((end - m["size"]).alias("start"), end.alias("end"), m["value"].alias("value")))
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast("array<struct<start:bigint,end:bigint,value:string>>"))
 
-    def step(acc: Column, m: Column) -> Column:
-        begin = acc["at"] + m["gap"]
-        span = F.struct(begin.alias("start"), (begin + m["size"]).alias("end"), m["value"].alias("value"))
-        return F.struct((begin + m["size"]).alias("at"), F.concat(acc["found"], F.array(span)).cast(kind).alias("found"))
 
-    found = F.aggregate(steps, start, step, lambda acc: acc["found"])
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(kind))
+def _running_sums(values: Column) -> Column:
+    """Each number plus all before it, in doubled steps: an array that grows by one element at a time is copied each time."""
+
+    def step(sums: Column, by: Column) -> Column:
+        shifted = F.concat(F.transform(F.sequence(F.lit(1), by), lambda _: F.lit(0).cast("long")), F.slice(sums, F.lit(1), F.size(sums) - by))
+        return F.zip_with(sums, shifted, lambda a, b: a + b)
+
+    doubled = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.log2(F.size(values))).cast("int") - 1, F.lit(0))), lambda i: F.pow(F.lit(2), i).cast("int"))
+    return F.when(F.size(values) > 1, F.aggregate(doubled, values, step)).otherwise(values)
 
 
 def _long(matches: Column, least: int) -> Column:
@@ -80,30 +86,36 @@ def _spans(matches: Column, kind: str) -> Column:
 def hot_range(value: Column, least: Column) -> Column:
     """struct<first, last>: start of the first window of at least `least` bits a character and end of the last; null if none.
 
-    Windows have WINDOW characters. State of the scan: a count for each character of ALPHABET, the sum of
-    count * log2(count), and what was found.
+    Windows have WINDOW characters. State of the scan: a count for each character of ALPHABET (COUNT_BITS bits each, as
+    a step copies the state), the sum of count * log2(count), and what was found.
     """
     terms = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 2)])
     codes = F.transform(F.split(value, ""), lambda x: F.position(x, F.lit(ALPHABET)).cast("int"))
     leaving = F.concat(F.array_repeat(F.lit(0), WINDOW), codes)
     steps = F.zip_with(codes, F.slice(leaving, F.lit(1), F.length(value)), lambda e, x: F.struct(e.alias("enter"), x.alias("leave")))
     start = F.struct(
-        F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"),
+        F.array_repeat(F.lit(0).cast("long"), -(-len(ALPHABET) // COUNTS_A_WORD)).alias("counts"),
         F.lit(0.0).alias("total"),
         F.lit(0).alias("at"),
         F.lit(None).cast("int").alias("first"),
         F.lit(None).cast("int").alias("last"),
     )
-    term = lambda c: F.element_at(terms, c + 1)
+    # By code, 0 for no character: which word holds its count, at which bit, and one of it.
+    places = [(-1, 0, 0), *((i // COUNTS_A_WORD, i % COUNTS_A_WORD * COUNT_BITS, 1 << i % COUNTS_A_WORD * COUNT_BITS) for i in range(len(ALPHABET)))]
+    words, bits, ones = (F.array(*[F.lit(p[k]).cast("long" if k == 2 else "int") for p in places]) for k in range(3))
+    term = lambda c: F.element_at(terms, (c + 1).cast("int"))
+    of = lambda table, code: F.element_at(table, code + 1)
+    count = lambda counts, code: F.call_function("shiftright", F.element_at(counts, F.greatest(of(words, code), F.lit(0)) + 1), of(bits, code)).bitwiseAND(F.lit((1 << COUNT_BITS) - 1))
 
     def step(acc: Column, s: Column) -> Column:
-        out = F.when(s["leave"] > 0, F.element_at(acc["counts"], F.greatest(s["leave"], F.lit(1)))).otherwise(F.lit(0))
-        inn = F.element_at(acc["counts"], s["enter"]) - F.when(s["enter"] == s["leave"], 1).otherwise(0)
+        out = F.when(s["leave"] > 0, count(acc["counts"], s["leave"])).otherwise(F.lit(0))
+        inn = count(acc["counts"], s["enter"]) - F.when(s["enter"] == s["leave"], 1).otherwise(0)
         total = acc["total"] + F.when(s["leave"] > 0, term(out - 1) - term(out)).otherwise(0.0) + term(inn + 1) - term(inn)
         at = acc["at"] + 1
         hot = (at >= WINDOW) & (F.lit(math.log2(WINDOW)) - total / WINDOW >= least)
+        moved = F.transform(acc["counts"], lambda c, k: c + F.when(k == of(words, s["enter"]), of(ones, s["enter"])).otherwise(0) - F.when(k == of(words, s["leave"]), of(ones, s["leave"])).otherwise(0))
         return F.struct(
-            F.transform(acc["counts"], lambda c, k: c + F.when(k + 1 == s["enter"], 1).otherwise(0) - F.when(k + 1 == s["leave"], 1).otherwise(0)).alias("counts"),
+            F.when(s["enter"] == s["leave"], acc["counts"]).otherwise(moved).alias("counts"),
             total.alias("total"),
             at.alias("at"),
             F.when(acc["first"].isNull() & hot, at - WINDOW).otherwise(acc["first"]).alias("first"),

@@ -3,6 +3,7 @@ import math
 import random
 import re
 import string
+import time
 from collections import Counter
 
 from rollcall.llm.secret_scan import ALLOWED, KINDS, LEAST_BITS, WINDOW, digest
@@ -91,3 +92,19 @@ def test_slugs_of_any_length(spark):
     rows = [(1, "ab-" * 100_000 + "7"), (2, "ab-2024/" * 40_000), (3, "=" * 60 + "123456a"), (4, "ab-" * 30_000 + "".join(r.choice(string.ascii_letters + string.digits) for _ in range(60)))]
     got = {x.doc_id: x.n_entropy for x in digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: 0, 2: 0, 3: 0, 4: 1}
+
+
+def test_time_follows_the_length(spark):
+    """A list of checksums: four times as many runs take at most five times as long."""
+    r = random.Random(3)
+    text = lambda n: "\n".join("".join(r.choice("0123456789abcdef") for _ in range(40)) for _ in range(n))
+
+    def seconds(n):
+        docs = spark.createDataFrame([(1, text(n))], "doc_id long, text string")
+        began = time.perf_counter()
+        assert digest(docs).first().n_hex == n
+        return time.perf_counter() - began
+
+    seconds(100)
+    short = seconds(8000)
+    assert seconds(32_000) < max(5 * short, 10)
