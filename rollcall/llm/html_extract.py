@@ -55,6 +55,9 @@ READ = 4
 _PROSE = set("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption dd".split())
 SHORT = 6
 
+#: Characters of scripts that put no spaces between words: Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han. Two count as a word.
+_UNSPACED = re.compile("[\u0e00-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*+)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?=>|\Z)|[^>]*+)(?:>|\Z)",
@@ -83,6 +86,10 @@ def _features(name: str, rest: str, in_article: bool) -> tuple[str, ...]:
     return tuple(found)
 
 
+def _count_words(text: str) -> int:
+    return len(text.split()) + (0 if text.isascii() else len(_UNSPACED.findall(text)) // 2)
+
+
 class Page:
     """A page's elements, and its runs of words and tags in order, decoded.
 
@@ -107,7 +114,7 @@ class Page:
 
         def text(raw: str) -> None:
             decoded, own = html.unescape(raw), stack[-1][1]
-            n = len(decoded.split())
+            n = _count_words(decoded)
             if not self.link[own]:
                 self.words[own] += n
                 self.read[own] += n * (READ if self.prose[own] or self.article[own] else 1)

@@ -125,3 +125,14 @@ def test_math_and_unclosed_elements_keep_the_text():
     for tag in ("svg", "select", "noscript"):
         assert P in main_text(f"<article><p>Before it all.</p><{tag}><p>{P}</p></article>")
     assert isinstance(main_text("<svg>" * 20_000), str)
+
+
+def test_scripts_without_spaces_have_words():
+    """Han, kana and Thai prose in plain elements after a menu."""
+    for first, last in ((0x4E00, 0x9000), (0x3041, 0x3096), (0x0E01, 0x0E2E)):
+        r = random.Random(first)
+        blocks = ["".join(chr(r.randint(first, last)) for _ in range(r.randint(30, 80))) for _ in range(8)]
+        menu = "".join(f'<a href="/{i}">{blocks[0][i : i + 2]}</a> ' for i in range(2))
+        for tag in ("div", "p"):
+            page = f"<html><body><div>{menu}</div>" + "".join(f"<{tag}>{b}</{tag}>" for b in blocks) + "</body></html>"
+            assert main_text(page) == "\n".join(blocks)
