@@ -37,13 +37,14 @@ from ._session import keep, new_folder, prepare, stored_bytes
 MAGIC = b"RCTOKEN1"
 _HEAD = struct.Struct("<8sIIIIQQq")
 #: Ids and documents of a shard, at most; a document of more ids is a shard of its own.
-SHARD_IDS = 8_000_000
+SHARD_IDS = 4_000_000
 SHARD_DOCS = 1_000_000
 #: Stored bytes of a range, about, and how many ranges there are at most; larger ranges only write more shards.
 RANGE_BYTES = 32 << 20
 MOST_RANGES = 20_000
-#: Pieces whose ids a worker remembers; beyond that it forgets the half learned first. Longer pieces are encoded each time.
-REMEMBERED_PIECES = 1_200_000
+#: Pieces whose ids a worker remembers; beyond that it forgets the half learned first, but for what the texts at hand
+#: have. Longer pieces are encoded each time.
+REMEMBERED_PIECES = 600_000
 PIECE_CHARS = 24
 #: Characters of a text that are cut into pieces at once.
 STEP_CHARS = 1 << 20
@@ -117,9 +118,7 @@ class ByteTokenizer:
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """Each text's ids as little-endian numbers of `width` bytes."""
-        if len(self.known) > REMEMBERED_PIECES:
-            for piece in list(itertools.islice(self.known, len(self.known) // 2)):
-                del self.known[piece]
+        full, used = len(self.known) > REMEMBERED_PIECES, set()
         out: list[list[bytes | None]] = []
         missed: list[list[str]] = []
         for text in texts:
@@ -132,7 +131,10 @@ class ByteTokenizer:
                 cut = _SAFE.search(text, at + STEP_CHARS) if len(text) - at > STEP_CHARS else None
                 end = cut.start() if cut else len(text)
                 part = text[at:end]
-                own += map(self.known.__getitem__, (_ASCII_PIECES if part.isascii() else _PIECES).findall(part))
+                pieces = (_ASCII_PIECES if part.isascii() else _PIECES).findall(part)
+                own += map(self.known.__getitem__, pieces)
+                if full:
+                    used.update(pieces)
                 at = end
             out.append(own)
             missed.append(self.known.missed)
@@ -147,6 +149,10 @@ class ByteTokenizer:
         for piece in new:
             if len(piece) > PIECE_CHARS:
                 del self.known[piece]
+        if full:
+            for piece in list(itertools.islice(self.known, len(self.known) // 2)):
+                if piece not in used:
+                    del self.known[piece]
         return map(b"".join, out)
 
 
