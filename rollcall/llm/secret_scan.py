@@ -13,6 +13,7 @@ the lengths of gaps and matches add up to code point offsets. Nothing is shuffle
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,21 +59,29 @@ def _matches(text: Column, pattern: str, group: int) -> Column:
     """array<struct<start, end, value>> of the leftmost, non-overlapping matches; value is the group's text."""
     whole = F.lit(rf"\G(?s:(.*?))({pattern})")
     part = lambda i: F.regexp_extract_all(text, whole, F.lit(i))
-    sized = F.zip_with(part(2), part(group), lambda w, v: F.struct(F.length(w).cast("long").alias("size"), v.alias("value")))
-    ends = _running_sums(F.zip_with(part(1), sized, lambda g, m: F.length(g) + m["size"]))
-    found = F.zip_with(ends, sized, lambda end, m: F.struct((end - m["size"]).alias("start"), end.alias("end"), m["value"].alias("value")))
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast("array<struct<start:bigint,end:bigint,value:string>>"))
+    steps = F.zip_with(part(1), F.zip_with(part(2), part(group), lambda w, v: F.struct(F.length(w).cast("long").alias("size"), v.alias("value"))), lambda g, m: F.struct(F.length(g).alias("gap"), m["size"].alias("size"), m["value"].alias("value")))
+
+    def placed(own: Column) -> Column:
+        ends = _running_sums(F.transform(own, lambda m: m["gap"] + m["size"]))
+        return F.zip_with(ends, own, lambda end, m: F.struct((end - m["size"]).alias("start"), end.alias("end"), m["value"].alias("value")))
+
+    return F.when(text.rlike(pattern), _once(steps, placed)).otherwise(F.array().cast("array<struct<start:bigint,end:bigint,value:string>>"))
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once however often use names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def _running_sums(values: Column) -> Column:
     """Each number plus all before it, in doubled steps: an array that grows by one element at a time is copied each time."""
 
     def step(sums: Column, by: Column) -> Column:
-        shifted = F.concat(F.transform(F.sequence(F.lit(1), by), lambda _: F.lit(0).cast("long")), F.slice(sums, F.lit(1), F.size(sums) - by))
+        shifted = F.concat(F.array_repeat(F.lit(0).cast("long"), by), F.slice(sums, F.lit(1), F.size(sums) - by))
         return F.zip_with(sums, shifted, lambda a, b: a + b)
 
-    doubled = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.log2(F.size(values))).cast("int") - 1, F.lit(0))), lambda i: F.pow(F.lit(2), i).cast("int"))
-    return F.when(F.size(values) > 1, F.aggregate(doubled, values, step)).otherwise(values)
+    doubled = lambda n: F.transform(F.sequence(F.lit(0), F.ceil(F.log2(n)).cast("int") - 1), lambda i: F.pow(F.lit(2), i).cast("int"))
+    return _once(values, lambda v: F.when(F.size(v) > 1, F.aggregate(doubled(F.size(v)), v, step)).otherwise(v))
 
 
 def _long(matches: Column, least: int) -> Column:

@@ -85,3 +85,9 @@ def test_a_lone_cut_notice_is_retrieved():
     for i, text in enumerate(t for texts in TEMPLATES.values() for t in texts):
         cut = _shingles(text)[1][: index.templates[i].need]
         assert i in {found for _, _, found in index.retrieve(cut)}, (text, len(cut))
+
+
+def test_clashing_columns_and_repeated_rows(spark):
+    row = (1, "Released under the MIT License.", "x", 5, 6)
+    docs = spark.createDataFrame([row, row, (None, "none", "x", 5, 6)], "doc_id long, text string, licenses string, n_matches int, matches int")
+    assert sorted((r[0] or 0, r[1]) for r in digest(docs).collect()) == [(0, 0), (1, 1), (1, 1)]

@@ -106,3 +106,13 @@ def test_equal_hashes_are_told_apart_by_bytes(monkeypatch):
     for t in own:
         flat, _ = tokenizer.ids(pa.array([t]))
         assert [*flat.tolist(), 2] == brute([t])[0]
+
+
+def test_very_long_text(spark):
+    """A text of 5 MB in many sequences, beside short ones and repeated rows, with clashing columns."""
+    own = ["The same few words, again and again. " * 140_000, "short", "short"]
+    docs = spark.createDataFrame([(i // 2, t, 1, 2) for i, t in enumerate(own)], "doc_id long, text string, length int, sequence_id int")
+    rows = pack(docs, PATH).collect()
+    sizes = [len(x) for x in brute(own).values()]
+    assert sum(r.length for r in rows) == sum(sizes) and sorted(r.doc_tokens for r in rows if r.start == 0) == sorted(sizes)
+    assert max(r.length for r in rows) == 4096

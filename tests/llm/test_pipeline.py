@@ -3,6 +3,7 @@
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 from test_line_dedup import brute as brute_lines
 from test_ngram_join import brute as brute_near
 from test_packing import brute as brute_ids
@@ -69,3 +70,19 @@ def test_pack_holds_every_id_once(stages):
 def test_run(spark, stages):
     made = corpus_pipeline.run(spark, SF).collect()
     assert sum(r.length for r in made) == sum(r.length for r in stages[5])
+
+
+@pytest.mark.parametrize("empty", [True, False])
+def test_empty_tables_and_clashing_columns(spark, empty):
+    """Columns named as the stages name their own stay, with their values; an empty table stays empty."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    more = ["row", "Size", "told", "known", "h", "epoch", "shard", "spans", "component_id", "n_words", "kept", "cell", "key"]
+    docs = docs.select("*", *(F.concat(F.lit(f"{c} "), F.col("doc_id").cast("string")).alias(c) for c in more))
+    docs = docs.limit(0) if empty else docs
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.keep(stage(spark, docs, SF))
+        assert docs.columns == columns, name
+        assert docs.where(" or ".join(f"`{c}` <> concat('{c} ', doc_id)" for c in more)).isEmpty(), name
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert packed.isEmpty() == empty and len(packed.columns) == 7

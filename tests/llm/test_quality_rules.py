@@ -128,3 +128,12 @@ def test_limits_come_from_all_sound_texts(spark):
     labels = labels.unionByName(labels.where("doc_id < 5")).unionByName(spark.createDataFrame([(n + 1, 0), (None, 1)], "doc_id long, quality int"))
     rows = qr._sound_counts(docs, labels)
     assert sum(r["n"] for r in rows) == n + 2 and all(r["size"] >= 0 for r in rows)
+
+
+def test_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, prose(random.Random(4), 90), "k", 3, 4.0), (2, None, "k", 3, 4.0)], "doc_id long, text string, kept string, n_words int, ratio double")
+    labels = spark.createDataFrame([(1, 1, "x")], "doc_id long, quality int, size string")
+    limits = qr.fit_bands(docs, labels)
+    assert sorted((r.doc_id, r.n_words, r.kept) for r in qr.measure(docs, limits).select("doc_id", "n_words", "kept").collect()) == [(1, 90, True), (2, 0, False)]
+    kept = qr.keep_good(docs, limits).collect()
+    assert [(r.doc_id, r.kept, r.n_words, r.ratio) for r in kept] == [(1, "k", 3, 4.0)]
