@@ -98,9 +98,14 @@ def hot_range(value: Column, least: Column) -> Column:
     Windows have WINDOW characters. State of the scan: a count for each character of ALPHABET (COUNT_BITS bits each, as
     a step copies the state), the sum of count * log2(count), and what was found.
     """
-    terms = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 2)])
-    codes = F.transform(F.split(value, ""), lambda x: F.position(x, F.lit(ALPHABET)).cast("int"))
-    leaving = F.concat(F.array_repeat(F.lit(0), WINDOW), codes)
+    term = lambda c: c * math.log2(c) if c > 0 else 0.0
+    #: What the sum gains when a count goes up or down by one.
+    up, down = (F.array(*[F.lit(term(c + by) - term(c)) for c in range(WINDOW + 2)]) for by in (1, -1))
+    # By code, 0 for no character: which word holds its count, at which bit, and one of it.
+    places = [(-1, 0, 0), *((i // COUNTS_A_WORD, i % COUNTS_A_WORD * COUNT_BITS, 1 << i % COUNTS_A_WORD * COUNT_BITS) for i in range(len(ALPHABET)))]
+    table = F.array(*[F.struct(F.lit(w).alias("word"), F.lit(b).alias("bit"), F.lit(o).cast("long").alias("one")) for w, b, o in places])
+    codes = F.transform(F.split(value, ""), lambda x: F.element_at(table, F.position(x, F.lit(ALPHABET)).cast("int") + 1))
+    leaving = F.concat(F.array_repeat(F.element_at(table, 1), WINDOW), codes)
     steps = F.zip_with(codes, F.slice(leaving, F.lit(1), F.length(value)), lambda e, x: F.struct(e.alias("enter"), x.alias("leave")))
     start = F.struct(
         F.array_repeat(F.lit(0).cast("long"), -(-len(ALPHABET) // COUNTS_A_WORD)).alias("counts"),
@@ -109,29 +114,23 @@ def hot_range(value: Column, least: Column) -> Column:
         F.lit(None).cast("int").alias("first"),
         F.lit(None).cast("int").alias("last"),
     )
-    # By code, 0 for no character: which word holds its count, at which bit, and one of it.
-    places = [(-1, 0, 0), *((i // COUNTS_A_WORD, i % COUNTS_A_WORD * COUNT_BITS, 1 << i % COUNTS_A_WORD * COUNT_BITS) for i in range(len(ALPHABET)))]
-    words, bits, ones = (F.array(*[F.lit(p[k]).cast("long" if k == 2 else "int") for p in places]) for k in range(3))
-    term = lambda c: F.element_at(terms, (c + 1).cast("int"))
-    of = lambda table, code: F.element_at(table, code + 1)
-    count = lambda counts, code: F.call_function("shiftright", F.element_at(counts, F.greatest(of(words, code), F.lit(0)) + 1), of(bits, code)).bitwiseAND(F.lit((1 << COUNT_BITS) - 1))
+    count = lambda counts, x: F.call_function("shiftright", F.element_at(counts, x["word"] + 1), x["bit"]).bitwiseAND(F.lit((1 << COUNT_BITS) - 1))
 
     def step(acc: Column, s: Column) -> Column:
-        out = F.when(s["leave"] > 0, count(acc["counts"], s["leave"])).otherwise(F.lit(0))
-        inn = count(acc["counts"], s["enter"]) - F.when(s["enter"] == s["leave"], 1).otherwise(0)
-        total = acc["total"] + F.when(s["leave"] > 0, term(out - 1) - term(out)).otherwise(0.0) + term(inn + 1) - term(inn)
-        at = acc["at"] + 1
-        hot = (at >= WINDOW) & (F.lit(math.log2(WINDOW)) - total / WINDOW >= least)
-        moved = F.transform(acc["counts"], lambda c, k: c + F.when(k == of(words, s["enter"]), of(ones, s["enter"])).otherwise(0) - F.when(k == of(words, s["leave"]), of(ones, s["leave"])).otherwise(0))
-        return F.struct(
-            F.when(s["enter"] == s["leave"], acc["counts"]).otherwise(moved).alias("counts"),
-            total.alias("total"),
-            at.alias("at"),
-            F.when(acc["first"].isNull() & hot, at - WINDOW).otherwise(acc["first"]).alias("first"),
-            F.when(hot, at).otherwise(acc["last"]).alias("last"),
-        )
-
-    return F.aggregate(steps, start, step, lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
+        enter, leave = s["enter"], s["leave"]
+        same, full = (enter["word"] == leave["word"]) & (enter["bit"] == leave["bit"]), leave["word"] >= 0
+        inn = count(acc["counts"], enter) - F.when(same, 1).otherwise(0)
+        gain = F.element_at(up, (inn + 1).cast("int")) + F.when(full, F.element_at(down, (count(acc["counts"], leave) + 1).cast("int"))).otherwise(0.0)
+        moved = F.transform(acc["counts"], lambda c, k: c + F.when(k == enter["word"], enter["one"]).otherwise(0) - F.when(k == leave["word"], leave["one"]).otherwise(0))
+        first, last = seen(acc)
+        return F.struct(F.when(same, acc["counts"]).otherwise(moved).alias("counts"), (acc["total"] + gain).alias("total"), (acc["at"] + 1).alias("at"), first, last)
+
+    def seen(acc: Column) -> tuple[Column, Column]:
+        """first and last with the window that the state stands at."""
+        hot = (acc["at"] >= WINDOW) & (F.lit(math.log2(WINDOW)) - acc["total"] / WINDOW >= least)
+        return F.when(acc["first"].isNull() & hot, acc["at"] - WINDOW).otherwise(acc["first"]).alias("first"), F.when(hot, acc["at"]).otherwise(acc["last"]).alias("last")
+
+    return F.aggregate(steps, start, step, lambda acc: F.struct(*seen(acc)))
 
 
 def _entropy_spans(text: Column) -> Column:
