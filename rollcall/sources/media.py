@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import Protocol
 
 import pandas as pd
@@ -88,27 +89,35 @@ def channel_frames(channels: DataFrame, factory: Callable[[], MediaService], aft
     return metadata, stored(take_frames(metadata.where(F.col("error").isNull()), have, factory, tag))
 
 
+#: Levels of lists that one pass over the rows opens.
+LEVELS = 8
+
+
 def flatten_playlist(entries: DataFrame, column: str = "entries") -> DataFrame:
     """(entry): the videos of nested playlists, as JSON text, however deep; entries(.., column: JSON array of objects).
 
     An object of _type playlist with entries is a list, and what it holds is read in its place; any other object with
-    an id is a video. Nulls and objects without an id are left out. A recursive query: a step reads one level of all lists.
+    an id is a video. Nulls and objects without an id are left out. A pass opens LEVELS levels of every row, where the rows are;
+    it is stored, and lists that are left go through another.
     """
-    spark = entries.sparkSession
-    # By default a recursion stops with an error after so many levels and rows; lists here may be of any size.
-    for name in ("spark.sql.cteRecursionLevelLimit", "spark.sql.cteRecursionRowLimit"):
-        spark.conf.set(name, "-1")
-    return spark.sql(
-        f"""
-        WITH RECURSIVE tree AS (
-            SELECT explode(from_json(`{column}`, 'array<string>')) AS entry FROM {{entries}}
-            UNION ALL
-            SELECT explode(from_json(get_json_object(entry, '$.entries'), 'array<string>')) AS entry FROM tree
-            WHERE get_json_object(entry, '$._type') = 'playlist' AND get_json_object(entry, '$.entries') IS NOT NULL
-        )
-        SELECT entry FROM tree
-        WHERE NOT coalesce(get_json_object(entry, '$._type') = 'playlist' AND get_json_object(entry, '$.entries') IS NOT NULL, false)
-          AND coalesce(get_json_object(entry, '$.id'), '') <> ''
-        """,
-        entries=entries,
-    )
+    rows, done = _opened(entries.select(F.from_json(column, "array<string>").alias("_held"))), []
+    while True:
+        for _ in range(LEVELS):
+            held = F.when(F.col("_list"), F.from_json("_inner", "array<string>")).otherwise(F.array("entry"))
+            rows = _opened(_looked_at(rows).select(held.alias("_held")))
+        found = stored(_looked_at(rows).select("entry", "_list").where(F.col("_list") | (F.coalesce(F.get_json_object("entry", "$.id"), F.lit("")) != "")), all_tasks=True)
+        done.append(found.where(~F.col("_list")).select("entry"))
+        rows = found.where("_list").select("entry")
+        if rows.isEmpty():
+            return reduce(DataFrame.unionAll, done)
+
+
+def _looked_at(rows: DataFrame) -> DataFrame:
+    """(entry, _list, _inner): whether it is a list, and what it holds as JSON text. Only entries that may name the field are parsed, once for both fields."""
+    may_be = F.contains(F.col("entry"), F.lit("entries")) | F.contains(F.col("entry"), F.lit("\\"))
+    told = rows.select("entry", F.json_tuple(F.when(may_be, F.col("entry")), "_type", "entries").alias("_type", "_inner"))
+    return told.select("entry", F.coalesce((F.col("_type") == "playlist") & F.col("_inner").isNotNull(), F.lit(False)).alias("_list"), "_inner")
+
+
+def _opened(rows: DataFrame) -> DataFrame:
+    return rows.select(F.explode("_held").alias("entry")).where(F.col("entry").isNotNull())

@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall import schemas
+from rollcall import schemas, session
 from rollcall.operators import detections, marts, observations, repair, sampling, search
 from rollcall.sources import io, media
 
@@ -236,6 +236,16 @@ def test_playlists_of_any_depth(spark):
     assert sorted(got) == sorted([*[f"v{i}" for i in range(12)], "last", "no entries", "video", "x"])
 
 
+def test_playlists_are_opened_where_they_are(spark):
+    """A level is no run of its own: 7 levels are one pass, 20 are three; escaped keys count as keys."""
+    deep = lambda n: '{"_type": "playlist", "entries": [' * n + '{"id": "v"}, {"\\u005ftype": "playlist", "entrie\\u0073": [{"id": "w"}]}' + "]}" * n
+    for levels, passes in ((7, 1), (20, 3)):
+        nested = spark.createDataFrame([(f"[{deep(levels)}]",)] * 3, "entries string")
+        before = len(session._stored)
+        assert sorted(json.loads(r.entry)["id"] for r in media.flatten_playlist(nested).collect()) == ["v"] * 3 + ["w"] * 3
+        assert len(session._stored) - before == passes
+
+
 @pytest.mark.parametrize("page_rows", [1, 3, 1000])
 def test_pages_keep_the_order(spark, page_rows):
     own = [("hot", i % 7, i) for i in range(40)] + [("b", 1, 1), ("b", 1, 1), (None, 2, 2), ("c", None, 5)]
