@@ -32,11 +32,17 @@ def battle_rows(records: DataFrame) -> DataFrame:
     return usable(records).select(F.col("id").alias("battle_id"), F.col("startTime").alias("timestamp"), F.col("Map.scriptName").alias("map_name"))
 
 
+def _named(records: DataFrame) -> DataFrame:
+    """(battle_id, _names): of each record its distinct names, without null or empty ones."""
+    teams = F.filter("AllyTeams", lambda t: t["Players"].isNotNull())
+    names = F.transform(F.flatten(F.transform(teams, lambda t: t["Players"])), lambda p: p["name"])
+    return usable(records).select(F.col("id").alias("battle_id"), F.array_distinct(F.filter(names, lambda n: n.isNotNull() & (n != ""))).alias("_names"))
+
+
 def participant_rows(records: DataFrame) -> DataFrame:
-    """(battle_id, player_name), distinct, without null or empty names."""
-    teams = usable(records).select(F.col("id").alias("battle_id"), F.explode("AllyTeams").alias("team"))
-    players = teams.select("battle_id", F.explode("team.Players").alias("player"))
-    return players.select("battle_id", F.col("player.name").alias("player_name")).where("player_name is not null and player_name <> ''").distinct()
+    """(battle_id, player_name), distinct, without null or empty names. Records of one id are put together as arrays, so no table of names is held."""
+    whole = _named(records).groupBy("battle_id").agg(F.array_distinct(F.flatten(F.collect_list("_names"))).alias("_names"))
+    return whole.select("battle_id", F.explode("_names").alias("player_name"))
 
 
 def player_rows(participants: DataFrame) -> DataFrame:
@@ -76,10 +82,10 @@ def ingest_counted(records: DataFrame, battles: DataFrame, participants: DataFra
     sound = F.coalesce(F.col("id").isNotNull() & F.col("startTime").isNotNull() & (F.size("AllyTeams") > 0), F.lit(False))
     narrow = records.select("id", "startTime", "Map", "AllyTeams").observe(seen, F.count(F.lit(1)).alias("records"), F.count_if(~sound).alias("skipped"))
     pulled = stored(newer_than(usable(narrow), since, earliest))
-    new = {"battles": (battle_rows(pulled), battles, ["battle_id"]), "participants": (participant_rows(pulled), participants, ["battle_id", "player_name"])}
+    named = _named(pulled).select("battle_id", F.explode("_names").alias("player_name"))  # new_rows has each row once
+    new = {"battles": (battle_rows(pulled), battles, ["battle_id"]), "participants": (named, participants, ["battle_id", "player_name"])}
     out = {n: stored(new_rows(*x).observe(added[n], F.count(F.lit(1)).alias("n"))) for n, x in new.items()}
-    named = player_rows(participant_rows(pulled))
-    out["players"] = stored(new_rows(named, players, ["player_name"]).observe(added["players"], F.count(F.lit(1)).alias("n")))
+    out["players"] = stored(new_rows(named.select("player_name"), players, ["player_name"]).observe(added["players"], F.count(F.lit(1)).alias("n")))
     row = (seen.get["records"], seen.get["skipped"], added["battles"].get["n"], added["players"].get["n"], added["participants"].get["n"])
     return out, spark.createDataFrame([row], COUNTS)
 

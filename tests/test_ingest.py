@@ -186,3 +186,14 @@ def test_only_touched_partitions_are_written(spark, tmp_path):
     except Exception:
         pass
     assert t.read().count() == 101
+
+
+def test_participants_are_put_together_without_a_table_of_names(spark):
+    """Null teams, players and names, and an id in two records; the plan explodes after its only grouping, which is by id."""
+    schema = "id string, startTime string, Map struct<scriptName:string>, AllyTeams array<struct<Players:array<struct<name:string>>>>"
+    team = lambda *names: (None if names == (None,) else [(n,) if n != "-" else None for n in names],)
+    rows = [("a", "t", ("m",), [team("x", "y", "x"), team(None), None, team("", "-", "z")]), ("a", "u", None, [team("y", "w")]), ("b", "t", None, [team("x")]), ("c", "t", None, []), ("d", None, None, [team("x")]), ("e", "t", None, [team()])]
+    found = ingest.participant_rows(spark.createDataFrame(rows, schema).repartition(3))
+    assert sorted(map(tuple, found.collect())) == [("a", "w"), ("a", "x"), ("a", "y"), ("a", "z"), ("b", "x")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and plan.index("Generate") < plan.index("Aggregate")
