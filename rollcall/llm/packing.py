@@ -25,7 +25,7 @@ from ._session import prepare
 #: Partially filled windows that a partition holds at most.
 OPEN_LIMIT = 1024
 #: Pieces whose ids a worker remembers; beyond that it keeps the half used last. Longer pieces are encoded each time.
-REMEMBERED_PIECES = 1_000_000
+REMEMBERED_PIECES = 400_000
 PIECE_BYTES = 24
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
