@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import stored
@@ -32,17 +32,22 @@ def battle_rows(records: DataFrame) -> DataFrame:
     return usable(records).select(F.col("id").alias("battle_id"), F.col("startTime").alias("timestamp"), F.col("Map.scriptName").alias("map_name"))
 
 
-def _named(records: DataFrame) -> DataFrame:
-    """(battle_id, _names): of each record its distinct names, without null or empty ones."""
+def _distinct_names() -> Column:
+    """Distinct names of a record's teams, without null or empty ones."""
     teams = F.filter("AllyTeams", lambda t: t["Players"].isNotNull())
     names = F.transform(F.flatten(F.transform(teams, lambda t: t["Players"])), lambda p: p["name"])
-    return usable(records).select(F.col("id").alias("battle_id"), F.array_distinct(F.filter(names, lambda n: n.isNotNull() & (n != ""))).alias("_names"))
+    return F.array_distinct(F.filter(names, lambda n: n.isNotNull() & (n != "")))
+
+
+def _together(names: str) -> Column:
+    """Distinct names of a group's arrays."""
+    return F.array_distinct(F.flatten(F.collect_list(names)))
 
 
 def participant_rows(records: DataFrame) -> DataFrame:
     """(battle_id, player_name), distinct, without null or empty names. Records of one id are put together as arrays, so no table of names is held."""
-    whole = _named(records).groupBy("battle_id").agg(F.array_distinct(F.flatten(F.collect_list("_names"))).alias("_names"))
-    return whole.select("battle_id", F.explode("_names").alias("player_name"))
+    named = usable(records).select(F.col("id").alias("battle_id"), _distinct_names().alias("_names"))
+    return named.groupBy("battle_id").agg(_together("_names").alias("_names")).select("battle_id", F.explode("_names").alias("player_name"))
 
 
 def player_rows(participants: DataFrame) -> DataFrame:
@@ -71,22 +76,37 @@ def upsert_counts(existing: DataFrame, incoming: DataFrame, keys: list[str]) ->
 COUNTS = "records long, skipped long, battles long, players long, links long"
 
 
+def _compared(records: DataFrame, battles: DataFrame, participants: DataFrame) -> DataFrame:
+    """(battle_id, timestamp, map_name, _known, _new, _old), a row for each id of usable records: its least row, whether battles have it,
+    and its distinct names that participants lack and have. All is dealt by battle_id alone, so what is dealt by it already isn't again."""
+    row = F.struct(F.col("startTime").alias("timestamp"), F.col("Map.scriptName").alias("map_name"))
+    rows = records.select(F.col("id").alias("battle_id"), row.alias("_row"), _distinct_names().alias("_names"))
+    whole = rows.groupBy("battle_id").agg(F.min("_row").alias("_row"), _together("_names").alias("_names"))
+    known = battles.select("battle_id").distinct().withColumn("_known", F.lit(True))
+    rosters = participants.groupBy("battle_id").agg(F.collect_set("player_name").alias("_roster"))
+    both = whole.join(known, "battle_id", "left").join(rosters, "battle_id", "left").withColumn("_roster", F.coalesce("_roster", F.array().cast("array<string>")))
+    return both.select("battle_id", "_row.*", F.col("_known").isNotNull().alias("_known"), F.array_except("_names", "_roster").alias("_new"), F.array_intersect("_names", "_roster").alias("_old"))
+
+
 def ingest_counted(records: DataFrame, battles: DataFrame, participants: DataFrame, players: DataFrame, since: str | None = None, earliest: str = "") -> tuple[dict[str, DataFrame], DataFrame]:
     """New rows of the three tables, written once, and COUNTS in one row: records read, those without id, time or teams, and rows added. Records not after the mark or before the bound add none.
 
-    The counters ride along with the writes: records are read once, into a table of what the three need, and each
-    table's new rows are counted as they are written.
+    Records meet both known tables at once, by battle_id, and are written as a row a battle, which new battles and
+    participants are read from; new players are the second table written. The counters ride along with the writes.
     """
     spark = records.sparkSession
-    seen, added = Observation(), {n: Observation() for n in ("battles", "participants", "players")}
+    seen, added, met = Observation(), Observation(), Observation()
     sound = F.coalesce(F.col("id").isNotNull() & F.col("startTime").isNotNull() & (F.size("AllyTeams") > 0), F.lit(False))
     narrow = records.select("id", "startTime", "Map", "AllyTeams").observe(seen, F.count(F.lit(1)).alias("records"), F.count_if(~sound).alias("skipped"))
-    pulled = stored(newer_than(usable(narrow), since, earliest))
-    named = _named(pulled).select("battle_id", F.explode("_names").alias("player_name"))  # new_rows has each row once
-    new = {"battles": (battle_rows(pulled), battles, ["battle_id"]), "participants": (named, participants, ["battle_id", "player_name"])}
-    out = {n: stored(new_rows(*x).observe(added[n], F.count(F.lit(1)).alias("n"))) for n, x in new.items()}
-    out["players"] = stored(new_rows(named.select("player_name"), players, ["player_name"]).observe(added["players"], F.count(F.lit(1)).alias("n")))
-    row = (seen.get["records"], seen.get["skipped"], added["battles"].get["n"], added["players"].get["n"], added["participants"].get["n"])
+    pulled = _compared(newer_than(usable(narrow), since, earliest), battles, participants)
+    fresh = stored(pulled.observe(added, F.count_if(~F.col("_known")).alias("battles"), F.coalesce(F.sum(F.size("_new")), F.lit(0)).alias("links")))
+    named = fresh.select(F.explode(F.concat("_new", "_old")).alias("player_name"))
+    out = {
+        "battles": fresh.where(~F.col("_known")).select("battle_id", "timestamp", "map_name"),
+        "participants": fresh.select("battle_id", F.explode("_new").alias("player_name")),
+        "players": stored(new_rows(named, players, ["player_name"]).observe(met, F.count(F.lit(1)).alias("n"))),
+    }
+    row = (seen.get["records"], seen.get["skipped"], added.get["battles"], met.get["n"], added.get["links"])
     return out, spark.createDataFrame([row], COUNTS)
 
 

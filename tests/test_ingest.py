@@ -5,6 +5,8 @@ import pytest
 
 from rollcall import schemas
 from rollcall.operators import ingest
+from rollcall.plans import queries as plans
+from rollcall.plans.domain import Domain
 from rollcall.sources import replay_api
 from rollcall.sources.io import PartitionedTable, Table, write_together
 
@@ -197,3 +199,41 @@ def test_participants_are_put_together_without_a_table_of_names(spark):
     assert sorted(map(tuple, found.collect())) == [("a", "w"), ("a", "x"), ("a", "y"), ("a", "z"), ("b", "x")]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == 1 and plan.index("Generate") < plan.index("Aggregate")
+
+
+def test_a_counted_run_meets_the_known_tables_at_once(spark, monkeypatch):
+    """An id in two records, a known battle with new names, known names whose battle or player isn't, nulls in known tables; two tables are written."""
+    schema = "id string, startTime string, Map struct<scriptName:string>, AllyTeams array<struct<Players:array<struct<name:string>>>>"
+    team = lambda *names: ([(n,) for n in names],)
+    rows = [("a", "u", ("m",), [team("x", "y", "x")]), ("a", "t", None, [team("y", "w")]), ("b", "t", ("m",), [team("x", "z"), team("v")]), ("c", "t", None, [team()]), ("d", "t", None, [team("x")]), ("e", "t", None, None)]
+    battles = spark.createDataFrame([("b", "t", "m"), ("b", "t", "n"), (None, "t", None)], schemas.BATTLES)
+    participants = spark.createDataFrame([("b", "x"), ("b", "x"), ("b", None), ("d", "x"), ("a", "q"), (None, "w")], schemas.PARTICIPANTS)
+    players = spark.createDataFrame([("v",), ("w",), (None,)], schemas.PLAYERS)
+    written, stored = [], ingest.stored
+    monkeypatch.setattr(ingest, "stored", lambda df: written.append(df) or stored(df))
+    new, counts = ingest.ingest_counted(spark.createDataFrame(rows, schema).repartition(3), battles, participants, players)
+    assert counts.first() == (6, 1, 3, 3, 5)
+    assert sorted(map(tuple, new["battles"].collect())) == [("a", "t", None), ("c", "t", None), ("d", "t", None)]
+    assert sorted(map(tuple, new["participants"].collect())) == [("a", "w"), ("a", "x"), ("a", "y"), ("b", "v"), ("b", "z")]
+    assert sorted(map(tuple, new["players"].collect())) == [("x",), ("y",), ("z",)]
+    assert len(written) == 2 and all(new[n].columns == schemas.TABLES[n].names for n in new)
+
+
+def test_counts_shuffle_little_more_than_two_deals_of_the_names(spark):
+    """Without broadcasts, as on large tables: one deal for records and known rosters, one for known players."""
+    folder, sc = "/root/testdata/sf0.001", spark.sparkContext._jsc.sc()
+
+    def shuffled():
+        sc.listenerBus().waitUntilEmpty()
+        return sc.statusStore().executorList(False).apply(0).totalShuffleWrite()
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        start = shuffled()
+        plans.QUERIES["ingest_counts"](spark, folder).collect()
+        counted = shuffled() - start
+        for _ in range(2):
+            Domain(spark, folder)._names().repartition("l_orderkey").write.format("noop").mode("overwrite").save()
+        assert 0 < counted < 0.75 * (shuffled() - start - counted)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
